@@ -45,8 +45,13 @@ def contains_any(text: Column, needles: Iterable[str]) -> Column:
 
 
 def has_word(text: Column, word: str) -> Column:
-    """``word`` bounded by characters that are neither letters nor digits in any script."""
-    return text.rlike(rf"(^|[^\p{{L}}\p{{N}}]){word}([^\p{{L}}\p{{N}}]|$)")
+    """``word`` bounded by characters that are neither letters nor digits in any script.
+
+    The pattern starts with the literal, so the regex engine looks at character classes only
+    where the word itself occurs.
+    """
+    other = r"[\p{L}\p{N}]"
+    return text.rlike(f"{word}(?<!{other}{word})(?!{other})")
 
 
 def first_match(rules: Iterable[tuple[Column, object]], default: object = None) -> Column:
