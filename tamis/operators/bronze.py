@@ -23,9 +23,10 @@ def parse(records: DataFrame, record: str = "record") -> DataFrame:
     return records.withColumn(VALUE, F.try_parse_json(record))
 
 
-def field(path: str, kind: str = "string") -> Column:
-    """Value at a path: null if absent; objects and lists become compact JSON text."""
-    return F.try_variant_get(F.col(VALUE), f"$.{path}", kind)
+def field(*keys: str, kind: str = "string") -> Column:
+    """Value below nested keys: null if absent; objects and lists become compact JSON text."""
+    path = "$" + "".join(f"['{key}']" for key in keys)
+    return F.try_variant_get(F.col(VALUE), path, kind)
 
 
 def json_text(col: Column) -> Column:
@@ -47,15 +48,15 @@ def flatten(
     record are equal text.
     """
 
-    def typed(name: str, path: str) -> Column:
+    def typed(name: str, *keys: str) -> Column:
         kind = types[name].simpleString() if name in types else "string"
-        return field(path, kind).alias(name)
+        return field(*keys, kind=kind).alias(name)
 
-    columns = [typed(f"{parent}_{child}", f"{parent}.{child}") for parent, kids in nested.items() for child in kids]
-    flat = [n for n in types if n not in {f"{p}_{c}" for p, kids in nested.items() for c in kids}]
-    declared = list(dict.fromkeys([*scalars, *flat, *json_fields]))
+    children = {f"{parent}_{child}": (parent, child) for parent, kids in nested.items() for child in kids}
+    columns = [typed(name, *keys) for name, keys in children.items()]
+    declared = dict.fromkeys([*scalars, *(n for n in types if n not in children), *json_fields])
     columns += [typed(name, name) for name in declared]
-    columns += [typed(name, f"['{name}']".replace("$.", "")) for name in extra if name not in declared and name not in nested]
+    columns += [typed(name, name) for name in extra if name not in declared and name not in nested]
     kept = [c for c in parsed.columns if c != VALUE]
     return parsed.select(*kept, *columns, F.to_json(VALUE).alias("raw_record"))
 
@@ -98,9 +99,13 @@ def schema_drift(
     ``bloquant`` marks a value that is no object; a new sub-key only warns, since the record
     itself is kept. One pass; (field, key) pairs combine before the shuffle.
     """
+    def warning(name: str):
+        return lambda key: F.struct(
+            F.lit(name).alias("champ"), key.alias("cle"), F.lit(False).alias("bloquant"))
+
     found = []
     for name, expected in nested.items():
-        value = F.try_variant_get(F.col(VALUE), f"$.{name}", "variant")
+        value = field(name, kind="variant")
         filled = value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(False))
         keys = F.json_object_keys(F.to_json(value))
         unexpected = F.array_except(keys, F.array(*[F.lit(e) for e in expected]))
@@ -110,8 +115,7 @@ def schema_drift(
                 filled,
                 F.when(
                     is_object,
-                    F.transform(unexpected, lambda k, n=name: F.struct(
-                        F.lit(n).alias("champ"), k.alias("cle"), F.lit(False).alias("bloquant"))),
+                    F.transform(unexpected, warning(name)),
                 ).otherwise(F.array(F.struct(
                     F.lit(name).alias("champ"), F.lit(None).cast("string").alias("cle"),
                     F.lit(True).alias("bloquant")))),
@@ -129,10 +133,10 @@ def schema_drift(
 def record_checks(parsed: DataFrame, queries: Sequence[str] | None = None) -> DataFrame:
     """Preconditions of a raw batch in one pass; with ``queries`` also the known-keyword rule."""
     kind = F.schema_of_variant(F.col(VALUE))
-    words = F.try_variant_get(F.col(VALUE), "$.search_keywords", "array<string>")
+    words = field("search_keywords", kind="array<string>")
     # A key with a JSON null is as good as no key.
     raw_words = field("search_keywords")
-    is_list = F.schema_of_variant(F.try_variant_get(F.col(VALUE), "$.search_keywords", "variant")).startswith("ARRAY")
+    is_list = F.schema_of_variant(field("search_keywords", kind="variant")).startswith("ARRAY")
     view = parsed.select(
         F.coalesce(kind.startswith("OBJECT"), F.lit(False)).alias("objet"),
         F.nullif(field("id"), F.lit("")).alias("id"),

@@ -147,7 +147,6 @@ def run_metrics(layers: Mapping[str, DataFrame], key: str, drift: DataFrame, rat
     raw, bronze, silver, serving = (layers[n] for n in ("raw", "bronze", "silver", "serving"))
     n = F.count(F.lit(1))
     fields = drift.filter(~F.col("bloquant")).agg(F.count_distinct("champ").alias("_n"))
-    total = F.nullif(F.col("_rows"), F.lit(0).cast("long"))
     shares = silver.agg(n.alias("_rows"), *[F.count_if(F.col(c)).alias(m) for m, c in rates.items()])
     parts = [
         rows_of(raw.agg(n.alias("_n")), [line("RAW", "row_count", F.col("_n"), "count")]),
@@ -158,7 +157,7 @@ def run_metrics(layers: Mapping[str, DataFrame], key: str, drift: DataFrame, rat
         ]),
         shape("SILVER", silver, key),
         rows_of(shares, [
-            line("SILVER", m, F.round(F.lit(100).cast("decimal(20,1)") * F.col(m) / total, 2), "percent")
+            line("SILVER", m, report_rate(F.col(m), F.col("_rows"), 0.0), "percent")
             for m in rates
         ]),
         rows_of(serving.agg(n.alias("_n")), [
