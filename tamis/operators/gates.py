@@ -7,16 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.functions import text
+from tamis.functions import json, text
 from tamis.operators import checks, cleaning
 from tamis.operators.identity import digest
 
 
-def normalised_json(col: Column) -> Column:
-    """JSON text with sorted keys and no blanks, null if it cannot be read."""
-    return F.to_json(F.try_parse_json(col))
-
-
 def differs(actual: Column, expected: Column) -> Column:
     """Null-safe inequality."""
     return ~actual.eqNullSafe(expected)
@@ -39,14 +34,14 @@ def bronze_equals_raw(raw: DataFrame, bronze: DataFrame, key: str = "id", record
     expected = raw.select(
         F.col(key).cast("string").alias("id"), F.lit(0).alias("_side"),
         F.lit(True).alias("_readable"), F.lit(True).alias("_own_id"),
-        *code("content", normalised_json(F.col("record"))),
+        *code("content", json.canonical(F.col("record"))),
         *[c for n in same for c in code(n, from_record(F.col("record"), n))],
     )
     actual = bronze.select(
         F.col(key).cast("string").alias("id"), F.lit(1).alias("_side"),
-        F.try_parse_json(record).isNotNull().alias("_readable"),
+        F.coalesce(json.is_valid(F.col(record)), F.lit(False)).alias("_readable"),
         F.coalesce(from_record(F.col(record), key) == F.col(key).cast("string"), F.lit(False)).alias("_own_id"),
-        *code("content", normalised_json(F.col(record))),
+        *code("content", json.canonical(F.col(record))),
         *[c for n in same for c in code(n, F.col(n))],
     )
     fields = ["content", *same]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamis.functions import flags, rates, text
+from tamis.functions import flags, json, rates, text
 from tamis.operators import checks
 from tamis.presets import rules as offer_rules
 
@@ -67,7 +67,7 @@ def missing_ranking(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     ).orderBy(F.col("taux_manquant").desc(), "ordre")
 
 
-def _validity(df: DataFrame, columns: Sequence[str], parsed) -> DataFrame:
+def _validity(df: DataFrame, columns: Sequence[str], valid) -> DataFrame:
     """valid / invalid / missing and the rate over filled values (null if there are none)."""
 
     def filled(c: str) -> Column:
@@ -77,7 +77,7 @@ def _validity(df: DataFrame, columns: Sequence[str], parsed) -> DataFrame:
         df,
         columns,
         {
-            "valid_count": lambda c: F.count_if(filled(c) & parsed(F.col(c)).isNotNull()),
+            "valid_count": lambda c: F.count_if(filled(c) & valid(F.col(c))),
             "missing_count": lambda c: F.count_if(~filled(c)),
         },
     )
@@ -93,16 +93,16 @@ def _validity(df: DataFrame, columns: Sequence[str], parsed) -> DataFrame:
 
 def json_validity(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Bare NaN and Infinity count as invalid: they are no JSON, though some parsers take them."""
-    return _validity(df, columns, F.try_parse_json)
+    return _validity(df, columns, json.is_valid)
 
 
 def date_validity(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return _validity(df, columns, lambda c: F.try_to_timestamp(text.strip(c)))
+    return _validity(df, columns, lambda c: F.try_to_timestamp(text.strip(c)).isNotNull())
 
 
 def invalid_json_examples(df: DataFrame, column: str, key: str, limit: int = 3) -> DataFrame:
     """The first ``limit`` bad values by key, as a report."""
-    bad = ~text.is_blank(F.col(column)) & F.try_parse_json(column).isNull()
+    bad = ~text.is_blank(F.col(column)) & ~json.is_valid(F.col(column))
     return df.filter(bad).select(key, column).orderBy(key).limit(limit)
 
 
@@ -219,7 +219,7 @@ def silver_verdict(
         rules |= {"cles_manquantes": checks.missing_key(key), "cles_dupliquees": checks.duplicate_key(key)}
     rules |= {f"dates_manquantes_{c}": checks.not_null(c) for c in complete_dates if c in df.columns}
     rules |= {
-        f"json_invalide_{c}": F.count_if(~text.is_blank(F.col(c)) & F.try_parse_json(c).isNull())
+        f"json_invalide_{c}": F.count_if(~text.is_blank(F.col(c)) & ~json.is_valid(F.col(c)))
         for c in json_columns if c in df.columns
     }
     return checks.long_form(df, rules)

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tamis.functions import json
 from tamis.operators.checks import ContractError, assert_columns, long_form
 
 
@@ -20,19 +21,29 @@ def read_json_batch(spark: SparkSession, path: str, lines: bool = False) -> Data
 
     A batch file is one JSON array, written with or without line breaks; it is the unit of work,
     since an array cannot be split. ``lines`` reads one record per line instead, which splits
-    files of any size. A file whose root is no list, or no JSON, fails the job.
+    files of any size. A file whose root is no list, or whose text is not JSON to its end, fails
+    the job, and so does a bad line.
     """
     source = F.col("_metadata.file_path").alias("fichier")
+
+    def failure(message: str, kind: str):
+        return F.raise_error(F.concat(F.lit(message), F.col("fichier"))).cast(kind)
+
     if lines:
-        rows = spark.read.text(path).filter(F.trim("value") != "")
-        return rows.select(source, F.col("_metadata.file_block_start").alias("position"),
-                           F.col("value").alias("record"))
+        rows = spark.read.text(path).filter(F.trim("value") != "").select(
+            source, F.col("_metadata.file_block_start").alias("position"), "value")
+        checked = F.when(json.is_valid(F.col("value")), F.col("value")).otherwise(
+            failure("line is not JSON: ", "string"))
+        return rows.select("fichier", "position", checked.alias("record"))
     whole = spark.read.text(path, wholetext=True).select(source, "value")
-    is_list = F.col("value").rlike(r"\A﻿?\s*\[")
-    items = F.from_json("value", "array<string>", {"mode": "FAILFAST"})
-    wrong = F.raise_error(F.concat(F.lit("root is not a list: "), F.col("fichier"))).cast("array<string>")
+    is_list = F.col("value").rlike(r"\A\s*\[") & F.col("value").rlike(r"\]\s*\z")
+    # Inside an object, a second array or stray text behind the first is an error, not ignored.
+    held = F.concat(F.lit('{"v":'), F.col("value"), F.lit("}"))
+    items = F.from_json(held, "v array<string>", {"mode": "FAILFAST"})["v"]
     return whole.select(
-        "fichier", F.posexplode(F.when(is_list, items).otherwise(wrong)).alias("position", "record")
+        "fichier",
+        F.posexplode(F.when(is_list, items).otherwise(failure("root is not a list: ", "array<string>")))
+        .alias("position", "record"),
     )
 
 

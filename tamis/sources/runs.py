@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tamis.functions.rates import report_rate
+
 
 # Layers and units a metric may carry.
 LAYERS = ("RAW", "BRONZE", "SILVER", "POSTGRES", "DBT")
@@ -51,8 +53,9 @@ def run_state(events: DataFrame, keys: Sequence[str] = ("dag_id", "dag_run_id"))
     A restart keeps the earliest start and forgets the outcome; the end sets the duration. A
     failure of the build task marks the build as failed.
     """
-    started = F.min(F.when(F.col("kind") == RUNNING, F.col("at"))).alias("started_at")
-    last = F.max_by(F.struct("kind", "at", "failed_task_id", "error_message"), "sequence").alias("_last")
+    at = F.col("at").cast("timestamp")
+    started = F.min(F.when(F.col("kind") == RUNNING, at)).alias("started_at")
+    last = F.max_by(F.struct("kind", at.alias("at"), "failed_task_id", "error_message"), "sequence").alias("_last")
     state = events.groupBy(*keys).agg(started, last)
     ended = F.col("_last.kind") != RUNNING
     failed = F.col("_last.kind") == FAILED
