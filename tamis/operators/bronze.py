@@ -41,11 +41,12 @@ def flatten(
     json_fields: Sequence[str] = preset.JSON_FIELDS,
     types: Mapping[str, T.DataType] = preset.TYPED_FIELDS,
     extra: Sequence[str] = (),
+    record: str = "record",
 ) -> DataFrame:
     """Declared columns always, plus the ``extra`` top-level keys of this batch.
 
-    ``raw_record`` is the whole record as compact JSON with sorted keys, so that two copies of a
-    record are equal text.
+    ``raw_record`` takes the place of the input text: the whole record as compact JSON with sorted
+    keys, so that two copies of a record are equal text.
     """
 
     def typed(name: str, *keys: str) -> Column:
@@ -57,7 +58,7 @@ def flatten(
     declared = dict.fromkeys([*scalars, *(n for n in types if n not in children), *json_fields])
     columns += [typed(name, name) for name in declared]
     columns += [typed(name, name) for name in extra if name not in declared and name not in nested]
-    kept = [c for c in parsed.columns if c != VALUE]
+    kept = [c for c in parsed.columns if c not in (VALUE, record)]
     return parsed.select(*kept, *columns, F.to_json(VALUE).alias("raw_record"))
 
 

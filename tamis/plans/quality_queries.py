@@ -516,6 +516,6 @@ register("run_metrics", _run_metrics, " union all ".join(
         ("BRONZE", "unique_id_count", _N, "count"), ("BRONZE", "column_count", str(_BRONZE_COLUMNS), "count"),
         ("BRONZE", "schema_drift_field_count", "0", "count"), ("BRONZE", "schema_drift_detected", "0", "boolean"),
         ("SILVER", "row_count", _N, "count"), ("SILVER", "unique_id_count", _N, "count"),
-        ("SILVER", "column_count", "73", "count"),
+        ("SILVER", "column_count", "72", "count"),
         *[("SILVER", m, _silver_rate(c), "percent") for m, c in runs.RATE_METRICS.items()],
         ("POSTGRES", "row_count", _N, "count"), ("DBT", "build_success", "1", "boolean"))))
