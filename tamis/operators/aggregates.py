@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +14,10 @@ from tamis.functions import flags as flag_fn
 _ID, _CODE, _LINEAGE, _TAG, _MASK = "_id", "_code", "_lineage", "_tag", "_mask"
 _FACT_ROW, _CODE_ROW, _LINEAGE_ROW = 0, 1, 2
 
+# Rows of a first aggregate by finer keys -> the same rows under the wanted keys, possibly several
+# for one. Growing rows after an aggregate instead of before it keeps the big shuffle narrow.
+Regroup = tuple[Sequence[str], Callable[[DataFrame], DataFrame]]
+
 
 def distinct_counts(
     df: DataFrame,
@@ -23,24 +27,32 @@ def distinct_counts(
     means: Mapping[str, Column] | None = None,
     covered: Mapping[str, Column] | None = None,
     lineage: Mapping[str, Column] | None = None,
+    extremes: Mapping[str, Column] | None = None,
+    regroup: Regroup | None = None,
     total: str = "nombre_offres",
 ) -> DataFrame:
     """``count(distinct id)`` in total and under each condition, per key; one wide shuffle.
 
     * Conditions of one row become the bits of one long, so twenty of them cost eight bytes per
       row of shuffle. An id counts under a condition if any of its rows fulfils it.
-    * ``means`` are row-level: ``<name>_somme`` and ``<name>_nombre`` carry sum and count.
+    * ``means`` are row-level: ``<name>_somme`` and ``<name>_nombre`` carry sum and count;
+      so are ``extremes``, with ``<name>_min`` and ``<name>_max``.
     * ``covered`` counts the distinct values of one more column, and ``lineage`` takes maxima.
       Each input row emits a second (third) row for them; those collapse in the map-side
       aggregate, so the shuffle hardly grows and the input is read once. Keeping lineage strings
       out of the aggregation buffers lets the big aggregation stay hash-based.
+    * ``regroup`` = (finer keys, function): rows are first combined per finer key and id, spread
+      by id, and only then turned into rows of ``keys``. Whatever copies of an id arise share a
+      partition, so merging them needs no further shuffle.
     """
     means, covered, lineage = dict(means or {}), dict(covered or {}), dict(lineage or {})
+    extremes = dict(extremes or {})
     if len(conditions) > 62:
         raise ValueError("at most 62 conditions fit into one mask")
     if len(covered) > 1:
         raise ValueError("one covered column")
     keys = list(keys)
+    first_keys = list(regroup[0]) if regroup else keys
 
     bits = {name: 1 << i for i, name in enumerate(conditions)}
     mask = reduce(
@@ -57,10 +69,10 @@ def distinct_counts(
     code = next(iter(covered.values()), F.lit(None).cast("string"))
     origin = F.struct(*[c.alias(n) for n, c in lineage.items()]) if lineage else F.lit(None).cast("string")
     rows = df.select(
-        *keys,
+        *first_keys,
         F.col(id_column).alias(_ID),
         mask.alias(_MASK),
-        *[c.alias(n) for n, c in means.items()],
+        *[c.alias(n) for n, c in {**means, **extremes}.items()],
         code.alias(_CODE),
         origin.alias(_LINEAGE),
     )
@@ -71,18 +83,27 @@ def distinct_counts(
                 _ID: F.when(F.col(_TAG) == _FACT_ROW, F.col(_ID)),
                 _CODE: F.when(F.col(_TAG) == _CODE_ROW, F.col(_CODE)),
                 _LINEAGE: F.when(F.col(_TAG) == _LINEAGE_ROW, F.col(_LINEAGE)),
-                **{n: F.when(F.col(_TAG) == _FACT_ROW, F.col(n)) for n in means},
+                **{n: F.when(F.col(_TAG) == _FACT_ROW, F.col(n)) for n in (*means, *extremes)},
             }
         )
     else:
         rows = rows.withColumn(_TAG, F.lit(_FACT_ROW))
 
     # One row per (key, id); hot ids and the code and lineage rows shrink before the shuffle.
-    per_id = rows.groupBy(*keys, _TAG, _ID, _CODE, _LINEAGE).agg(
-        F.bit_or(_MASK).alias(_MASK),
-        *[F.sum(n).alias(f"{n}_somme") for n in means],
-        *[F.count(n).alias(f"{n}_nombre") for n in means],
+    sums = {f"{n}_somme": F.sum(n) for n in means} | {f"{n}_nombre": F.count(n) for n in means}
+    ends = {f"{n}_min": F.min(n) for n in extremes} | {f"{n}_max": F.max(n) for n in extremes}
+    per_id = rows.groupBy(*first_keys, _TAG, _ID, _CODE, _LINEAGE).agg(
+        F.bit_or(_MASK).alias(_MASK), *[c.alias(n) for n, c in (sums | ends).items()]
     )
+
+    def merged(name: str) -> Column:
+        how = F.min if name.endswith("_min") else F.max if name.endswith("_max") else F.sum
+        return how(name).alias(name)
+
+    if regroup:
+        per_id = regroup[1](per_id.repartition(_ID)).groupBy(*keys, _TAG, _ID, _CODE, _LINEAGE).agg(
+            F.bit_or(_MASK).alias(_MASK), *[merged(n) for n in sums | ends]
+        )
     is_id = F.col(_ID).isNotNull()
     counts = [F.count_if(is_id).alias(total)]
     counts += [
@@ -90,20 +111,20 @@ def distinct_counts(
         for name, bit in bits.items()
     ]
     counts += [F.count(_CODE).alias(name) for name in covered]
-    counts += [F.sum(f"{n}{s}").alias(f"{n}{s}") for n in means for s in ("_somme", "_nombre")]
+    carried = [merged(n) for n in sums | ends]
     if not lineage:
-        return per_id.groupBy(*keys).agg(*counts)
+        return per_id.groupBy(*keys).agg(*counts, *carried)
     # Lineage stays a grouping column until only a handful of rows per key is left.
-    per_origin = per_id.groupBy(*keys, _LINEAGE).agg(*counts)
+    per_origin = per_id.groupBy(*keys, _LINEAGE).agg(*counts, *carried)
     names = [c for c in per_origin.columns if c not in (*keys, _LINEAGE)]
     result = per_origin.groupBy(*keys).agg(
-        *[F.max(f"{_LINEAGE}.{n}").alias(n) for n in lineage], *[F.sum(n).alias(n) for n in names]
+        *[F.max(f"{_LINEAGE}.{n}").alias(n) for n in lineage], *[merged(n) for n in names]
     )
     if keys:
         return result
     # Without keys an empty input still gives its one row, with zero counts.
     return result.withColumns(
-        {n: F.coalesce(F.col(n), F.lit(0).cast("long")) for n in names if not n.endswith("_somme")}
+        {n: F.coalesce(F.col(n), F.lit(0).cast("long")) for n in names if n not in sums | ends}
     )
 
 
@@ -130,6 +151,7 @@ def exact_quantiles(
     quantiles: Mapping[str, float],
     where: Column | None = None,
     bucket: float = 100.0,
+    regroup: Regroup | None = None,
 ) -> DataFrame:
     """Interpolated exact quantiles per key, without ever holding one group in one task.
 
@@ -139,16 +161,23 @@ def exact_quantiles(
     ranked value by value. A task sees the distinct values of one bucket, or one number per bucket.
 
     Groups without a value give no row; ranks use SQL's ``(n - 1) * q``.
+
+    Rows that fail ``where`` become one null value per key and leave after the first aggregate. A
+    filter before it would be pushed down with the whole expression behind ``where`` copied in.
     """
     keys = list(keys)
     by_key = [F.col(k) for k in keys]
-    rows = df.filter(flag_fn.is_true(where)) if where is not None else df
-    rows = rows.select(*keys, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
+    kept = F.when(flag_fn.is_true(where), F.col(value)) if where is not None else F.col(value)
+    first_keys = list(regroup[0]) if regroup else keys
     counted = (
-        rows.groupBy(*keys, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_bucket", F.floor(F.col("_v") / F.lit(bucket)).cast("long"))
+        df.select(*first_keys, kept.alias("_v"))
+        .groupBy(*first_keys, "_v")
+        .agg(F.count("_v").alias("_n"))
+        .filter("_n > 0")
     )
+    if regroup:
+        counted = regroup[1](counted).groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
+    counted = counted.withColumn("_bucket", F.floor(F.col("_v") / F.lit(bucket)).cast("long"))
 
     # Offsets: a few thousand buckets per key at most, each one number.
     order = Window.partitionBy(*by_key, *([] if keys else [F.lit(0)]))
@@ -171,7 +200,9 @@ def exact_quantiles(
     renamed = needed.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_b"), "_start", "_total"
     )
-    same = counted["_bucket"] == renamed["_b"]
+    # Null-safe, so that no not-null filter is derived that would keep the two uses of ``counted``
+    # from sharing one shuffle.
+    same = counted["_bucket"].eqNullSafe(renamed["_b"])
     for k in keys:
         same = same & counted[k].eqNullSafe(renamed[f"_k_{k}"])
     inside = Window.partitionBy(*by_key, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)

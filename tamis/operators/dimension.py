@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,16 +12,43 @@ from tamis.presets import areas as preset
 from tamis.presets import rules
 
 
+# Rows up to which a reference is sent to every task.
+BROADCAST_ROWS = 100_000
+
+
+def _constant(spark: SparkSession, rows: Sequence[Sequence[str]], columns: str) -> DataFrame:
+    """A table of constants inside the plan, whose size the optimiser knows."""
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "\\'") + "'"
+
+    lines = ", ".join("(" + ", ".join(text(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"select * from values {lines} as t({columns})")
+
+
 def preset_areas(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """Area and region tables of the preset (101 and 18 rows)."""
     return (
-        spark.createDataFrame(
-            list(preset.AREAS), "code_departement string, nom_departement string, code_region string"
-        ),
-        spark.createDataFrame(list(preset.REGIONS), "code_region string, nom_region string"),
+        _constant(spark, preset.AREAS, "code_departement, nom_departement, code_region"),
+        _constant(spark, preset.REGIONS, "code_region, nom_region"),
     )
 
 
+def preset_reference(spark: SparkSession) -> DataFrame:
+    """The preset areas with the name of their region, as constants."""
+    region = dict(preset.REGIONS)
+    rows = [(code, name, key, region[key]) for code, name, key in preset.AREAS]
+    return _constant(spark, rows, "code_departement, nom_departement, code_region, nom_region")
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast hint once the table is known to be small; beyond that a shuffle join, split by AQE.
+
+    The check reads at most ``rows + 1`` rows and needs no statistics, which a computed reference
+    does not have. Without the hint such a join would shuffle the facts by a few hot codes.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def many_to_one(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Left join that fails when a key occurs twice on the right.
 
@@ -55,15 +84,10 @@ def reference_problems(reference: DataFrame) -> DataFrame:
     return wide.unpivot([], wide.columns, "controle", "violations")
 
 
-def preset_reference(spark: SparkSession) -> DataFrame:
-    return build_reference(*preset_areas(spark))
-
-
 def attach_area(offers: DataFrame, reference: DataFrame) -> DataFrame:
     """Region columns and display values for unknown areas.
 
-    The reference has one row per area code; its size is known to the optimiser, which picks a
-    broadcast join for it and falls back to a shuffle join should it ever be large.
+    The reference has one row per area code and is broadcast after a check of its size.
     """
     known = reference.select(
         F.col("code_departement"),
@@ -71,7 +95,7 @@ def attach_area(offers: DataFrame, reference: DataFrame) -> DataFrame:
         F.col("code_region").alias("_region"),
         F.col("nom_region").alias("_region_name"),
     )
-    return offers.join(known, "code_departement", "left").select(
+    return offers.join(broadcast_if_small(known), "code_departement", "left").select(
         *offers.columns,
         F.coalesce("code_departement", F.lit(rules.NO_AREA)).alias("code_departement_mart"),
         F.coalesce("_area", F.lit(rules.UNKNOWN)).alias("nom_departement_mart"),

@@ -25,24 +25,30 @@ def bronze_equals_raw(raw: DataFrame, bronze: DataFrame, key: str = "id", record
     and the copies of an id meet in an aggregate, not in a join. The gate needs unique ids, so
     repeats are counted as violations of their own.
     """
-    def from_record(source: Column, name: str) -> Column:
-        return F.try_variant_get(F.try_parse_json(source), f"$.{name}", "string")
+    def own(name: str) -> Column:
+        return F.try_variant_get(F.col("_parsed"), f"$['{name}']", "string")
 
-    def code(name: str, c: Column) -> list[Column]:
-        return [part.alias(f"_{name}_{half}") for half, part in digest(c).items()]
+    def short(name: str, c: Column) -> list[Column]:
+        """128 bits of a short field."""
+        c = F.coalesce(c, F.lit("\x00"))
+        return [F.xxhash64(c).alias(f"_{name}_h"), F.xxhash64(F.lit("tamis"), c).alias(f"_{name}_l")]
 
-    expected = raw.select(
-        F.col(key).cast("string").alias("id"), F.lit(0).alias("_side"),
-        F.lit(True).alias("_readable"), F.lit(True).alias("_own_id"),
-        *code("content", json.canonical(F.col("record"))),
-        *[c for n in same for c in code(n, from_record(F.col("record"), n))],
+    def content() -> list[Column]:
+        return [part.alias(f"_content_{half}") for half, part in digest(F.to_json("_parsed")).items()]
+
+    # Each text is parsed once; the fields and the canonical form are read from the result.
+    expected = raw.select(F.col(key).cast("string").alias("id"), F.try_parse_json("record").alias("_parsed")).select(
+        "id", F.lit(0).alias("_side"), F.lit(True).alias("_readable"), F.lit(True).alias("_own_id"),
+        *content(), *[c for n in same for c in short(n, own(n))],
     )
+    readable = F.coalesce(json.is_valid(F.col(record)), F.lit(False))
     actual = bronze.select(
-        F.col(key).cast("string").alias("id"), F.lit(1).alias("_side"),
-        F.coalesce(json.is_valid(F.col(record)), F.lit(False)).alias("_readable"),
-        F.coalesce(from_record(F.col(record), key) == F.col(key).cast("string"), F.lit(False)).alias("_own_id"),
-        *code("content", json.canonical(F.col(record))),
-        *[c for n in same for c in code(n, F.col(n))],
+        F.col(key).cast("string").alias("id"), readable.alias("_readable"),
+        F.try_parse_json(record).alias("_parsed"), *same,
+    ).select(
+        "id", F.lit(1).alias("_side"), "_readable",
+        F.coalesce(own(key) == F.col("id"), F.lit(False)).alias("_own_id"),
+        *content(), *[c for n in same for c in short(n, F.col(n))],
     )
     fields = ["content", *same]
     per_id = expected.unionByName(actual).groupBy("id").agg(

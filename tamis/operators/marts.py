@@ -281,8 +281,11 @@ AXIS_KEYS = ("ordre_axe", "axe_analyse", "code_modalite", "modalite")
 QUARTILES = {"premier_quartile": 0.25, "salaire_annuel_median": 0.5, "troisieme_quartile": 0.75}
 
 
+AXIS_SOURCE = (*(column for _, _, column in CATEGORY_AXES), "code_region_mart", "nom_region_mart")
+
+
 def unpivot_axes(facts: DataFrame) -> DataFrame:
-    """Each offer once per axis, from one read of the input."""
+    """Each row once per axis, its category columns replaced by the axis columns."""
 
     def axis(order: int, name: str, code: Column, label: Column) -> Column:
         return F.struct(F.lit(order).alias("ordre_axe"), F.lit(name).alias("axe_analyse"),
@@ -295,7 +298,8 @@ def unpivot_axes(facts: DataFrame) -> DataFrame:
                          F.coalesce(column, F.lit(rules.UNKNOWN))))
     axes.append(axis(*REGION_AXIS, F.col("code_region_mart"), F.col("nom_region_mart")))
     return facts.withColumn("_axis", F.explode(F.array(*axes))).select(
-        *[F.col(f"_axis.{k}").alias(k) for k in AXIS_KEYS], *facts.columns
+        *[F.col(f"_axis.{k}").alias(k) for k in AXIS_KEYS],
+        *[c for c in facts.columns if c not in AXIS_SOURCE],
     )
 
 
@@ -303,43 +307,38 @@ def salary_analysis(facts: DataFrame, computed_at: datetime | None = None) -> Da
     """Volumes, transparency and pay distribution per value of four axes.
 
     ``facts``: offers with salary facts (``salaries.attach_facts`` or ``join_facts``) and areas.
-    Usable salaries lie between 0 and the outlier threshold with two decimals, so one quantile
+    Rows are combined per category combination before they are spread over the axes: the big
+    shuffle carries each offer once, not once per axis. Usable salaries lie between 0 and the outlier threshold with two decimals, so one quantile
     bucket of 100 units holds at most 10,000 different values.
     """
-    needed = ("id_offre", "salaire_renseigne", "salaire_suspect", "salaire_exploitable",
-              "salaire_annuel_central", *LINEAGE.values(), "famille_metier_data", "categorie_contrat",
-              "code_region_mart", "nom_region_mart")
-    rows = unpivot_axes(facts.select(*dict.fromkeys(needed)))
     stated, usable = flags.is_true(F.col("salaire_renseigne")), flags.is_true(F.col("salaire_exploitable"))
     central = "salaire_annuel_central"
-    keys = list(AXIS_KEYS)
+    keys, regroup = list(AXIS_KEYS), (AXIS_SOURCE, unpivot_axes)
 
     volumes = aggregates.distinct_counts(
-        rows, keys, "id_offre",
+        facts, keys, "id_offre",
         {
             "nombre_salaires_renseignes": stated,
             "nombre_salaires_suspects": flags.is_true(F.col("salaire_suspect")),
             "nombre_salaires_exploitables": usable,
             "nombre_salaires_non_exploitables": stated & ~usable,
         },
+        means={"paie": F.when(usable, F.col(central))},
+        extremes={"paie_bornes": F.when(usable, F.col(central))},
         lineage={name: F.col(c) for name, c in LINEAGE.items()},
+        regroup=regroup,
     )
-    # Only usable rows go on from here: few columns, few rows.
-    pay = rows.filter(usable)
-    spread = aggregates.filtered_stats(pay, keys, central, F.lit(True))
-    quartiles = aggregates.exact_quantiles(pay, keys, central, QUARTILES)
-
-    everything = volumes.filter(F.col("ordre_axe") == GLOBAL_AXIS[0]).select(
-        F.col("nombre_offres").alias("_all")
+    quartiles = aggregates.exact_quantiles(facts, keys, central, QUARTILES, usable, regroup=regroup)
+    # The global row among the few aggregated ones; a window, so that nothing is computed twice.
+    everything = F.max(F.when(F.col("ordre_axe") == GLOBAL_AXIS[0], F.col("nombre_offres"))).over(
+        Window.partitionBy()
     )
     n, total = F.col, F.col("nombre_offres")
     order = Window.partitionBy("axe_analyse").orderBy(total.desc(), "modalite")
     money = {q: F.round(F.col(q), 2).cast("decimal(28,2)") for q in QUARTILES}
     return (
-        volumes.join(spread, keys, "left")
-        .join(quartiles, keys, "left")
-        .withColumns(money)
-        .crossJoin(everything)
+        volumes.join(quartiles, keys, "left")
+        .withColumns({**money, "_all": everything})
         .select(
             *_stamp(computed_at),
             "ordre_axe",
@@ -359,13 +358,13 @@ def salary_analysis(facts: DataFrame, computed_at: datetime | None = None) -> Da
                 "taux_exploitabilite_salaires_renseignes_pct"),
             n("nombre_salaires_suspects").cast("int").alias("nombre_salaires_suspects"),
             n("nombre_salaires_non_exploitables").cast("int").alias("nombre_salaires_non_exploitables"),
-            rates.mean(n("somme"), n("nombre")).alias("salaire_annuel_moyen"),
+            rates.mean(n("paie_somme"), n("paie_nombre")).alias("salaire_annuel_moyen"),
             "salaire_annuel_median",
             "premier_quartile",
             "troisieme_quartile",
             (n("troisieme_quartile") - n("premier_quartile")).alias("ecart_interquartile"),
-            n("minimum").alias("salaire_annuel_min_observe"),
-            n("maximum").alias("salaire_annuel_max_observe"),
+            n("paie_bornes_min").alias("salaire_annuel_min_observe"),
+            n("paie_bornes_max").alias("salaire_annuel_max_observe"),
         )
         .orderBy("ordre_axe", "rang_modalite")
     )

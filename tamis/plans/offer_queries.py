@@ -152,6 +152,6 @@ register("mart_by_area", lambda spark, d: marts.by_area(tables.placed(spark, d))
 register("mart_by_region", lambda spark, d: marts.by_region(tables.placed(spark, d)), sql.BY_REGION)
 register(
     "mart_salary_analysis",
-    lambda spark, d: marts.salary_analysis(salaries.attach_facts(tables.placed(spark, d))),
+    lambda spark, d: marts.salary_analysis(tables.salary_facts(spark, d)),
     sql.SALARY_ANALYSIS,
 )

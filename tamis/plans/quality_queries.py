@@ -411,10 +411,8 @@ _FIVE = ("nombre_offres", "nombre_salaires_renseignes", "nombre_salaires_exploit
 
 
 def _salary_mart(spark, sf_dir):
-    from tamis.operators import salaries
-
     return tables.stored(spark, sf_dir, "mart_salaires", lambda: marts.salary_analysis(
-        salaries.attach_facts(tables.placed(spark, sf_dir))).drop("date_calcul_kpi"))
+        tables.salary_facts(spark, sf_dir)).drop("date_calcul_kpi"))
 
 
 register(

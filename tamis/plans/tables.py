@@ -104,5 +104,18 @@ def salary_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+FACT_COLUMNS = ("id_offre", "famille_metier_data", "categorie_contrat", "code_departement", "salaire_renseigne",
+                "batch_id", "fichier_source_silver", "date_chargement", *salaries.FACTS)
+
+
+def salary_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Offers with their salary facts, stored: labels are parsed once, and no join is needed."""
+    facts = stored(
+        spark, sf_dir, "salary_facts",
+        lambda: salaries.attach_facts(enriched(spark, sf_dir)).select(*FACT_COLUMNS),
+    )
+    return dimension.attach_area(facts, dimension.preset_reference(spark))
+
+
 def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension.attach_area(enriched(spark, sf_dir), dimension.preset_reference(spark))

@@ -114,8 +114,9 @@ def test_ranks_break_ties_and_put_the_unknown_area_last(spark):
 
 
 def test_reference_is_complete_and_checked(spark):
-    reference = dimension.preset_reference(spark)
+    reference = dimension.build_reference(*dimension.preset_areas(spark))
     rows = reference.collect()
+    assert sorted(dimension.preset_reference(spark).collect()) == sorted(rows)
     assert len(rows) == 101 and len({r.code_region for r in rows}) == 18
     assert [r.code_departement for r in rows] == sorted(r.code_departement for r in rows)
     assert {r.code_departement: r.nom_region for r in rows}["2A"] == "Corse"
