@@ -52,7 +52,8 @@ def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 def many_to_one(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Left join that fails when a key occurs twice on the right.
 
-    The check rides along in the aggregate that makes the right side unique; no separate job.
+    The check rides along in the aggregate that makes the right side unique. That side is broadcast
+    if it is small, so that hot keys of the left side stay where they are.
     """
     others = [c for c in right.columns if c != on]
     row = F.struct(*others) if others else F.struct(F.col(on))
@@ -64,7 +65,7 @@ def many_to_one(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
         .otherwise(F.col("_row"))
         .alias("_row"),
     )
-    return left.join(checked, on, "left").select(*left.columns, *[F.col(f"_row.{c}") for c in others])
+    return left.join(broadcast_if_small(checked), on, "left").select(*left.columns, *[F.col(f"_row.{c}") for c in others])
 
 
 def build_reference(areas: DataFrame, regions: DataFrame) -> DataFrame:

@@ -179,19 +179,23 @@ def market_kpis(offers: DataFrame, computed_at: datetime | None = None) -> DataF
     )
 
 
-def grouped(offers: DataFrame, mart: Mart, computed_at: datetime | None = None) -> DataFrame:
+def grouped(offers: DataFrame, mart: Mart, computed_at: datetime | None = None,
+            kpis: DataFrame | None = None) -> DataFrame:
     """Counts, shares and rank per group.
 
     The grand total is a distinct count over all offers. An id of several groups counts in each
-    group but once in the total, so the total is its own small aggregate: one id-only shuffle.
-    The rank window has no partition, on the handful of rows left after aggregation.
+    group but once in the total, so the total is its own aggregate with one id-only shuffle,
+    unless the stored market row (``kpis``) already has it. The rank window has no partition, on the handful of rows left after aggregation.
     """
     total = "nombre_offres"
     counted = _counts(
         offers.withColumns({out: F.col(c) for out, c in mart.keys.items()}),
         list(mart.keys), mart.measures, mart.covers_areas, total,
     )
-    everything = offers.select("id_offre").distinct().agg(F.count("id_offre").alias("_all"))
+    if kpis is None:
+        everything = offers.select("id_offre").distinct().agg(F.count("id_offre").alias("_all"))
+    else:
+        everything = kpis.agg(F.max("nombre_total_offres").cast("long").alias("_all"))
     last = F.when(F.col(mart.unknown[0]) == mart.unknown[1], 1).otherwise(0) if mart.unknown else F.lit(0)
     order = Window.orderBy(last, F.col(total).desc(), F.col(next(iter(mart.keys))))
     return (
@@ -252,22 +256,26 @@ def _region() -> Mart:
     )
 
 
-def by_family(offers: DataFrame, computed_at: datetime | None = None) -> DataFrame:
+def by_family(offers: DataFrame, computed_at: datetime | None = None,
+              kpis: DataFrame | None = None) -> DataFrame:
     """Equal volumes rank by label, so that ranks are the same on every run."""
-    return grouped(offers, _family(), computed_at)
+    return grouped(offers, _family(), computed_at, kpis)
 
 
-def by_contract(offers: DataFrame, computed_at: datetime | None = None) -> DataFrame:
-    return grouped(offers, _contract(), computed_at)
+def by_contract(offers: DataFrame, computed_at: datetime | None = None,
+                kpis: DataFrame | None = None) -> DataFrame:
+    return grouped(offers, _contract(), computed_at, kpis)
 
 
-def by_area(placed: DataFrame, computed_at: datetime | None = None) -> DataFrame:
+def by_area(placed: DataFrame, computed_at: datetime | None = None,
+            kpis: DataFrame | None = None) -> DataFrame:
     """``placed``: offers after ``dimension.attach_area``. The unknown area ranks last."""
-    return grouped(placed, _area(), computed_at)
+    return grouped(placed, _area(), computed_at, kpis)
 
 
-def by_region(placed: DataFrame, computed_at: datetime | None = None) -> DataFrame:
-    return grouped(placed, _region(), computed_at)
+def by_region(placed: DataFrame, computed_at: datetime | None = None,
+              kpis: DataFrame | None = None) -> DataFrame:
+    return grouped(placed, _region(), computed_at, kpis)
 
 
 # Axes of the salary mart: order, axis, code when missing, label when missing.

@@ -88,12 +88,13 @@ def build_marts(served: DataFrame, reference: DataFrame, run: Run) -> dict[str,
     offers = stored(enrichment.enrich(enrichment.staging(served)), "offres_enrichies")
     priced = stored(salaries.attach_facts(offers.drop("description_offre")), "salaires")
     placed, facts = dimension.attach_area(offers, reference), dimension.attach_area(priced, reference)
+    kpis = stored(marts.market_kpis(offers), "marche")
     return {
-        "marche": marts.market_kpis(offers),
-        "famille": marts.by_family(offers),
-        "contrat": marts.by_contract(offers),
-        "departement": marts.by_area(placed),
-        "region": marts.by_region(placed),
+        "marche": kpis,
+        "famille": marts.by_family(offers, kpis=kpis),
+        "contrat": marts.by_contract(offers, kpis=kpis),
+        "departement": marts.by_area(placed, kpis=kpis),
+        "region": marts.by_region(placed, kpis=kpis),
         "salaires": marts.salary_analysis(facts),
     }
 

@@ -22,6 +22,20 @@ SETTINGS = {
 }
 
 
+def shuffle_settings(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Shuffle partitions for an input size; AQE merges those that turn out small.
+
+    The big shuffles of this library carry ids, masks and hashes, less than the input, so one
+    partition per 128 MB of input keeps every task well inside executor memory.
+    """
+    count = max(200, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(count),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def build_session(app: str = "tamis", master: str | None = None, **extra: str) -> SparkSession:
     """Session with the settings the operators rely on; ``master`` only for local runs."""
     builder = SparkSession.builder.appName(app)
