@@ -24,7 +24,7 @@ def test_distinct_counts_match_brute_force(spark, seed):
             for _ in range(400)]
     df = spark.createDataFrame(rows, "k string, id int, p boolean, c string, v int, l string").repartition(5)
     got = {r["k"]: r for r in aggregates.distinct_counts(
-        df, ["k"], "id", {"vrai": F.col("p")}, {"m": F.col("v")}, {"codes": F.col("c")}, {"lot": F.col("l")}, "n"
+        df, ["k"], "id", {"vrai": F.col("p")}, {"m": F.col("v")}, {"codes": F.col("c")}, {"lot": F.col("l")}, total="n"
     ).collect()}
     for k in ("a", "b", None):
         mine = [r for r in rows if r[0] == k]
@@ -37,6 +37,34 @@ def test_distinct_counts_match_brute_force(spark, seed):
         assert got[k]["lot"] == max(r[5] for r in mine)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_regrouped_counts_match_brute_force(spark, seed):
+    """An id that holds a third of the rows, in several categories, counts once per axis value."""
+    rnd = random.Random(seed)
+    rows = [(rnd.choice(["x", "y"]), rnd.choice(["u", "v", "w"]), rnd.choice([1] * 10 + [None, *range(20)]),
+             rnd.random() < 0.5, rnd.randint(0, 9)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "a string, b string, id int, p boolean, v int").repartition(6)
+
+    def axes(d):
+        pairs = [F.struct(F.lit(n).alias("axe"), F.col(n).alias("m")) for n in ("a", "b")]
+        return d.select("*", F.inline(F.array(*pairs))).drop("a", "b")
+
+    got = {(r["axe"], r["m"]): r for r in aggregates.distinct_counts(
+        df, ["axe", "m"], "id", {"vrai": F.col("p")}, {"s": F.col("v")}, lineage={"lot": F.col("b")},
+        extremes={"e": F.col("v")}, regroup=(("a", "b"), axes), total="n").collect()}
+    quantiles = {(r["axe"], r["m"]): r["med"] for r in aggregates.exact_quantiles(
+        df, ["axe", "m"], "v", {"med": 0.5}, F.col("p"), 2.0, regroup=(("a", "b"), axes)).collect()}
+    assert len(got) == 5
+    for (axis, m), row in got.items():
+        mine = [r for r in rows if r["ab".index(axis)] == m]
+        assert row["n"] == len({r[2] for r in mine if r[2] is not None})
+        assert row["vrai"] == len({r[2] for r in mine if r[3] and r[2] is not None})
+        assert (row["s_somme"], row["s_nombre"]) == (sum(r[4] for r in mine), len(mine))
+        assert (row["e_min"], row["e_max"], row["lot"]) == (
+            min(r[4] for r in mine), max(r[4] for r in mine), max(r[1] for r in mine))
+        assert quantiles[axis, m] == np.quantile([r[4] for r in mine if r[3]], 0.5)
+
+
 def test_market_kpis_of_no_offers_is_one_row(spark):
     schema = ("id_offre string, famille_metier_data string, categorie_contrat string, salaire_renseigne boolean, "
               "mention_cloud_devops boolean, offre_difficile_a_pourvoir boolean, "
