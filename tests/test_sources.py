@@ -1,4 +1,5 @@
 import pytest
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -22,7 +23,8 @@ def test_json_batch_keeps_records_as_they_are(spark, tmp_path):
 @pytest.mark.parametrize("text", ['{"id": "1"}', '[{"id": "1"}', '[{"id": "1"}][{"id": "2"}]', "[{]"])
 def test_bad_batches_fail(spark, tmp_path, text):
     path = write(tmp_path, "b.json", text)
-    with pytest.raises(PySparkException):
+    # Spark hands some failures of the JSON parser over unconverted.
+    with pytest.raises((PySparkException, Py4JJavaError)):
         files.read_json_batch(spark, path).collect()
 
 
