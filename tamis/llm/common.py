@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 def prepare(spark: SparkSession) -> None:
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    # Python workers import this package from where the driver found it, if it is not installed.
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    root = str(Path(__file__).resolve().parents[2])
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*paths, root]))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import mixing, url_filter
+from tamis.llm import mixing, simhash_dedup, url_filter
 from tamis.llm.common import prepare, table
 from tamis.llm.queries_sql import MIX_SQL, URL_SQL
 
@@ -33,5 +33,10 @@ def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op5_pareto_mix)}
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op5_pareto_mix, op6_simhash_dedup)}
 ORACLE: dict[str, str] = {"op1_host_reputation": URL_SQL, "op5_pareto_mix": MIX_SQL}
