@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import mixing, simhash_dedup, url_filter
-from tamis.llm.common import prepare, table
+from tamis.llm import fingerprints, mixing, simhash_dedup, url_filter
+from tamis.llm.common import prepare, table, written
 from tamis.llm.queries_sql import MIX_SQL, URL_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,22 @@ def op1_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, outcomes, URL_RULES)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_near`` searches for every document whose id is divisible by 20: distinct other fingerprints within 3 bits."""
+    prepare(spark)
+    rows = written(fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")), "op4")
+    asked = rows.filter(F.col("doc_id") % 20 == 0)
+    near = fingerprints.within(asked, rows, 3).filter("query != fp").groupBy(F.col("query").alias("fp")).agg(
+        F.count("*").alias("found"))
+    near = rows.join(near, "fp", "left")
+    return near.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.digits(F.col("fp")).alias("fingerprint"),
+        fingerprints.digits(F.col("edited_fp")).alias("edited_fingerprint"),
+        fingerprints.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        F.when(F.col("doc_id") % 20 == 0, F.coalesce("found", F.lit(0))).alias("n_near"))
+
+
 def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
@@ -38,5 +54,5 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op5_pareto_mix, op6_simhash_dedup)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup)}
 ORACLE: dict[str, str] = {"op1_host_reputation": URL_SQL, "op5_pareto_mix": MIX_SQL}
