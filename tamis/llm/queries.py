@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import fingerprints, mixing, simhash_dedup, url_filter
+from tamis.llm import decontaminate, fingerprints, mixing, simhash_dedup, url_filter
 from tamis.llm.common import prepare, table, written
-from tamis.llm.queries_sql import MIX_SQL, URL_SQL
+from tamis.llm.queries_sql import MATCH_SQL, MIX_SQL, URL_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,5 +54,13 @@ def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup)}
-ORACLE: dict[str, str] = {"op1_host_reputation": URL_SQL, "op5_pareto_mix": MIX_SQL}
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = decontaminate.find_matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("found.hits", F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return found.select("doc_id", F.col("found.n_words"), hit.alias("n_hit"), F.size("found.items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate)}
+ORACLE: dict[str, str] = {"op1_host_reputation": URL_SQL, "op5_pareto_mix": MIX_SQL, "op7_decontaminate": MATCH_SQL}

@@ -97,3 +97,28 @@ select p.page_id, p.host, p.path, f.rule,
 from parts p join scored s using (host)
 left join fits f on f.page_id is not distinct from p.page_id and f.host = p.host and f.path = p.path
 """
+
+MATCH_SQL = r"""
+with lowered as (
+    select 'd' as kind, doc_id as id, text from documents union all select 'b', item_id, text from benchmark),
+words as (
+    select kind, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from lowered),
+items as (select id, w, least(10, len(w)) as size from words where kind = 'b' and len(w) > 0),
+windows as (
+    select distinct id as item_id, size, array_to_string(w[i:i + size - 1], ' ') as gram
+    from (select *, unnest(range(1, len(w) - size + 2)) as i from items)),
+grams as (
+    select id as doc_id, size, i, array_to_string(w[i:i + size - 1], ' ') as gram
+    from (select words.id, w, size, unnest(range(1, len(w) - size + 2)) as i
+        from words, (select distinct size from items) where kind = 'd' and len(w) >= size)),
+met as (select doc_id, item_id, i, size from grams join windows using (size, gram)),
+hit as (select doc_id, count(distinct p) as n_hit
+    from (select doc_id, unnest(range(i, i + size)) as p from (select distinct doc_id, i, size from met)) group by doc_id),
+named as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as names
+    from (select distinct doc_id, item_id::varchar as item_id from met) group by doc_id)
+select id as doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+    sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words left join hit on hit.doc_id = id left join named on named.doc_id = id where kind = 'd'
+"""
