@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, fingerprints, mixing, simhash_dedup, url_filter
+from tamis.llm import decontaminate, fingerprints, mixing, simhash_dedup, url_filter, warc
 from tamis.llm.common import prepare, table, written
-from tamis.llm.queries_sql import MATCH_SQL, MIX_SQL, URL_SQL
+from tamis.llm.queries_sql import MATCH_SQL, MIX_SQL, URL_SQL, WARC_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -62,5 +62,13 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate)}
-ORACLE: dict[str, str] = {"op1_host_reputation": URL_SQL, "op5_pareto_mix": MIX_SQL, "op7_decontaminate": MATCH_SQL}
+def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_chunks(manifest, with_data=False).filter("last").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate, op8_warc_roundtrip)}
+ORACLE: dict[str, str] = {"op1_host_reputation": URL_SQL, "op5_pareto_mix": MIX_SQL, "op7_decontaminate": MATCH_SQL,
+                          "op8_warc_roundtrip": WARC_SQL}

@@ -122,3 +122,22 @@ select id as doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_
     sha256(coalesce(names, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from words left join hit on hit.doc_id = id left join named on named.doc_id = id where kind = 'd'
 """
+
+# DuckDB gives SHA-1 as hex digits; base 32 takes them in groups of five bits.
+WARC_SQL = r"""
+with payloads as (
+    select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as hex from pages),
+bits as (
+    select page_id, payload_bytes, hex, array_to_string([
+        lpad(bin(('0x' || substr(hex, i, 5))::int), 20, '0') for i in range(1, 41, 5)], '') as b from payloads),
+named as (
+    select page_id, payload_bytes, array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum([
+            substr(b, i * 5 + j, 1)::int << (5 - j) for j in range(1, 6)])::int, 1) for i in range(0, 32)], '') as payload_digest
+    from bits),
+leaders as (select payload_digest, payload_bytes, max(page_id) as leader from named group by all)
+select page_id, payload_bytes, payload_digest,
+    case when page_id = leader then 'response' else 'revisit' end as record_type,
+    case when page_id <> leader then leader end as refers_to
+from named join leaders using (payload_digest, payload_bytes)
+"""
