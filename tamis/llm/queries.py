@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, fingerprints, mixing, simhash_dedup, url_filter, warc
+from tamis.llm import decontaminate, fingerprints, line_dedup, mixing, simhash_dedup, url_filter, warc
 from tamis.llm.common import prepare, table, written
-from tamis.llm.queries_sql import MATCH_SQL, MIX_SQL, URL_SQL, WARC_SQL
+from tamis.llm.queries_sql import LINE_SQL, MATCH_SQL, MIX_SQL, URL_SQL, WARC_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,14 @@ def op1_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, outcomes, URL_RULES)
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = line_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("repeats.spans", lambda s: F.concat_ws("+", s["start"], s["length"])), ",")
+    return found.select("doc_id", F.col("repeats.units").cast("long").alias("n_units"), "repeats.removed_chars",
+                        spans.alias("spans"), F.col("repeats.text").alias("kept_text"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_near`` searches for every document whose id is divisible by 20: distinct other fingerprints within 3 bits."""
     prepare(spark)
@@ -69,6 +77,9 @@ def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_host_reputation, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate, op8_warc_roundtrip)}
-ORACLE: dict[str, str] = {"op1_host_reputation": URL_SQL, "op5_pareto_mix": MIX_SQL, "op7_decontaminate": MATCH_SQL,
-                          "op8_warc_roundtrip": WARC_SQL}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_host_reputation, op2_line_dedup, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate,
+    op8_warc_roundtrip)}
+ORACLE: dict[str, str] = {
+    "op1_host_reputation": URL_SQL, "op2_line_dedup": LINE_SQL, "op5_pareto_mix": MIX_SQL,
+    "op7_decontaminate": MATCH_SQL, "op8_warc_roundtrip": WARC_SQL}

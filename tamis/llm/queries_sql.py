@@ -141,3 +141,46 @@ select page_id, payload_bytes, payload_digest,
     case when page_id <> leader then leader end as refers_to
 from named join leaders using (payload_digest, payload_bytes)
 """
+
+# Pieces end behind a line end, or behind punctuation that white space follows; chr(1) marks the ends.
+LINE_SQL = r"""
+with marked as (
+    select doc_id, text, string_split(regexp_replace(regexp_replace(coalesce(text, ''),
+        '([.!?]+)([ \t\x0b\x0c\r])', '\1' || chr(1) || '\2', 'g'), '\n', chr(10) || chr(1), 'g'), chr(1)) as parts
+    from documents),
+pieces as (
+    select doc_id, k, parts[k] as raw, len(regexp_extract_all(parts[k], '[^\x20\x09-\x0D]+')) as words
+    from (select *, unnest(range(1, len(parts) + 1)) as k from marked) where parts[k] <> ''),
+-- A piece closes a unit if it is long or ends its line, unless the unit has no words yet.
+closing as (
+    select *, words >= 8 or (ends_with(raw, chr(10)) and (words > 0 or glued > 0)) as closes
+    from (select *, case when k > 1 and not lag_closes then 1 else 0 end as glued
+        from (select *, lag(words >= 8 or ends_with(raw, chr(10))) over w as lag_closes from pieces
+            window w as (partition by doc_id order by k)))),
+numbered as (
+    select *, coalesce(sum(closes::int) over (partition by doc_id order by k
+        rows between unbounded preceding and 1 preceding), 0)::bigint as unit from closing),
+units as (
+    select doc_id, unit, string_agg(raw, '' order by k) as raw, sum(words)::bigint as words from numbered group by all),
+hashed as (
+    select *, sum(length(raw)) over (partition by doc_id order by unit) - length(raw) as start,
+        case when words > 0 then translate(array_to_string(regexp_extract_all(raw, '[^\x20\x09-\x0D]+'), ' '),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') end as norm from units),
+ranked as (
+    select *, norm is not null and row_number() over (partition by norm order by doc_id, unit) > 1 as later from hashed),
+runs as (
+    select *, unit - row_number() over (partition by doc_id, later order by unit) as run from ranked),
+judged as (
+    select *, later and sum(words) over (partition by doc_id, later, run) >= 20 as gone from runs),
+removed as (
+    select doc_id, run, min(start) as start, sum(length(raw)) as size from judged where gone group by all),
+spans as (
+    select doc_id, string_agg(start::bigint || '+' || size::bigint, ',' order by start) as spans,
+        sum(size)::bigint as removed_chars from removed group by doc_id),
+kept as (
+    select doc_id, string_agg(raw, '' order by unit) filter (where not gone) as kept_text,
+        count(*) filter (where words > 0) as n_units from judged group by doc_id)
+select d.doc_id, coalesce(n_units, 0)::bigint as n_units, coalesce(removed_chars, 0)::bigint as removed_chars,
+    coalesce(spans, '') as spans, case when d.text is not null then coalesce(kept_text, '') end as kept_text
+from documents d left join kept using (doc_id) left join spans using (doc_id)
+"""
