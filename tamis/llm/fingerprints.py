@@ -93,7 +93,8 @@ def within(queries: DataFrame, fps: DataFrame, radius: int = 3) -> DataFrame:
     first = F.coalesce(*(F.when(apart.bitwiseAND(signed(m)) == 0, F.lit(t)) for t, m in enumerate(kept)))
     met = (left["table"] == right["table"]) & (left["key"] == right["key"])
     close = (F.bit_count(apart) <= radius) & (first == left["table"])
-    return left.join(right, met & close).select("query", "fp")
+    # Exploded sides are larger than their statistics say, so neither may be broadcast.
+    return left.join(right.hint("merge"), met & close).select("query", "fp")
 
 
 def in_order(rows: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tamis.llm.common import text_hash
 
-SAMPLE, SLOTS, THRESHOLD = 4000, 4096, 0.5
+SAMPLE, SLOTS, THRESHOLD = 4000, 4096, 0.35  # below one half: a doubtful document is kept
 # What a word looks like says more about quality than which word it is.
 WORD_WEIGHT = 0.02
 # Function words of the languages at hand; running text has them, lists and debris do not.

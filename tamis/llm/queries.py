@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, fingerprints, line_dedup, mixing, simhash_dedup, url_filter, warc
+from tamis.llm import decontaminate, fingerprints, line_dedup, mixing, quality, simhash_dedup, url_filter, warc
 from tamis.llm.common import prepare, table, written
 from tamis.llm.queries_sql import LINE_SQL, MATCH_SQL, MIX_SQL, URL_SQL, WARC_SQL
 
@@ -35,6 +35,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                         spans.alias("spans"), F.col("repeats.text").alias("kept_text"))
 
 
+def op3_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    scored = quality.classify(table(spark, sf_dir, "documents"))
+    return scored.select("doc_id", F.col("quality_score").alias("score"), (F.col("quality_score") >= quality.THRESHOLD).alias("keep"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``n_near`` searches for every document whose id is divisible by 20: distinct other fingerprints within 3 bits."""
     prepare(spark)
@@ -78,7 +84,7 @@ def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_host_reputation, op2_line_dedup, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate,
+    op1_host_reputation, op2_line_dedup, op3_weak_quality, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate,
     op8_warc_roundtrip)}
 ORACLE: dict[str, str] = {
     "op1_host_reputation": URL_SQL, "op2_line_dedup": LINE_SQL, "op5_pareto_mix": MIX_SQL,
