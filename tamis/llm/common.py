@@ -8,7 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tamis.session import scratch_path
@@ -117,3 +117,27 @@ class Rolling:
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix(self.raw(start, end))
+
+
+def numbered(docs: DataFrame, id_col: str, text_col: str, into: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a long ``into`` that orders documents by id, null ids last, and whether no two rows share it for sure.
+
+    Unique ids are that number themselves. Otherwise rows get their rank by (id, hash of the text), so rows that share an
+    id are told apart, and only rows that repeat id and text share a number.
+    """
+    seen = docs.groupBy(F.col(id_col).alias("id")).count().filter("count > 1 or id is null")
+    if seen.isEmpty():
+        return docs.withColumn(into, F.col(id_col).cast("long")), True
+    keys = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("o"),
+                       text_hash(F.col(text_col)).alias("x")).distinct()
+    ranged = keys.repartitionByRange("o", "x").withColumn("part", F.spark_partition_id())
+    ranged = written(ranged, "ranges")
+    sizes = ranged.groupBy("part").count()  # one row per range
+    before = F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy("o", "x"))
+    ranks = ranged.join(sizes, "part").select(
+        F.col("o").alias("__o"), F.col("x").alias("__x"), (F.col("before") + place).alias("__rank"))
+    met = (F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)) == F.col("__o")) & (
+        text_hash(F.col(text_col)) == F.col("__x"))
+    return docs.join(ranks, met).select(*(F.col(f"`{c}`") for c in docs.columns), F.col("__rank").alias(into)), False

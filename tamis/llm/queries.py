@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, fingerprints, licenses, line_dedup, mixing, quality, simhash_dedup, url_filter, warc
+from tamis.llm import decontaminate, fingerprints, licenses, line_dedup, mixing, quality, simhash_dedup, suffix_dedup, url_filter, warc
 from tamis.llm.common import prepare, table, written
 from tamis.llm.queries_sql import LINE_SQL, MATCH_SQL, MIX_SQL, URL_SQL, WARC_SQL
 
@@ -83,6 +83,15 @@ def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    spans = F.col("repeats.spans")
+    removed = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
+    return found.select("doc_id", "repeats.n_bytes", removed.alias("n_removed"), F.size(spans).cast("long").alias("n_spans"),
+                        F.sha2("repeats.kept", 256).alias("kept_sha256"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = licenses.find_licenses(table(spark, sf_dir, "documents"))
@@ -93,7 +102,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_host_reputation, op2_line_dedup, op3_weak_quality, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate,
-    op8_warc_roundtrip, op10_license_scan)}
+    op8_warc_roundtrip, op9_suffix_dedup, op10_license_scan)}
 ORACLE: dict[str, str] = {
     "op1_host_reputation": URL_SQL, "op2_line_dedup": LINE_SQL, "op5_pareto_mix": MIX_SQL,
     "op7_decontaminate": MATCH_SQL, "op8_warc_roundtrip": WARC_SQL}

@@ -29,7 +29,7 @@ from tamis.llm.common import written
 from tamis.llm.components import components
 
 SEED = 42
-CROWD = 4096
+CROWD = 1 << 16
 CHUNK = 1 << 16
 
 
