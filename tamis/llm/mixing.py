@@ -38,8 +38,9 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
     """One row per source (``source``, ``source_size``): adds ``target``.
 
     Targets share ``share`` of all words by weight and stop at ``most`` times the source's size; what is above is
-    shared again by weight. That ends at min(cap, level * weight) for one level: sources reach their cap in the order
-    of cap / weight, so running sums give the level behind each of them, and the first one that holds is it.
+    shared again by weight. That ends at min(cap, level * weight) for one level. Sources reach their cap in the order of
+    cap / weight; running sums give the level if just those before a source were capped. It rises as long as too few
+    are taken for capped and falls once too many are, so the largest is the one.
     """
     by_name = W.orderBy(F.col("source").asc_nulls_last())
     by_ratio = W.orderBy("ratio", F.col("source").asc_nulls_last())
@@ -55,8 +56,8 @@ def targets(sizes: DataFrame, weights: Sequence[float], share: float, most: floa
         "left": F.sum("weight").over(everything) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)),
     })
     level = (F.col("budget") - F.col("capped")) / F.col("left")
-    ranked = ranked.withColumn("level", F.min(F.when(level <= F.col("ratio"), level)).over(everything))
-    target = F.least(F.col("cap"), F.coalesce(F.col("level") * F.col("weight"), F.col("cap")))
+    ranked = ranked.withColumn("level", F.max(level).over(everything))
+    target = F.least(F.col("cap"), F.col("level") * F.col("weight"))
     return ranked.select("source", "source_size", target.alias("target"))
 
 

@@ -18,9 +18,8 @@ levels as (
         sum(weight) over () - coalesce(sum(weight) over before, 0) as remaining
     from weighted
     window before as (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding)),
-level as (select min((budget - capped) / remaining) as level from levels where (budget - capped) / remaining <= ratio),
-goals as (
-    select source, source_size, least(cap, coalesce(level * weight, cap)) as target from levels, level),
+level as (select max((budget - capped) / remaining) as level from levels),
+goals as (select source, source_size, least(cap, level * weight) as target from levels, level),
 expected as (
     select r.*, source_size, target,
         case when source_size > 0 then target / source_size else 0 end as expected
