@@ -103,7 +103,7 @@ class Archive:
         if self.file is None:
             self.system.create_dir(self.root, recursive=True)
             self.name = f"{uuid.uuid4().hex}.warc.gz"
-            self.file, self.records, self.size = self.system.open_output_stream(f"{self.root}/{self.name}"), 0, 0
+            self.file, self.records, self.size = self.system.open_output_stream(f"{self.root}/{self.name}", compression=None), 0, 0
         self.gz = zlib.compressobj(self.level, zlib.DEFLATED, 31)
 
     def write(self, data) -> None:
@@ -245,7 +245,7 @@ def read_chunks(manifest: DataFrame, chunk_bytes: int = 1 << 20, with_data: bool
         for path in (p for batch in batches for p in batch.column("path").to_pylist()):
             system, name = fs.FileSystem.from_uri(path)
             rows, held = [], 0
-            with system.open_input_stream(name) as raw, gzip.GzipFile(fileobj=raw) as stream:
+            with system.open_input_stream(name, compression=None) as raw, gzip.GzipFile(fileobj=raw) as stream:
                 for fields, number, data, size, digest, last in records_of(io.BufferedReader(stream, 1 << 18), chunk_bytes):
                     kind, length = fields["warc-type"], int(fields["payload-length"])
                     stated = fields["warc-payload-digest"].removeprefix("sha1:")
