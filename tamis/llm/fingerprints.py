@@ -36,8 +36,7 @@ def votes(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
     listed = listed.select(*keys, "__a", F.slice("__a", F.lit(2), F.greatest(F.size("__a"), F.lit(1))).alias("__b"))
     terms = listed.select(*keys, F.explode_outer(F.arrays_zip("__a", "__b")).alias("__t"))
     first, second = F.col("__t.__a"), F.col("__t.__b")
-    longer = F.least(F.length(first), F.lit(7)) + F.least(F.coalesce(F.length(second), F.lit(0)), F.lit(7))
-    weight = F.coalesce(longer, F.lit(0)).cast("long")
+    weight = sum(F.least(F.coalesce(F.length(word), F.lit(0)), F.lit(7)) for word in (first, second)).cast("long")
     terms = terms.select(*keys, F.xxhash64(first, second).alias("__h"), weight.alias("__w"))
     ones = signed(0x0000000100000001)
     sums = [F.sum("__w").alias("__total")]
