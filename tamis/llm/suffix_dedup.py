@@ -247,8 +247,10 @@ def remove_repeats(
     if length <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
     spark, number = docs.sparkSession, "__number"
-    placed, _ = numbered(docs, id_col, text_col, number)
+    placed, unique = numbered(docs, id_col, text_col, number)
     texts = placed.select(F.col(number).alias("o"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    if not unique:
+        texts = texts.dropDuplicates(["o"])
     cuts = placed.selectExpr(f"percentile_approx({number}, array({', '.join(str(k / batches) for k in range(1, batches))}))"
                              " as at").first()["at"] if batches > 1 else []
     limits = [None, *sorted(set(cuts or [])), None]
