@@ -85,7 +85,7 @@ def op8_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
-    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("repeats.spans")
     removed = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["last"] - s["first"])
     return found.select("doc_id", "repeats.n_bytes", removed.alias("n_removed"), F.size(spans).cast("long").alias("n_spans"),

@@ -11,8 +11,10 @@ its context. An entry is (hash of the gram, hash of the context, document, first
 context brings equal ones together:
 
 * an entry whose context came earlier is removed as a whole, and is not indexed again;
-* an anchor whose gram has several contexts (where a repetition begins or ends) goes to a second, exact step, in which
-  each of its strings is hashed by itself and all but the earliest occurrence are removed.
+* an anchor whose gram has several contexts (where a repetition begins or ends) goes to a second, exact step. Its context
+  is cut from the text and sent to the others of its gram, and all but the earliest occurrence of each string are
+  removed. Grams of more than ``CROWD`` contexts send hashes of their strings instead, spread by hash, so that no task
+  holds a group of any size.
 
 Equal contexts within a piece of a batch are combined before the shuffle, sorted rows are scanned as a stream that keeps
 one row, and neither pairs nor lists of occurrences are made, so frequent passages cost no more than their length.
@@ -31,9 +33,11 @@ from pyspark.sql import functions as F
 from tamis.llm.common import Rolling, byte_view, mix, numbered, pieces
 from tamis.session import scratch_path
 
-LENGTH, GRAM, BATCHES = 100, 16, 4
-ENTRY = "key long, g long, c long, o long, lo int, hi int, new int"
-FOUND = "kind string, g long, c long, o long, lo int, hi int"
+LENGTH, GRAM, BATCHES, CROWD = 100, 16, 4, 1 << 15
+# ``at`` holds the first start, the number of further starts (18 bits) and the state (2 bits) of an entry.
+ENTRY = "g long, c long, o long, at long"
+FOUND = "kind string, g long, c long, o long, at long"
+OLD, NEW, GONE = 0, 1, 2
 CUT = "struct<kept:binary,n_bytes:long,spans:array<struct<first:long,last:long>>>"
 CUT_ARROW = pa.struct({"kept": pa.binary(), "n_bytes": pa.int64(),
                        "spans": pa.list_(pa.struct({"first": pa.int64(), "last": pa.int64()}))})
@@ -81,8 +85,17 @@ def anchors(texts: pa.Array, length: int) -> dict[str, np.ndarray]:
     return {"text": text, "g": grams[at].view(np.int64), "c": context.view(np.int64), "lo": lo - bounds[text], "hi": hi - bounds[text]}
 
 
+def pack(lo: np.ndarray, hi: np.ndarray, state) -> np.ndarray:
+    return (lo.astype(np.int64) << 20) | ((hi - lo).astype(np.int64) << 2) | state
+
+
+def unpack(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    lo = at >> 20
+    return lo, lo + ((at >> 2) & 0x3FFFF)
+
+
 def entries(length: int):
-    """Rows of ``ENTRY`` from rows (o, t). What a piece itself repeats is sent on as removed (``new`` = 2)."""
+    """Rows of ``ENTRY`` from rows (o, t). What a piece itself repeats is sent on as gone, spread by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,43 +110,45 @@ def entries(length: int):
                 again = np.zeros(len(g), bool)
                 again[1:] = (g[1:] == g[:-1]) & (c[1:] == c[:-1])
                 yield pa.record_batch({
-                    "key": pa.array(np.where(again, o, g)), "g": pa.array(g), "c": pa.array(c), "o": pa.array(o),
-                    "lo": pa.array(lo, pa.int32()), "hi": pa.array(hi, pa.int32()),
-                    "new": pa.array(np.where(again, 2, 1), pa.int32())})
+                    "g": pa.array(np.where(again, o, g)), "c": pa.array(np.where(again, 0, c)), "o": pa.array(o),
+                    "at": pa.array(pack(lo, hi, np.where(again, GONE, NEW)))})
 
     return run
 
 
 def merge_scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of entries sorted by (key, c, o, lo): r(emoved), i(ndex) rows for the new level, and anchors for the f(ine) step."""
+    """Of entries sorted by (g, c, o, at): r(emoved), i(ndex) rows for the new level, and anchors for the f(ine) step."""
     last_g = last_c = None  # of the row before
     heads = 0  # contexts of its gram so far
     pending = None  # the first of them, while it is the only one
     for batch in batches:
-        g, c, o, lo, hi, new = (np.asarray(batch.column(k)) for k in ("g", "c", "o", "lo", "hi", "new"))
-        out = [("r", g[m], c[m], o[m], lo[m], hi[m]) for m in [new == 2]]
-        m = new != 2
-        g, c, o, lo, hi, new = (x[m] for x in (g, c, o, lo, hi, new))
+        g, c, o, at = (np.asarray(batch.column(k)) for k in ("g", "c", "o", "at"))
+        m = (at & 3) == GONE
+        out = [("r", None, None, o[m], at[m])]
+        g, c, o, at = (x[~m] for x in (g, c, o, at))
         if len(g):
+            new = (at & 3) == NEW
             same_g = np.concatenate(([last_g is not None and g[0] == last_g], g[1:] == g[:-1]))
             same_c = same_g & np.concatenate(([last_c is not None and c[0] == last_c], c[1:] == c[:-1]))
-            m = same_c & (new == 1)
-            out.append(("r", g[m], c[m], o[m], lo[m], hi[m]))
-            m = ~same_c & (new == 1)
-            out.append(("i", g[m], c[m], o[m], lo[m], hi[m]))
+            m = same_c & new
+            out.append(("r", None, None, o[m], at[m]))
+            m = ~same_c & new
+            out.append(("i", g[m], c[m], o[m], at[m] & ~3))
             group = np.cumsum(~same_g)  # 0 is the gram carried over
             count = np.bincount(group[~same_c], minlength=group[-1] + 1)
             if count[0] and heads == 1:
                 out.append(("f", *pending))
             count[0] += heads if same_g[0] else 0
             m = ~same_c & (count[group] >= 2)
-            out.append(("f", g[m], c[m], o[m], lo[m], hi[m]))
+            out.append(("f", g[m], None, o[m], at[m] & ~3))
             heads, last_g, last_c = int(count[group[-1]]), g[-1], c[-1]
             if heads == 1 and (m := np.flatnonzero(~same_c & (group == group[-1]))).size:
-                pending = tuple(x[m] for x in (g, c, o, lo, hi))
-        for kind, *columns in out:
-            if len(columns[0]):
-                yield pa.record_batch([pa.array([kind] * len(columns[0])), *map(pa.array, columns)], names=["kind", "g", "c", "o", "lo", "hi"])
+                pending = (g[m], None, o[m], at[m] & ~3)
+        for kind, g, c, o, at in out:
+            if len(o):
+                hashes = [pa.nulls(len(o), pa.int64()) if x is None else pa.array(x) for x in (g, c)]
+                yield pa.record_batch([pa.array([kind] * len(o)), *hashes, pa.array(o), pa.array(at)],
+                                      names=["kind", "g", "c", "o", "at"])
 
 
 class Index:
@@ -151,8 +166,8 @@ class Index:
         rows = batch.mapInArrow(entries(self.length), ENTRY)
         if self.levels:
             old = self.read(*(path for _, path in self.levels))
-            rows = rows.unionByName(old.select(F.col("g").alias("key"), "g", "c", "o", "lo", "hi", F.lit(0).alias("new")))
-        rows = rows.repartition("key").sortWithinPartitions("key", "c", "o", "lo")
+            rows = rows.unionByName(old)
+        rows = rows.repartition("g").sortWithinPartitions("g", "c", "o", "at")
         path = scratch_path(self.spark, "suffix-scan")
         rows.mapInArrow(merge_scan, FOUND).write.partitionBy("kind").parquet(path)
         self.results.append(path)
@@ -172,51 +187,116 @@ class Index:
         return self.read(*self.results, kind=kind)
 
 
-def strings(length: int):
-    """Rows (key, g, w, o, s, again) of every string of the given anchors, from rows (o, t, at); see ``entries``."""
+def listed(batch: pa.RecordBatch, text: str) -> Iterator[tuple]:
+    """Per piece: the bytes, and for each listed anchor its gram, document, ``at``, and first and last start in them."""
+    done = 0
+    for piece in pieces(batch.column(text)):
+        ids = np.asarray(batch.column("__o").slice(done, len(piece)))
+        lists = batch.column("__at").slice(done, len(piece))
+        done += len(piece)
+        data, bounds = byte_view(piece)
+        rows = np.repeat(np.arange(len(piece)), np.asarray(lists.value_lengths()))
+        flat = lists.flatten()
+        g, at = (np.asarray(flat.field(k)) for k in ("g", "at"))
+        lo, hi = unpack(at)
+        yield data, g, ids[rows], at, lo + bounds[rows], hi + bounds[rows]
+
+
+def ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all ranges one after the other, and the range of each."""
+    which = np.repeat(np.arange(len(size)), size)
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + start[which], which
+
+
+def contexts(length: int, text: str):
+    """Rows (g, o, at, bytes) of the contexts of listed anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = 0
-            for piece in pieces(batch.column("t")):
-                ids = np.asarray(batch.column("o").slice(done, len(piece)))
-                lists = batch.column("at").slice(done, len(piece))
-                done += len(piece)
-                data, bounds = byte_view(piece)
-                roll = Rolling(data)
-                rows = np.repeat(np.arange(len(piece)), np.asarray(lists.value_lengths()))
-                flat = lists.flatten()
-                g, lo, hi = (np.asarray(flat.field(k)) for k in ("g", "lo", "hi"))
-                sizes = hi - lo + 1
-                which = np.repeat(np.arange(len(g)), sizes)
-                s = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + lo[which]
-                begin = s + bounds[rows[which]]
-                w = roll.of(begin, begin + length).view(np.int64)
-                g, o = g[which], ids[rows[which]]
+            for data, g, o, at, lo, hi in listed(batch, text):
+                size = hi - lo + length
+                places, _ = ranges(lo, size)
+                offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
+                raw = pa.Array.from_buffers(pa.binary(), len(g), [None, pa.py_buffer(offsets), pa.py_buffer(data[places])])
+                yield pa.record_batch({"g": pa.array(g), "o": pa.array(o), "at": pa.array(at), "bytes": raw})
+
+    return run
+
+
+def compare_contexts(length: int):
+    """Ranges ``o, lo, hi`` of strings that occur earlier, from contexts sorted by (g, o, at)."""
+
+    def resolve(batch: pa.RecordBatch) -> pa.RecordBatch:
+        g, o, at = (np.asarray(batch.column(k)) for k in ("g", "o", "at"))
+        data, bounds = byte_view(batch.column("bytes"))
+        lo, hi = unpack(at)
+        begin, which = ranges(bounds[:-1], hi - lo + 1)
+        hashes = Rolling(data).of(begin, begin + length)
+        # In order of rows, equal strings of a gram: the first in sorted order is the earliest.
+        order = np.lexsort((np.arange(len(begin)), hashes, g[which]))
+        again = np.zeros(len(begin), bool)
+        sorted_g, sorted_w = g[which][order], hashes[order]
+        again[order[1:]] = (sorted_g[1:] == sorted_g[:-1]) & (sorted_w[1:] == sorted_w[:-1])
+        start = again & np.concatenate((np.ones(min(1, len(again)), bool), ~again[:-1] | (which[1:] != which[:-1])))
+        stop = again & np.concatenate((~again[1:] | (which[1:] != which[:-1]), np.ones(min(1, len(again)), bool)))
+        place = begin - bounds[:-1][which] + lo[which]
+        return pa.record_batch({"o": pa.array(o[which[start]]), "lo": pa.array(place[start]), "hi": pa.array(place[stop])})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            # The last gram of a batch may go on; grams here have at most CROWD contexts.
+            g = np.asarray(batch.column("g"))
+            if not len(g):
+                continue
+            cut = int(np.flatnonzero(g == g[-1])[0])
+            if held and (cut or np.asarray(held[0].column("g"))[0] != g[0]):
+                first = int(np.flatnonzero(g != np.asarray(held[0].column("g"))[0])[0])
+                held.append(batch.slice(0, max(first, cut)))
+                yield resolve(pa.concat_batches(held))
+                held = [batch.slice(max(first, cut))]
+            elif cut:
+                yield resolve(batch.slice(0, cut))
+                held = [batch.slice(cut)]
+            else:
+                held.append(batch)
+        if held:
+            yield resolve(pa.concat_batches(held))
+
+    return run
+
+
+def strings(length: int, text: str):
+    """Rows (w, g, o, s) of every string of listed anchors; what a piece itself repeats has the document for ``w``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, g, o, at, lo, hi in listed(batch, text):
+                begin, which = ranges(lo, hi - lo + 1)
+                w = Rolling(data).of(begin, begin + length).view(np.int64)
+                g, o, s = g[which], o[which], begin - lo[which] + unpack(at)[0][which]
                 order = np.lexsort((s, o, w, g))
                 g, w, o, s = (x[order] for x in (g, w, o, s))
                 again = np.zeros(len(g), bool)
                 again[1:] = (g[1:] == g[:-1]) & (w[1:] == w[:-1])
-                yield pa.record_batch({
-                    "key": pa.array(np.where(again, o, w)), "g": pa.array(g), "w": pa.array(w), "o": pa.array(o),
-                    "s": pa.array(s, pa.int32()), "again": pa.array(again)})
+                yield pa.record_batch({"w": pa.array(np.where(again, o, w)), "g": pa.array(g), "o": pa.array(o),
+                                       "s": pa.array(s * 2 + again)})
 
     return run
 
 
 def not_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``o, lo, hi`` of repeated strings, from rows sorted by (key, g, o, s)."""
+    """``o, lo, hi`` of repeated strings, from rows of ``strings`` sorted by (w, g, o, s)."""
     last = None
     for batch in batches:
-        w, g, o, s, again = (np.asarray(batch.column(k)) for k in ("w", "g", "o", "s", "again"))
-        m = ~again
-        same = np.zeros(len(w), bool)
+        w, g, o, s = (np.asarray(batch.column(k)) for k in ("w", "g", "o", "s"))
+        gone = (s & 1) == 1
+        m = ~gone
         own_w, own_g = w[m], g[m]
         if len(own_w):
-            same[m] = np.concatenate(([last == (own_w[0], own_g[0])], (own_w[1:] == own_w[:-1]) & (own_g[1:] == own_g[:-1])))
+            gone[m] = np.concatenate(([last == (own_w[0], own_g[0])], (own_w[1:] == own_w[:-1]) & (own_g[1:] == own_g[:-1])))
             last = (own_w[-1], own_g[-1])
-        m = again | same
-        yield pa.record_batch({"o": pa.array(o[m]), "lo": pa.array(s[m]), "hi": pa.array(s[m])})
+        yield pa.record_batch({"o": pa.array(o[gone]), "lo": pa.array(s[gone] >> 1), "hi": pa.array(s[gone] >> 1)})
 
 
 def cut(text: bytes, lo: np.ndarray, hi: np.ndarray) -> dict:
@@ -234,8 +314,8 @@ def cut(text: bytes, lo: np.ndarray, hi: np.ndarray) -> dict:
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, id_col: str = "doc_id", text_col: str = "text",
-    into: str = "repeats",
+    docs: DataFrame, length: int = LENGTH, batches: int = BATCHES, crowd: int = CROWD, id_col: str = "doc_id",
+    text_col: str = "text", into: str = "repeats",
 ) -> DataFrame:
     """``docs`` with a column ``into``: the remaining bytes, the number of bytes, and the removed ranges.
 
@@ -246,29 +326,42 @@ def remove_repeats(
     """
     if length <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
-    spark, number = docs.sparkSession, "__number"
-    placed, unique = numbered(docs, id_col, text_col, number)
-    texts = placed.select(F.col(number).alias("o"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    if not unique:
-        texts = texts.dropDuplicates(["o"])
-    cuts = placed.selectExpr(f"percentile_approx({number}, array({', '.join(str(k / batches) for k in range(1, batches))}))"
-                             " as at").first()["at"] if batches > 1 else []
+    own = [F.col(f"`{c}`") for c in docs.columns if c != into]
+    placed, unique = numbered(docs, id_col, text_col, "__o")
+    placed = placed.select("__o", *own)
+    work = placed if unique else placed.dropDuplicates(["__o"])
+    cuts = work.selectExpr(f"percentile_approx(__o, array({', '.join(str(k / batches) for k in range(1, batches))})) as at"
+                           ).first()["at"] if batches > 1 else []
     limits = [None, *sorted(set(cuts or [])), None]
-    index = Index(spark, length)
+    index = Index(docs.sparkSession, length)
     for low, high in zip(limits[:-1], limits[1:]):  # a fixed number of batches, whatever the input
-        batch = texts
+        batch = work.select(F.col("__o").alias("o"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
         if low is not None:
             batch = batch.filter(F.col("o") > low)
         if high is not None:
             batch = batch.filter(F.col("o") <= high)
         index.add(batch)
 
-    # Lists are no longer than a document.
-    fine = index.found("f").dropDuplicates(["o", "lo"]).groupBy("o").agg(F.collect_list(F.struct("g", "lo", "hi")).alias("at"))
-    found = texts.join(fine, "o").mapInArrow(strings(length), "key long, g long, w long, o long, s int, again boolean")
-    found = found.repartition("key").sortWithinPartitions("key", "g", "o", "s").mapInArrow(not_first, "o long, lo int, hi int")
-    gone = index.found("r").select("o", "lo", "hi").unionByName(found)
-    gone = gone.groupBy(F.col("o").alias("__o")).agg(F.collect_list(F.struct("lo", "hi")).alias("__gone"))
+    fine = index.found("f").select("g", "o", "at").distinct()
+    many = fine.groupBy("g").count().filter(F.col("count") > crowd).select("g", F.lit(True).alias("many"))
+    fine = fine.join(many, "g", "left")
+
+    def anchored(which) -> DataFrame:
+        # Lists are no longer than a document. All joins shuffle the same columns of the texts, so Spark does it once.
+        lists = fine.filter(which).groupBy(F.col("o").alias("__p")).agg(F.collect_list(F.struct("g", "at")).alias("__at"))
+        return work.join(lists, F.col("__o") == F.col("__p"))
+
+    cut_from = anchored("many is null").mapInArrow(contexts(length, text_col), "g long, o long, at long, bytes binary")
+    found = cut_from.repartition("g").sortWithinPartitions("g", "o", "at").mapInArrow(
+        compare_contexts(length), "o long, lo long, hi long")
+    crowded = anchored("many").mapInArrow(strings(length, text_col), "w long, g long, o long, s long")
+    found = found.unionByName(crowded.repartition("w").sortWithinPartitions("w", "g", "o", "s").mapInArrow(
+        not_first, "o long, lo long, hi long"))
+    first = F.shiftright("at", 20)
+    gone = index.found("r").select(
+        "o", first.alias("lo"), (first + F.shiftright("at", 2).bitwiseAND(F.lit(0x3FFFF).cast("long"))).alias("hi"))
+    gone = gone.unionByName(found).groupBy(F.col("o").alias("__p")).agg(
+        F.collect_list(F.struct("lo", "hi")).alias("__gone"))
 
     @F.arrow_udf(CUT)
     def without(batch: pa.Array, gone: pa.Array) -> pa.Array:
@@ -280,5 +373,5 @@ def remove_repeats(
             out.append(cut(raw, lo, hi + length))
         return pa.array(out, CUT_ARROW)
 
-    out = placed.join(gone, F.col(number) == F.col("__o"), "left")
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns if c != into), without(F.col(text_col), F.col("__gone")).alias(into))
+    out = placed.join(gone, F.col("__o") == F.col("__p"), "left")
+    return out.select(*own, without(F.col(text_col), F.col("__gone")).alias(into))

@@ -39,13 +39,13 @@ def test_tables_match_brute_force(spark, small, rows):
     check(spark.read.parquet(f"{small}/documents.parquet"), rows)
 
 
-@pytest.mark.parametrize("batches", [1, 2, 7])
-def test_batches_and_levels_agree(make, batches):
+@pytest.mark.parametrize("batches,crowd", [(1, 99), (2, 2), (7, 99), (4, 5)])
+def test_batches_and_levels_agree(make, batches, crowd):
     rng = random.Random(9)
     passages = ["".join(rng.choice("abcdé \n") for _ in range(rng.randint(20, 90))) for _ in range(12)]
     texts = [(i, "".join(rng.choice(passages)[rng.randint(0, 9):] for _ in range(rng.randint(0, 6)))) for i in range(50)]
     texts += [(50, "z" * 500), (51, "ab" * 300), (52, "z" * 99), (53, "z" * 100), (54, None)]
-    check(make(texts), texts, length=40, batches=batches)
+    check(make(texts), texts, length=40, batches=batches, crowd=crowd)
 
 
 def test_index_merges_equal_levels(spark):
