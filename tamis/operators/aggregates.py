@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +27,6 @@ def distinct_counts(
     covered: Mapping[str, Column] | None = None,
     lineage: Mapping[str, Column] | None = None,
     extremes: Mapping[str, Column] | None = None,
-    regroup: Regroup | None = None,
     total: str = "nombre_offres",
 ) -> DataFrame:
     """``count(distinct id)`` in total and under each condition, per key; one wide shuffle.
@@ -41,25 +39,18 @@ def distinct_counts(
       Each input row emits a second (third) row for them; those collapse in the map-side
       aggregate, so the shuffle hardly grows and the input is read once. Keeping lineage strings
       out of the aggregation buffers lets the big aggregation stay hash-based.
-    * ``regroup`` = (finer keys, function): rows are first combined per finer key and id, spread
-      by id, and only then turned into rows of ``keys``. Whatever copies of an id arise share a
-      partition, so merging them needs no further shuffle.
+    * More than 62 conditions go to several masks.
     """
     means, covered, lineage = dict(means or {}), dict(covered or {}), dict(lineage or {})
     extremes = dict(extremes or {})
-    if len(conditions) > 62:
-        raise ValueError("at most 62 conditions fit into one mask")
     if len(covered) > 1:
         raise ValueError("one covered column")
     keys = list(keys)
-    first_keys = list(regroup[0]) if regroup else keys
-
-    bits = {name: 1 << i for i, name in enumerate(conditions)}
-    mask = reduce(
-        lambda a, b: a.bitwiseOR(b),
-        [F.when(cond, F.lit(bits[name])).otherwise(F.lit(0)).cast("long") for name, cond in conditions.items()],
-        F.lit(0).cast("long"),
-    )
+    bits = {name: (f"{_MASK}{i // 62}", 1 << i % 62) for i, name in enumerate(conditions)}
+    masks = {f"{_MASK}{i}": F.lit(0).cast("long") for i in range(max(1, -(-len(conditions) // 62)))}
+    for name, cond in conditions.items():
+        mask, bit = bits[name]
+        masks[mask] = masks[mask].bitwiseOR(F.when(cond, F.lit(bit)).otherwise(F.lit(0)).cast("long"))
     tags = [F.lit(_FACT_ROW)]
     if covered:
         tags.append(F.lit(_CODE_ROW))
@@ -69,9 +60,9 @@ def distinct_counts(
     code = next(iter(covered.values()), F.lit(None).cast("string"))
     origin = F.struct(*[c.alias(n) for n, c in lineage.items()]) if lineage else F.lit(None).cast("string")
     rows = df.select(
-        *first_keys,
+        *keys,
         F.col(id_column).alias(_ID),
-        mask.alias(_MASK),
+        *[c.alias(n) for n, c in masks.items()],
         *[c.alias(n) for n, c in {**means, **extremes}.items()],
         code.alias(_CODE),
         origin.alias(_LINEAGE),
@@ -92,23 +83,19 @@ def distinct_counts(
     # One row per (key, id); hot ids and the code and lineage rows shrink before the shuffle.
     sums = {f"{n}_somme": F.sum(n) for n in means} | {f"{n}_nombre": F.count(n) for n in means}
     ends = {f"{n}_min": F.min(n) for n in extremes} | {f"{n}_max": F.max(n) for n in extremes}
-    per_id = rows.groupBy(*first_keys, _TAG, _ID, _CODE, _LINEAGE).agg(
-        F.bit_or(_MASK).alias(_MASK), *[c.alias(n) for n, c in (sums | ends).items()]
+    per_id = rows.groupBy(*keys, _TAG, _ID, _CODE, _LINEAGE).agg(
+        *[F.bit_or(n).alias(n) for n in masks], *[c.alias(n) for n, c in (sums | ends).items()]
     )
 
     def merged(name: str) -> Column:
         how = F.min if name.endswith("_min") else F.max if name.endswith("_max") else F.sum
         return how(name).alias(name)
 
-    if regroup:
-        per_id = regroup[1](per_id.repartition(_ID)).groupBy(*keys, _TAG, _ID, _CODE, _LINEAGE).agg(
-            F.bit_or(_MASK).alias(_MASK), *[merged(n) for n in sums | ends]
-        )
     is_id = F.col(_ID).isNotNull()
     counts = [F.count_if(is_id).alias(total)]
     counts += [
-        F.count_if(is_id & (F.col(_MASK).bitwiseAND(F.lit(bit).cast("long")) != 0)).alias(name)
-        for name, bit in bits.items()
+        F.count_if(is_id & (F.col(mask).bitwiseAND(F.lit(bit).cast("long")) != 0)).alias(name)
+        for name, (mask, bit) in bits.items()
     ]
     counts += [F.count(_CODE).alias(name) for name in covered]
     carried = [merged(n) for n in sums | ends]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,27 +137,111 @@ class Mart:
     unknown: tuple[str, str] | None = None
 
 
-def _counts(offers: DataFrame, keys: Sequence[str], measures: Sequence[Measure], covers_areas: bool,
-            total: str) -> DataFrame:
-    counted = aggregates.distinct_counts(
-        offers,
-        keys,
-        "id_offre",
-        {m.name: m.condition for m in measures},
-        means={name: F.col(c) for name, c in MEANS.items()},
-        covered={COVERED: F.col("code_departement")} if covers_areas else None,
-        lineage={name: F.col(c) for name, c in LINEAGE.items()},
-        total=total,
-    )
-    return counted.withColumns(
-        {n: rates.mean(F.col(f"{n}_somme"), F.col(f"{n}_nombre")) for n in MEANS}
-    ).drop(*[f"{n}{s}" for n in MEANS for s in ("_somme", "_nombre")])
+CATEGORIES = ("famille_metier_data", "categorie_contrat", "code_departement", "code_departement_mart",
+              "nom_departement_mart", "code_region_mart", "nom_region_mart")
+PAY = "paie"
+
+
+@dataclass(frozen=True)
+class Combined:
+    """What all marts read: one narrow row per id and category combination, and where the offers came from."""
+
+    states: DataFrame
+    origins: DataFrame
+    conditions: tuple[str, ...]
+
+
+def all_measures() -> list[Measure]:
+    """Every measure of every mart once, in the order of the mask's bits."""
+    marts = (kpi_measures(), *(m.measures for m in (_family(), _contract(), _area(), _region())))
+    found = {m.name: m for measures in marts for m in measures}
+    return [*found.values(), *salary_measures()]
+
+
+def salary_measures() -> list[Measure]:
+    stated, usable = flags.is_true(F.col("salaire_renseigne")), flags.is_true(F.col("salaire_exploitable"))
+    return [
+        Measure("nombre_salaires_renseignes", stated),
+        Measure("nombre_salaires_suspects", flags.is_true(F.col("salaire_suspect"))),
+        Measure("nombre_salaires_exploitables", usable),
+        Measure("nombre_salaires_non_exploitables", stated & ~usable),
+    ]
+
 
+def combine(offers: DataFrame, measures: Sequence[Measure] | None = None, pay: bool = True) -> Combined:
+    """Rows per (id, categories) with a bit per condition, sums for the means, and bounds of usable pay.
 
-def _with_shares(counted: DataFrame, measures: Sequence[Measure], total: str) -> list[Column]:
+    Every mart follows from these rows: an id counts under a condition if any of its rows fulfils it. Offers of one id and
+    combination shrink before the shuffle, and origins hold no ids at all.
+    """
+    measures = all_measures() if measures is None else list(measures)
+    keys = [c for c in CATEGORIES if c in offers.columns]
+    if len(measures) > 62:
+        raise ValueError("at most 62 conditions fit into one mask")
+    bits = [F.when(m.condition, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, m in enumerate(measures)]
+    values = {name: F.col(c) for name, c in MEANS.items()}
+    if pay:
+        values[PAY] = F.when(flags.is_true(F.col("salaire_exploitable")), F.col("salaire_annuel_central"))
+    rows = offers.select("id_offre", *keys, reduce(Column.bitwiseOR, bits).alias("_mask"),
+                         *[c.alias(n) for n, c in values.items()])
+    carried = [f(n).alias(f"{n}{s}") for n in values for s, f in (("_somme", F.sum), ("_nombre", F.count))]
+    carried += [F.min(PAY).alias("paie_min"), F.max(PAY).alias("paie_max")] if pay else []
+    states = rows.groupBy("id_offre", *keys).agg(F.bit_or("_mask").alias("_mask"), *carried)
+    origins = offers.select(*keys, *[F.col(c).alias(n) for n, c in LINEAGE.items()]).distinct()
+    return Combined(states, origins, tuple(m.name for m in measures))
+
+
+def store(combined: Combined, folder: str) -> Combined:
+    """Both tables below ``folder``; states are bucketed by id, so that no mart shuffles ids again."""
+    spark = combined.states.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"offer_states_{uuid.uuid4().hex}"
+    combined.states.repartition(buckets, "id_offre").write.bucketBy(buckets, "id_offre").option(
+        "path", f"{folder}/states").saveAsTable(name)
+    combined.origins.write.parquet(f"{folder}/origins")
+    return Combined(spark.table(name), spark.read.parquet(f"{folder}/origins"), combined.conditions)
+
+
+def _as_combined(offers: DataFrame | Combined, measures: Sequence[Measure]) -> Combined:
+    return offers if isinstance(offers, Combined) else combine(offers, measures, pay=False)
+
+
+def _counts(combined: Combined, keys: Mapping[str, Column], names: Sequence[str], total: str,
+            spread: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Distinct ids in total and per condition, the carried sums and bounds, covered areas and lineage per key."""
+    sums = [c for c in combined.states.columns if c.endswith(("_somme", "_nombre", "_min", "_max"))]
+
+    def merged(name: str) -> Column:
+        how = F.min if name.endswith("_min") else F.max if name.endswith("_max") else F.sum
+        return how(name).alias(name)
+
+    per_id = spread(combined.states).select(
+        *[c.alias(n) for n, c in keys.items()], F.col("id_offre").alias("_id"), "_mask", *sums
+    ).groupBy(*keys, "_id").agg(F.bit_or("_mask").alias("_mask"), *map(merged, sums))
+    is_id, bit = F.col("_id").isNotNull(), {n: 1 << i for i, n in enumerate(combined.conditions)}
+    counted = per_id.groupBy(*keys).agg(
+        F.count_if(is_id).alias(total),
+        *[F.count_if(is_id & (F.col("_mask").bitwiseAND(F.lit(bit[n]).cast("long")) != 0)).alias(n) for n in names],
+        *map(merged, sums))
+    code = [F.count_distinct("_code").alias(COVERED)] if "code_departement" in combined.origins.columns else []
+    origins = combined.origins.withColumn("_code", F.col("code_departement")) if code else combined.origins
+    origins = spread(origins).select(
+        *[c.alias(f"_k_{n}") for n, c in keys.items()], *(["_code"] if code else []), *LINEAGE)
+    origins = origins.groupBy(*[f"_k_{n}" for n in keys]).agg(*[F.max(n).alias(n) for n in LINEAGE], *code)
+    if not keys:
+        return counted.crossJoin(origins)  # one row each
+    same = reduce(Column.__and__, [F.col(n).eqNullSafe(F.col(f"_k_{n}")) for n in keys])
+    return counted.join(origins, same, "left").drop(*[f"_k_{n}" for n in keys])
+
+
+def _with_means(counted: DataFrame) -> DataFrame:
+    return counted.withColumns({n: rates.mean(F.col(f"{n}_somme"), F.col(f"{n}_nombre")) for n in MEANS})
+
+
+def _with_shares(measures: Sequence[Measure], total: str) -> list[Column]:
     columns = []
     for m in measures:
-        columns.append(F.col(m.name).cast("int").alias(m.name))
+        columns.append(F.col(m.name))
         if m.share:
             columns.append(rates.share(F.col(m.name), F.col(total)).alias(m.share))
     return columns
@@ -165,37 +251,24 @@ def _stamp(computed_at: datetime | None) -> list[Column]:
     return [(F.lit(computed_at) if computed_at else F.current_timestamp()).alias("date_calcul_kpi")]
 
 
-def market_kpis(offers: DataFrame, computed_at: datetime | None = None) -> DataFrame:
+def market_kpis(offers: DataFrame | Combined, computed_at: datetime | None = None) -> DataFrame:
     """One row over all offers."""
     measures, total = kpi_measures(), "nombre_total_offres"
-    counted = _counts(offers, [], measures, True, total)
+    counted = _with_means(_counts(_as_combined(offers, measures), {}, [m.name for m in measures], total))
     return counted.select(
-        *_stamp(computed_at),
-        *LINEAGE,
-        F.col(total).cast("int").alias(total),
-        *_with_shares(counted, measures, total),
-        F.col(COVERED).cast("int").alias(COVERED),
-        *MEANS,
-    )
+        *_stamp(computed_at), *LINEAGE, total, *_with_shares(measures, total), COVERED, *MEANS)
 
 
-def grouped(offers: DataFrame, mart: Mart, computed_at: datetime | None = None,
-            kpis: DataFrame | None = None) -> DataFrame:
+def grouped(offers: DataFrame | Combined, mart: Mart, computed_at: datetime | None = None) -> DataFrame:
     """Counts, shares and rank per group.
 
-    The grand total is a distinct count over all offers. An id of several groups counts in each
-    group but once in the total, so the total is its own aggregate with one id-only shuffle,
-    unless the stored market row (``kpis``) already has it. The rank window has no partition, on the handful of rows left after aggregation.
+    The grand total is a distinct count over all offers: an id of several groups counts in each group but once in the
+    total. The rank window has no partition, on the handful of rows left after aggregation.
     """
-    total = "nombre_offres"
-    counted = _counts(
-        offers.withColumns({out: F.col(c) for out, c in mart.keys.items()}),
-        list(mart.keys), mart.measures, mart.covers_areas, total,
-    )
-    if kpis is None:
-        everything = offers.select("id_offre").distinct().agg(F.count("id_offre").alias("_all"))
-    else:
-        everything = kpis.agg(F.max("nombre_total_offres").cast("long").alias("_all"))
+    total, combined = "nombre_offres", _as_combined(offers, mart.measures)
+    counted = _with_means(_counts(
+        combined, {out: F.col(c) for out, c in mart.keys.items()}, [m.name for m in mart.measures], total))
+    everything = combined.states.select("id_offre").distinct().agg(F.count("id_offre").alias("_all"))
     last = F.when(F.col(mart.unknown[0]) == mart.unknown[1], 1).otherwise(0) if mart.unknown else F.lit(0)
     order = Window.orderBy(last, F.col(total).desc(), F.col(next(iter(mart.keys))))
     return (
@@ -205,10 +278,10 @@ def grouped(offers: DataFrame, mart: Mart, computed_at: datetime | None = None,
             F.row_number().over(order).alias(mart.rank),
             *mart.keys,
             *LINEAGE,
-            F.col(total).cast("int").alias(total),
+            total,
             rates.share(F.col(total), F.col("_all")).alias("part_offres_pct"),
-            *([F.col(COVERED).cast("int").alias(COVERED)] if mart.covers_areas else []),
-            *_with_shares(counted, mart.measures, total),
+            *([COVERED] if mart.covers_areas else []),
+            *_with_shares(mart.measures, total),
             *MEANS,
         )
         .orderBy(mart.rank)
@@ -256,26 +329,22 @@ def _region() -> Mart:
     )
 
 
-def by_family(offers: DataFrame, computed_at: datetime | None = None,
-              kpis: DataFrame | None = None) -> DataFrame:
+def by_family(offers: DataFrame | Combined, computed_at: datetime | None = None) -> DataFrame:
     """Equal volumes rank by label, so that ranks are the same on every run."""
-    return grouped(offers, _family(), computed_at, kpis)
+    return grouped(offers, _family(), computed_at)
 
 
-def by_contract(offers: DataFrame, computed_at: datetime | None = None,
-                kpis: DataFrame | None = None) -> DataFrame:
-    return grouped(offers, _contract(), computed_at, kpis)
+def by_contract(offers: DataFrame | Combined, computed_at: datetime | None = None) -> DataFrame:
+    return grouped(offers, _contract(), computed_at)
 
 
-def by_area(placed: DataFrame, computed_at: datetime | None = None,
-            kpis: DataFrame | None = None) -> DataFrame:
+def by_area(placed: DataFrame | Combined, computed_at: datetime | None = None) -> DataFrame:
     """``placed``: offers after ``dimension.attach_area``. The unknown area ranks last."""
-    return grouped(placed, _area(), computed_at, kpis)
+    return grouped(placed, _area(), computed_at)
 
 
-def by_region(placed: DataFrame, computed_at: datetime | None = None,
-              kpis: DataFrame | None = None) -> DataFrame:
-    return grouped(placed, _region(), computed_at, kpis)
+def by_region(placed: DataFrame | Combined, computed_at: datetime | None = None) -> DataFrame:
+    return grouped(placed, _region(), computed_at)
 
 
 # Axes of the salary mart: order, axis, code when missing, label when missing.
@@ -311,31 +380,17 @@ def unpivot_axes(facts: DataFrame) -> DataFrame:
     )
 
 
-def salary_analysis(facts: DataFrame, computed_at: datetime | None = None) -> DataFrame:
+def salary_analysis(facts: DataFrame, computed_at: datetime | None = None, combined: Combined | None = None) -> DataFrame:
     """Volumes, transparency and pay distribution per value of four axes.
 
-    ``facts``: offers with salary facts (``salaries.attach_facts`` or ``join_facts``) and areas.
-    Rows are combined per category combination before they are spread over the axes: the big
-    shuffle carries each offer once, not once per axis. Usable salaries lie between 0 and the outlier threshold with two decimals, so one quantile
-    bucket of 100 units holds at most 10,000 different values.
+    ``facts``: offers with salary facts (``salaries.attach_facts`` or ``join_facts``) and areas; ``combined`` has their
+    combined rows, if they are stored. Combined rows are spread over the axes and counted per id.
     """
-    stated, usable = flags.is_true(F.col("salaire_renseigne")), flags.is_true(F.col("salaire_exploitable"))
     central = "salaire_annuel_central"
+    usable = flags.is_true(F.col("salaire_exploitable"))
     keys, regroup = list(AXIS_KEYS), (AXIS_SOURCE, unpivot_axes)
-
-    volumes = aggregates.distinct_counts(
-        facts, keys, "id_offre",
-        {
-            "nombre_salaires_renseignes": stated,
-            "nombre_salaires_suspects": flags.is_true(F.col("salaire_suspect")),
-            "nombre_salaires_exploitables": usable,
-            "nombre_salaires_non_exploitables": stated & ~usable,
-        },
-        means={"paie": F.when(usable, F.col(central))},
-        extremes={"paie_bornes": F.when(usable, F.col(central))},
-        lineage={name: F.col(c) for name, c in LINEAGE.items()},
-        regroup=regroup,
-    )
+    volumes = _counts(combined or combine(facts, salary_measures()), {k: F.col(k) for k in keys},
+                      [m.name for m in salary_measures()], "nombre_offres", unpivot_axes)
     quartiles = aggregates.exact_quantiles(facts, keys, central, QUARTILES, usable, regroup=regroup)
     # The global row among the few aggregated ones; a window, so that nothing is computed twice.
     everything = F.max(F.when(F.col("ordre_axe") == GLOBAL_AXIS[0], F.col("nombre_offres"))).over(
@@ -355,24 +410,24 @@ def salary_analysis(facts: DataFrame, computed_at: datetime | None = None) -> Da
             "code_modalite",
             "modalite",
             *LINEAGE,
-            total.cast("int").alias("nombre_offres"),
+            "nombre_offres",
             rates.share(total, n("_all")).alias("part_offres_pct"),
-            n("nombre_salaires_renseignes").cast("int").alias("nombre_salaires_renseignes"),
+            "nombre_salaires_renseignes",
             rates.share(n("nombre_salaires_renseignes"), total).alias("taux_transparence_salariale_pct"),
-            n("nombre_salaires_exploitables").cast("int").alias("nombre_salaires_exploitables"),
+            "nombre_salaires_exploitables",
             rates.share(n("nombre_salaires_exploitables"), total).alias(
                 "taux_salaires_exploitables_sur_total_pct"),
             rates.share(n("nombre_salaires_exploitables"), n("nombre_salaires_renseignes")).alias(
                 "taux_exploitabilite_salaires_renseignes_pct"),
-            n("nombre_salaires_suspects").cast("int").alias("nombre_salaires_suspects"),
-            n("nombre_salaires_non_exploitables").cast("int").alias("nombre_salaires_non_exploitables"),
+            "nombre_salaires_suspects",
+            "nombre_salaires_non_exploitables",
             rates.mean(n("paie_somme"), n("paie_nombre")).alias("salaire_annuel_moyen"),
             "salaire_annuel_median",
             "premier_quartile",
             "troisieme_quartile",
             (n("troisieme_quartile") - n("premier_quartile")).alias("ecart_interquartile"),
-            n("paie_bornes_min").alias("salaire_annuel_min_observe"),
-            n("paie_bornes_max").alias("salaire_annuel_max_observe"),
+            n("paie_min").alias("salaire_annuel_min_observe"),
+            n("paie_max").alias("salaire_annuel_max_observe"),
         )
         .orderBy("ordre_axe", "rang_modalite")
     )

@@ -87,15 +87,15 @@ def build_marts(served: DataFrame, reference: DataFrame, run: Run) -> dict[str,
 
     offers = stored(enrichment.enrich(enrichment.staging(served)), "offres_enrichies")
     priced = stored(salaries.attach_facts(offers.drop("description_offre")), "salaires")
-    placed, facts = dimension.attach_area(offers, reference), dimension.attach_area(priced, reference)
-    kpis = stored(marts.market_kpis(offers), "marche")
+    facts = dimension.attach_area(priced, reference)
+    combined = marts.store(marts.combine(facts), f"{folder}/combined")
     return {
-        "marche": kpis,
-        "famille": marts.by_family(offers, kpis=kpis),
-        "contrat": marts.by_contract(offers, kpis=kpis),
-        "departement": marts.by_area(placed, kpis=kpis),
-        "region": marts.by_region(placed, kpis=kpis),
-        "salaires": marts.salary_analysis(facts),
+        "marche": stored(marts.market_kpis(combined), "marche"),
+        "famille": marts.by_family(combined),
+        "contrat": marts.by_contract(combined),
+        "departement": marts.by_area(combined),
+        "region": marts.by_region(combined),
+        "salaires": marts.salary_analysis(facts, combined=combined),
     }
 
 

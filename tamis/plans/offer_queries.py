@@ -145,13 +145,13 @@ register("area_reference", lambda spark, d: dimension.attach_area(
 ).select("id_offre", "code_departement_mart", "nom_departement_mart", "code_region_mart", "nom_region_mart"),
     f"""select id_offre, code_departement_mart, nom_departement_mart, code_region_mart, nom_region_mart
         from ({sql.PLACED})""")
-register("mart_market_kpis", lambda spark, d: marts.market_kpis(tables.enriched(spark, d)), sql.KPI)
-register("mart_by_family", lambda spark, d: marts.by_family(tables.enriched(spark, d)), sql.BY_FAMILY)
-register("mart_by_contract", lambda spark, d: marts.by_contract(tables.enriched(spark, d)), sql.BY_CONTRACT)
-register("mart_by_area", lambda spark, d: marts.by_area(tables.placed(spark, d)), sql.BY_AREA)
-register("mart_by_region", lambda spark, d: marts.by_region(tables.placed(spark, d)), sql.BY_REGION)
+register("mart_market_kpis", lambda spark, d: marts.market_kpis(tables.combined(spark, d)), sql.KPI)
+register("mart_by_family", lambda spark, d: marts.by_family(tables.combined(spark, d)), sql.BY_FAMILY)
+register("mart_by_contract", lambda spark, d: marts.by_contract(tables.combined(spark, d)), sql.BY_CONTRACT)
+register("mart_by_area", lambda spark, d: marts.by_area(tables.combined(spark, d)), sql.BY_AREA)
+register("mart_by_region", lambda spark, d: marts.by_region(tables.combined(spark, d)), sql.BY_REGION)
 register(
     "mart_salary_analysis",
-    lambda spark, d: marts.salary_analysis(tables.salary_facts(spark, d)),
+    lambda spark, d: marts.salary_analysis(tables.salary_facts(spark, d), combined=tables.combined(spark, d)),
     sql.SALARY_ANALYSIS,
 )

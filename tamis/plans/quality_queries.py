@@ -357,10 +357,10 @@ register(
 )
 
 _MARTS = {
-    "famille": (lambda spark, d: marts.by_family(tables.enriched(spark, d)), sql.BY_FAMILY),
-    "contrat": (lambda spark, d: marts.by_contract(tables.enriched(spark, d)), sql.BY_CONTRACT),
-    "departement": (lambda spark, d: marts.by_area(tables.placed(spark, d)), sql.BY_AREA),
-    "region": (lambda spark, d: marts.by_region(tables.placed(spark, d)), sql.BY_REGION),
+    "famille": (lambda spark, d: marts.by_family(tables.combined(spark, d)), sql.BY_FAMILY),
+    "contrat": (lambda spark, d: marts.by_contract(tables.combined(spark, d)), sql.BY_CONTRACT),
+    "departement": (lambda spark, d: marts.by_area(tables.combined(spark, d)), sql.BY_AREA),
+    "region": (lambda spark, d: marts.by_region(tables.combined(spark, d)), sql.BY_REGION),
 }
 _FAMILIES = [f"nombre_offres_{p}" for p in marts.FAMILY_MEASURES]
 
@@ -398,7 +398,7 @@ for _name, (_build, _mart) in _MARTS.items():
 register(
     "test_reference_labels",
     lambda spark, d: checks.long_form(
-        marts.by_area(tables.placed(spark, d)),
+        marts.by_area(tables.combined(spark, d)),
         {"departements_sans_libelle": F.count_if((F.col("code_departement") != "NON_RENSEIGNE") & (
             F.col("nom_departement") == "Non renseigné"))}),
     check_rows({"departements_sans_libelle": """count(distinct code_departement) filter (where code_departement not in
@@ -412,7 +412,7 @@ _FIVE = ("nombre_offres", "nombre_salaires_renseignes", "nombre_salaires_exploit
 
 def _salary_mart(spark, sf_dir):
     return tables.stored(spark, sf_dir, "mart_salaires", lambda: marts.salary_analysis(
-        tables.salary_facts(spark, sf_dir)).drop("date_calcul_kpi"))
+        tables.salary_facts(spark, sf_dir), combined=tables.combined(spark, sf_dir)).drop("date_calcul_kpi"))
 
 
 register(

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamis.operators import dimension, enrichment, salaries
+from tamis.operators import dimension, enrichment, marts, salaries
 from tamis.plans import offers_sql
 from tamis.session import scratch_path
 
-_LAYERS: dict[tuple[str, str, str], str] = {}
+_LAYERS: dict[tuple[str, str, str], str | marts.Combined] = {}
 
 # SQL settings that may be changed on a running session.
 RUNTIME = {
@@ -104,18 +104,19 @@ def salary_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-FACT_COLUMNS = ("id_offre", "famille_metier_data", "categorie_contrat", "code_departement", "salaire_renseigne",
-                "batch_id", "fichier_source_silver", "date_chargement", *salaries.FACTS)
-
-
 def salary_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offers with their salary facts, stored: labels are parsed once, and no join is needed."""
-    facts = stored(
-        spark, sf_dir, "salary_facts",
-        lambda: salaries.attach_facts(enriched(spark, sf_dir)).select(*FACT_COLUMNS),
-    )
+    """Offers with their salary facts and areas: labels are parsed once, and no large join is needed."""
+    facts = stored(spark, sf_dir, "salary_facts", lambda: salaries.attach_facts(enriched(spark, sf_dir)))
     return dimension.attach_area(facts, dimension.preset_reference(spark))
 
 
+def combined(spark: SparkSession, sf_dir: str) -> marts.Combined:
+    """The rows all six marts read, stored with ids in buckets."""
+    key = (spark.sparkContext.applicationId, sf_dir, "combined")
+    if key not in _LAYERS:
+        _LAYERS[key] = marts.store(marts.combine(salary_facts(spark, sf_dir)), scratch_path(spark, "combined"))
+    return _LAYERS[key]
+
+
 def placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension.attach_area(enriched(spark, sf_dir), dimension.preset_reference(spark))

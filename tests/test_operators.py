@@ -37,32 +37,76 @@ def test_distinct_counts_match_brute_force(spark, seed):
         assert got[k]["lot"] == max(r[5] for r in mine)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_regrouped_counts_match_brute_force(spark, seed):
-    """An id that holds a third of the rows, in several categories, counts once per axis value."""
+def _offers(spark, seed, rows=400):
     rnd = random.Random(seed)
-    rows = [(rnd.choice(["x", "y"]), rnd.choice(["u", "v", "w"]), rnd.choice([1] * 10 + [None, *range(20)]),
-             rnd.random() < 0.5, rnd.randint(0, 9)) for _ in range(500)]
-    df = spark.createDataFrame(rows, "a string, b string, id int, p boolean, v int").repartition(6)
-
-    def axes(d):
-        pairs = [F.struct(F.lit(n).alias("axe"), F.col(n).alias("m")) for n in ("a", "b")]
-        return d.select("*", F.inline(F.array(*pairs))).drop("a", "b")
-
-    got = {(r["axe"], r["m"]): r for r in aggregates.distinct_counts(
-        df, ["axe", "m"], "id", {"vrai": F.col("p")}, {"s": F.col("v")}, lineage={"lot": F.col("b")},
-        extremes={"e": F.col("v")}, regroup=(("a", "b"), axes), total="n").collect()}
-    quantiles = {(r["axe"], r["m"]): r["med"] for r in aggregates.exact_quantiles(
-        df, ["axe", "m"], "v", {"med": 0.5}, F.col("p"), 2.0, regroup=(("a", "b"), axes)).collect()}
-    assert len(got) == 5
-    for (axis, m), row in got.items():
-        mine = [r for r in rows if r["ab".index(axis)] == m]
-        assert row["n"] == len({r[2] for r in mine if r[2] is not None})
-        assert row["vrai"] == len({r[2] for r in mine if r[3] and r[2] is not None})
-        assert (row["s_somme"], row["s_nombre"]) == (sum(r[4] for r in mine), len(mine))
-        assert (row["e_min"], row["e_max"], row["lot"]) == (
-            min(r[4] for r in mine), max(r[4] for r in mine), max(r[1] for r in mine))
-        assert quantiles[axis, m] == np.quantile([r[4] for r in mine if r[3]], 0.5)
+    family, contract = list(marts.FAMILY_MEASURES.values()), list(marts.CONTRACT_MEASURES.values())
+    data = [(rnd.choice([None, "hot"] + ["hot"] * 3 + [f"i{k}" for k in range(60)]), rnd.choice(family),
+             rnd.choice(contract), rnd.choice(["75", "69", None]), rnd.random() < 0.5, rnd.random() < 0.3,
+             Decimal(rnd.randint(1, 9)), rnd.choice(["f1", "f2"]), rnd.randint(0, 9)) for _ in range(rows)]
+    df = spark.createDataFrame(
+        data, "id_offre string, famille_metier_data string, categorie_contrat string, code_departement string, "
+              "salaire_renseigne boolean, salaire_exploitable boolean, salaire_annuel_central decimal(12,2), "
+              "fichier_source_silver string, anciennete_offre_jours int")
+    fixed = {"code_departement_mart": F.coalesce("code_departement", F.lit("NR")), "nom_departement_mart": F.lit("d"),
+             "code_region_mart": F.coalesce("code_departement", F.lit("NR")), "nom_region_mart": F.lit("r"),
+             "delai_actualisation_jours": F.lit(1), "score_qualite_offre": F.lit(2), "batch_id": F.lit("b"),
+             "date_chargement": F.current_timestamp(), "salaire_suspect": F.lit(False),
+             "categorie_qualite_offre": F.lit("x"), "mention_cloud_devops": F.lit(True),
+             "offre_difficile_a_pourvoir": F.lit(False), "information_entreprise_disponible": F.lit(None).cast("boolean"),
+             "coordonnees_renseignees": F.lit(True), "est_offre_recente_30j": F.lit(True)}
+    return data, df.withColumns(fixed).repartition(6)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_all_marts_follow_from_the_combined_rows(spark, seed, tmp_path):
+    """An id that holds a third of the rows, in several categories, counts once per group and once in the total."""
+    data, df = _offers(spark, seed)
+    combined = marts.store(marts.combine(df), str(tmp_path))
+    ids = {r[0] for r in data if r[0]}
+    kpi = marts.market_kpis(combined).first()
+    assert kpi["nombre_total_offres"] == len(ids) and kpi["nombre_departements_couverts"] == 2
+    assert kpi["nombre_offres_salaire_renseigne"] == len({r[0] for r in data if r[4] and r[0]})
+    for row in marts.by_family(combined).collect():
+        mine = [r for r in data if r[1] == row["famille_metier_data"]]
+        assert row["nombre_offres"] == len({r[0] for r in mine if r[0]})
+        assert row["nombre_offres_cdi"] == len({r[0] for r in mine if r[0] and r[2] == "CDI"})
+        assert row["part_offres_pct"] == round(Decimal(100) * row["nombre_offres"] / len(ids), 2)
+        assert float(row["anciennete_moyenne_offres_jours"]) == round(float(np.mean([r[8] for r in mine])) + 1e-9, 2)
+        assert row["fichier_source_silver"] == max(r[7] for r in mine)
+    plain = {r["code_modalite"]: r for r in marts.salary_analysis(df).collect() if r["ordre_axe"] < 4}
+    stored = {r["code_modalite"]: r for r in marts.salary_analysis(df, combined=combined).collect() if r["ordre_axe"] < 4}
+    for code, row in stored.items():
+        mine = [r for r in data if code in ("GLOBAL", r[1], r[2])]
+        pay = [float(r[6]) for r in mine if r[5]]
+        assert row["nombre_offres"] == len({r[0] for r in mine if r[0]}) == plain[code]["nombre_offres"]
+        assert row["nombre_salaires_exploitables"] == len({r[0] for r in mine if r[0] and r[5]})
+        assert float(row["salaire_annuel_median"]) == round(float(np.quantile(pay, 0.5)), 2)
+        assert (row["salaire_annuel_min_observe"], row["salaire_annuel_max_observe"]) == (min(pay), max(pay))
+
+
+def test_stored_rows_need_no_further_id_shuffle(spark, tmp_path):
+    combined = marts.store(marts.combine(_offers(spark, 3)[1]), str(tmp_path))
+    for build in (marts.market_kpis, marts.by_family, marts.by_contract, marts.by_area, marts.by_region):
+        plan = build(combined)._jdf.queryExecution().executedPlan().toString()
+        exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert not any("_id#" in line or "id_offre#" in line for line in exchanged), exchanged
+        assert "REPARTITION_BY_COL" not in plan
+
+
+def test_counts_beyond_an_int(spark):
+    """Three billion ids: the shares and the columns of a mart keep them."""
+    counted = spark.range(1).select(F.lit(3_000_000_000).alias("nombre_offres"), F.lit(2_500_000_000).alias("n"))
+    row = counted.select(*marts._with_shares([marts.Measure("n", F.lit(True), "part")], "nombre_offres")).first()
+    assert row["n"] == 2_500_000_000 and row["part"] == Decimal("83.33")
+    for name in ("market_kpis", "by_family", "salary_analysis"):
+        schema = dict(getattr(marts, name)(_offers(spark, 1, 20)[1]).dtypes)
+        assert not [c for c, kind in schema.items() if c.startswith("nombre_") and kind != "bigint"]
+
+
+def test_more_conditions_than_one_mask_holds(spark):
+    df = spark.range(200).select(F.col("id"), (F.col("id") % 2).alias("k"))
+    got = aggregates.distinct_counts(df, ["k"], "id", {f"c{i}": F.col("id") < i for i in range(150)}, total="n")
+    assert {r["k"]: (r["n"], r["c149"], r["c62"], r["c3"]) for r in got.collect()} == {0: (100, 75, 31, 2), 1: (100, 74, 31, 1)}
 
 
 def test_market_kpis_of_no_offers_is_one_row(spark):
