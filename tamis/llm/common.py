@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tamis.session import scratch_path
+from tamis.session import ensure_scratch, scratch_path
 
 # Settings every query of this subpackage relies on; all may be changed on a running session.
 RUNTIME = {
@@ -25,6 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def prepare(spark: SparkSession) -> None:
+    ensure_scratch(spark)
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     # Python workers import this package from where the driver found it, if it is not installed.
