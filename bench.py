@@ -11,6 +11,7 @@ import contextlib
 import json
 import os
 import sys
+import tempfile
 import time
 
 os.environ.setdefault("PYSPARK_PYTHON", sys.executable)
@@ -39,7 +40,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
     spark = build_session("tamis-bench", f"local[{cpus}]", **{
-        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.driver.memory": "16g",
+        "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tamis-"),
+        "spark.tamis.inputPartitions": cpus, "spark.driver.memory": "16g",
         "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     tables.prepare(spark)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tamis.operators.checks import count_of, duplicate_key, long_form
+from tamis.operators.checks import count_of, long_form
 from tamis.presets import acquisition as preset
 
 VALUE = "_value"
@@ -45,8 +45,7 @@ def flatten(
 ) -> DataFrame:
     """Declared columns always, plus the ``extra`` top-level keys of this batch.
 
-    ``raw_record`` takes the place of the input text: the whole record as compact JSON with sorted
-    keys, so that two copies of a record are equal text.
+    ``raw_record`` is the input text as it came. Comparisons bring it to a canonical form themselves.
     """
 
     def typed(name: str, *keys: str) -> Column:
@@ -59,7 +58,7 @@ def flatten(
     columns += [typed(name, name) for name in declared]
     columns += [typed(name, name) for name in extra if name not in declared and name not in nested]
     kept = [c for c in parsed.columns if c not in (VALUE, record)]
-    return parsed.select(*kept, *columns, F.to_json(VALUE).alias("raw_record"))
+    return parsed.select(*kept, *columns, F.col(record).alias("raw_record"))
 
 
 def with_lineage(
@@ -92,6 +91,14 @@ def top_level_keys(parsed: DataFrame) -> DataFrame:
     return parsed.select(keys.alias("cle")).groupBy("cle").agg(F.count(F.lit(1)).alias("enregistrements"))
 
 
+def undeclared(parsed: DataFrame, nested: Mapping[str, Sequence[str]] = preset.NESTED_FIELDS,
+               scalars: Sequence[str] = preset.TEXT_FIELDS, json_fields: Sequence[str] = preset.JSON_FIELDS,
+               types: Mapping[str, T.DataType] = preset.TYPED_FIELDS) -> list[str]:
+    """Action: top-level keys of a batch that no declaration names, sorted; as few as the schema has fields."""
+    known = {*nested, *scalars, *json_fields, *types}
+    return sorted(r["cle"] for r in top_level_keys(parsed).collect() if r["cle"] not in known)
+
+
 def schema_drift(
     parsed: DataFrame, nested: Mapping[str, Sequence[str]] = preset.NESTED_FIELDS
 ) -> DataFrame:
@@ -152,7 +159,6 @@ def record_checks(parsed: DataFrame, queries: Sequence[str] | None = None) -> Da
         "lot_vide": F.when(F.count(F.lit(1)) == 0, 1).otherwise(0),
         "entrees_non_objet": count_of(~obj),
         "sans_id": count_of(obj & F.col("id").isNull()),
-        "ids_dupliques": duplicate_key("id"),
         "sans_mot_cle": count_of(obj & F.col("mot").isNull()),
         "sans_liste_mots_cles": count_of(obj & F.col("brut").isNull()),
         "mots_cles_non_liste": count_of(obj & F.col("brut").isNotNull() & ~F.col("liste")),
@@ -166,4 +172,4 @@ def record_checks(parsed: DataFrame, queries: Sequence[str] | None = None) -> Da
     if queries is not None:
         known = F.array(*[F.lit(q) for q in queries])
         rules["mots_cles_inconnus"] = count_of(has_words & (F.size(F.array_except("mots", known)) > 0))
-    return long_form(view, rules)
+    return long_form(view, rules, {"ids_dupliques": "id"})

@@ -16,10 +16,23 @@ class ContractError(ValueError):
     """A layer broke a rule that blocks the next one."""
 
 
-def long_form(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
-    """All rules in one aggregate over ``df``; each rule is an aggregate expression."""
+def long_form(df: DataFrame, rules: Mapping[str, Column], unique: Mapping[str, str] | None = None) -> DataFrame:
+    """All rules in one aggregate over ``df``; each rule is an aggregate expression.
+
+    ``unique`` names rules that count rows beyond the first of each key. They are grouped counts of their own: next to
+    minima of strings, a distinct count would sort all rows by key.
+    """
     wide = df.agg(*[rule.cast("long").alias(name) for name, rule in rules.items()])
-    return wide.unpivot([], list(rules), "controle", "violations")
+    for name, key in (unique or {}).items():
+        wide = wide.crossJoin(repeats(df, key, name))
+    return wide.unpivot([], [*rules, *(unique or {})], "controle", "violations")
+
+
+def repeats(df: DataFrame, key: str, name: str) -> DataFrame:
+    """One row: rows beyond the first of each non-null key."""
+    per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    extra = F.sum(F.when(F.col("_key").isNotNull(), F.col("_n") - 1))
+    return per_key.agg(F.coalesce(extra, F.lit(0)).cast("long").alias(name))
 
 
 def count_of(condition: Column) -> Column:
@@ -135,6 +148,28 @@ def compare_totals(detail: DataFrame, detail_column: str, total: DataFrame, tota
     return left.crossJoin(right).filter(~F.col("somme_detail").eqNullSafe(F.col("total")))
 
 
+def axis_violations(mart: DataFrame, axis: str, total: str, measures: Sequence[str]) -> DataFrame:
+    """Measures whose sum over an axis differs from the row of axis ``total``."""
+    sums = mart.unpivot([axis], list(measures), "mesure", "_value").groupBy(axis, "mesure").agg(
+        F.sum("_value").alias("somme"))
+    expected = sums.filter(F.col(axis) == total).select("mesure", F.col("somme").alias("attendu"))
+    found = sums.filter(F.col(axis) != total).join(expected, "mesure", "left")
+    return found.filter(~F.col("somme").eqNullSafe(F.col("attendu"))).select(axis, "mesure", "somme", "attendu")
+
+
+def unlabelled(mart: DataFrame, code: str, label: str, no_code: str, no_label: str) -> DataFrame:
+    """Codes without the label of the reference."""
+    missing = F.col(label).isNull() | (F.col(label) == no_label)
+    return mart.filter(~F.col(code).eqNullSafe(F.lit(no_code)) & missing).select(code)
+
+
+def one_positive_row(mart: DataFrame, volume: str) -> DataFrame:
+    """A mart of exactly one row with a positive volume."""
+    return long_form(mart, {
+        "nombre_de_lignes": F.when(F.count(F.lit(1)) == 1, 0).otherwise(1),
+        "volume_non_positif": F.count_if(F.coalesce(F.col(volume), F.lit(0)) <= 0)})
+
+
 def share_sum(mart: DataFrame, column: str, low: float, high: float) -> DataFrame:
     """The sum of shares if it lies outside the tolerance."""
     return mart.agg(F.sum(column).cast("double").alias("total_part_pct")).filter(

@@ -118,9 +118,7 @@ def to_silver(
 
 
 def key_checks(df: DataFrame, key: str) -> DataFrame:
-    return checks.long_form(
-        df, {"cles_manquantes": checks.missing_key(key), "cles_dupliquees": checks.duplicate_key(key)}
-    )
+    return checks.long_form(df, {"cles_manquantes": checks.missing_key(key)}, {"cles_dupliquees": key})
 
 
 def layer_metrics(df: DataFrame, total: str = "lignes") -> DataFrame:
@@ -138,9 +136,21 @@ def layer_metrics(df: DataFrame, total: str = "lignes") -> DataFrame:
 def lenient(col: Column, kind: str) -> Column:
     """Value of the wanted type, or null where it cannot be read; NaN becomes null."""
     value = col.try_cast(kind)
+    if kind == "boolean":
+        # Only the two words; the cast would also take t, y, 1 and the like.
+        return F.when(F.lower(F.trim(col.cast("string"))).isin("true", "false"), value)
     return F.when(~F.isnan(value), value) if kind == "double" else value
 
 
+def coercion_rejects(
+    df: DataFrame, booleans: Sequence[str] = (*silver.SOURCE_BOOLEANS, *silver.COMPUTED_BOOLEANS)
+) -> DataFrame:
+    """Filled booleans that the serving load cannot read; a load must not go on with any."""
+    rules = {f"{c}_illisible": F.count_if(F.col(c).isNotNull() & lenient(F.col(c), "boolean").isNull())
+             for c in booleans if c in df.columns}
+    return checks.long_form(df, rules)
+
+
 def serving_types(
     df: DataFrame,
     source_key: str | Column,
@@ -173,13 +183,15 @@ def serving_types(
     return df.withColumns(out)
 
 
-def load_checks(df: DataFrame, key: str = "id_offre", single: Mapping[str, object | None] | None = None) -> DataFrame:
-    """Contract before the load: rows, unique keys, single-valued lineage; one pass."""
+def load_checks(df: DataFrame, key: str = "id_offre", single: Mapping[str, object | None] | None = None,
+                required: Sequence[str] = ()) -> DataFrame:
+    """Contract before the load: required columns, rows, unique keys, single-valued lineage."""
     single = single or {"batch_id": None, "processing_run_id": None, "silver_schema_version": None}
+    checks.assert_columns(df, [key])
     rules = {
+        "colonnes_absentes": F.lit(len(checks.required_columns(df, [*required, *single]))) + F.count(F.lit(1)) * 0,
         "table_vide": F.when(F.count(F.lit(1)) == 0, 1).otherwise(0),
         "cles_manquantes": checks.missing_key(key),
-        "cles_dupliquees": checks.duplicate_key(key),
     }
-    rules |= {f"{c}_non_unique": checks.not_single(c, v) for c, v in single.items()}
-    return checks.long_form(df, rules)
+    rules |= {f"{c}_non_unique": checks.not_single(c, v) for c, v in single.items() if c in df.columns}
+    return checks.long_form(df, rules, {"cles_dupliquees": key})

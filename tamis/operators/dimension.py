@@ -12,10 +12,6 @@ from tamis.presets import areas as preset
 from tamis.presets import rules
 
 
-# Rows up to which a reference is sent to every task.
-BROADCAST_ROWS = 100_000
-
-
 def _constant(spark: SparkSession, rows: Sequence[Sequence[str]], columns: str) -> DataFrame:
     """A table of constants inside the plan, whose size the optimiser knows."""
     def text(value: str) -> str:
@@ -40,20 +36,11 @@ def preset_reference(spark: SparkSession) -> DataFrame:
     return _constant(spark, rows, "code_departement, nom_departement, code_region, nom_region")
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint once the table is known to be small; beyond that a shuffle join, split by AQE.
-
-    The check reads at most ``rows + 1`` rows and needs no statistics, which a computed reference
-    does not have. Without the hint such a join would shuffle the facts by a few hot codes.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
-
-
 def many_to_one(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
     """Left join that fails when a key occurs twice on the right.
 
-    The check rides along in the aggregate that makes the right side unique. That side is broadcast
-    if it is small, so that hot keys of the left side stay where they are.
+    The check rides along in the aggregate that makes the right side unique. Whether that side is broadcast is left to
+    Spark, which knows its bytes at run time; a shuffled join is split where a key is frequent.
     """
     others = [c for c in right.columns if c != on]
     row = F.struct(*others) if others else F.struct(F.col(on))
@@ -65,7 +52,7 @@ def many_to_one(left: DataFrame, right: DataFrame, on: str) -> DataFrame:
         .otherwise(F.col("_row"))
         .alias("_row"),
     )
-    return left.join(broadcast_if_small(checked), on, "left").select(*left.columns, *[F.col(f"_row.{c}") for c in others])
+    return left.join(checked, on, "left").select(*left.columns, *[F.col(f"_row.{c}") for c in others])
 
 
 def build_reference(areas: DataFrame, regions: DataFrame) -> DataFrame:
@@ -88,7 +75,8 @@ def reference_problems(reference: DataFrame) -> DataFrame:
 def attach_area(offers: DataFrame, reference: DataFrame) -> DataFrame:
     """Region columns and display values for unknown areas.
 
-    The reference has one row per area code and is broadcast after a check of its size.
+    The reference has one row per area code. Spark broadcasts it if its bytes are below the session's threshold; the
+    preset is part of the plan, so its size is known beforehand.
     """
     known = reference.select(
         F.col("code_departement"),
@@ -96,7 +84,7 @@ def attach_area(offers: DataFrame, reference: DataFrame) -> DataFrame:
         F.col("code_region").alias("_region"),
         F.col("nom_region").alias("_region_name"),
     )
-    return offers.join(broadcast_if_small(known), "code_departement", "left").select(
+    return offers.join(known, "code_departement", "left").select(
         *offers.columns,
         F.coalesce("code_departement", F.lit(rules.NO_AREA)).alias("code_departement_mart"),
         F.coalesce("_area", F.lit(rules.UNKNOWN)).alias("nom_departement_mart"),

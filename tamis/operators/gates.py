@@ -61,17 +61,31 @@ def bronze_equals_raw(raw: DataFrame, bronze: DataFrame, key: str = "id", record
             for f in fields
         ],
     )
-    both = (F.col("_raw") > 0) & (F.col("_bronze") > 0)
+    named = F.col("id").isNotNull()
+    both = named & (F.col("_raw") > 0) & (F.col("_bronze") > 0)
+
+    def unnamed(side: str) -> Column:
+        return F.coalesce(F.sum(F.when(~named, F.col(side))), F.lit(0))
+
     rules = {
-        "ids_absents_bronze": F.count_if(F.col("_bronze") == 0),
-        "ids_inattendus_bronze": F.count_if(F.col("_raw") == 0),
-        "ids_dupliques": F.count_if((F.col("_raw") > 1) | (F.col("_bronze") > 1)),
+        "ids_nuls_raw": unnamed("_raw"),
+        "ids_nuls_bronze": unnamed("_bronze"),
+        "ids_absents_bronze": F.count_if(named & (F.col("_bronze") == 0)),
+        "ids_inattendus_bronze": F.count_if(named & (F.col("_raw") == 0)),
+        "ids_dupliques": F.count_if(named & ((F.col("_raw") > 1) | (F.col("_bronze") > 1))),
         "enregistrement_illisible": F.count_if(both & ~F.col("_readable")),
         "enregistrement_autre_id": F.count_if(both & F.col("_readable") & ~F.col("_own_id")),
         "enregistrement_different": F.count_if(both & F.col("_readable") & ~F.col("same_content")),
     }
     rules |= {f"{n}_different": F.count_if(both & ~F.col(f"same_{n}")) for n in same}
-    return checks.long_form(per_id.filter(F.col("id").isNotNull()), rules)
+    return checks.long_form(per_id, rules)
+
+
+def silver_equals_raw(raw: DataFrame, silver: DataFrame) -> DataFrame:
+    """Record, id and keyword list of silver against raw; the primary keyword is folded there, see ``keyword_checks``."""
+    kept = silver.select(F.col("id_offre").alias("id"), F.col("enregistrement_brut").alias("raw_record"),
+                         F.col("mots_cles_recherche").alias("search_keywords"))
+    return bronze_equals_raw(raw, kept, same=("search_keywords",))
 
 
 def lineage_checks(df: DataFrame, expected: Mapping[str, object]) -> DataFrame:

@@ -98,12 +98,6 @@ def digest(value: Column) -> dict[str, Column]:
     }
 
 
-def row_hashes(df: DataFrame, key: str, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.select(
-        F.col(key).cast("string").alias("id"), F.sha2(canonical_row(df, columns), 256).alias("empreinte")
-    )
-
-
 def compare_rows(
     source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None = None
 ) -> DataFrame:
@@ -165,6 +159,17 @@ def compare_schemas(source: DataFrame, target: DataFrame, extra: Sequence[str])
     }
 
 
+def schema_rows(source: DataFrame, target: DataFrame, extra: Sequence[str]) -> DataFrame:
+    """One row per column with what the comparison found."""
+    found = compare_schemas(source, target, extra)
+    states = {"colonnes_absentes": "absente", "colonnes_techniques_absentes": "technique_absente",
+              "colonnes_inattendues": "inattendue"}
+    rows = [(c, state) for name, state in states.items() for c in found[name]]
+    rows += [(c, "technique") for c in extra if c in target.columns]
+    rows += [(c, "commune") for c in source.columns if c in target.columns and c not in extra]
+    return source.sparkSession.createDataFrame(sorted(rows), "colonne string, etat string")
+
+
 def target_metrics(df: DataFrame, key: str, single: Sequence[str], loaded_at: str) -> DataFrame:
     """Rows, keys and lineage of a stored snapshot in one row.
 

@@ -455,8 +455,8 @@ register(
 )
 
 
-def _serving(spark, sf_dir):
-    df = spark.sql(
+def _unserved(spark, sf_dir):
+    return spark.sql(
         """select event_id as id_offre, case event_id % 4 when 0 then 'hier' when 1 then null
             else cast(cast(ts as date) as string) end as date_creation,
             case event_id % 3 when 0 then 'true' when 1 then 'peut-etre' end as est_alternance,
@@ -464,7 +464,10 @@ def _serving(spark, sf_dir):
             case event_id % 3 when 0 then cast('NaN' as double) else value end as latitude,
             array(event_type, cast(null as string)) as horaires_travail from {events}""",
         events=tables.table(spark, sf_dir, "events"))
-    return cleaning.serving_types(df, "silver/part.parquet", F.lit("2024-02-01 12:00:00").cast("timestamp"))
+
+
+def _serving(spark, sf_dir):
+    return cleaning.serving_types(_unserved(spark, sf_dir), "silver/part.parquet", F.lit("2024-02-01 12:00:00").cast("timestamp"))
 
 
 register(
@@ -477,11 +480,15 @@ register(
         '["' || event_type || '",null]' as horaires_travail, '2024-02-01 12:00:00' as date_chargement,
         'silver/part.parquet' as fichier_source_silver from events""",
 )
+register("serving_rejects", lambda spark, d: cleaning.coercion_rejects(_unserved(spark, d), ("est_alternance",)),
+         check_rows({"est_alternance_illisible": "count(*) filter (where event_id % 3 = 1)"}, "select * from events"))
 register(
     "load_contract",
     lambda spark, d: cleaning.load_checks(
-        tables.table(spark, d, "orders"), "o_orderkey", {"o_orderstatus": None, "o_orderpriority": "1-URGENT"}),
-    check_rows({"table_vide": "(count(*) = 0)::int", "cles_manquantes": "count(*) - count(o_orderkey)",
+        tables.table(spark, d, "orders"), "o_orderkey", {"o_orderstatus": None, "o_orderpriority": "1-URGENT"},
+        ("o_orderkey", "o_custkey", "absente")),
+    check_rows({"colonnes_absentes": "1", "table_vide": "(count(*) = 0)::int",
+                "cles_manquantes": "count(*) - count(o_orderkey)",
                 "cles_dupliquees": "count(o_orderkey) - count(distinct o_orderkey)",
                 "o_orderstatus_non_unique": "(count(distinct o_orderstatus) <> 1)::int",
                 "o_orderpriority_non_unique": "(min(o_orderpriority) <> '1-URGENT' or "
@@ -511,39 +518,68 @@ def _raw_and_bronze(spark, sf_dir):
 
 
 def _damaged_bronze(spark, sf_dir):
-    """Some rows lost, unreadable, changed, or with another keyword."""
+    """Every rule broken: rows lost, repeated, unreadable, changed, without id, or with other keywords."""
     raw, good = _raw_and_bronze(spark, sf_dir)
     n = F.col("event_id")
-    bad = good.filter(n % 100 != 7).withColumns(
+    case = n % 100
+    bad = good.filter(case != 7).withColumns(
         {
-            "raw_record": F.when(n % 100 == 8, F.lit("{oops")).when(
-                n % 100 == 9, F.replace("raw_record", F.lit("CDI"), F.lit("CDD"))).otherwise(F.col("raw_record")),
-            "search_keyword": F.when(n % 100 == 10, F.lit("autre")).otherwise(F.col("search_keyword")),
-            "ingestion_timestamp": F.when(n % 100 != 11, F.col("ingestion_timestamp")),
+            "raw_record": F.when(case == 8, F.lit("{oops")).when(
+                case == 9, F.replace("raw_record", F.lit("CDI"), F.lit("CDD"))).when(
+                case == 15, F.replace("raw_record", F.lit('"id":"'), F.lit('"id":"x'))).otherwise(F.col("raw_record")),
+            "search_keyword": F.when(case == 10, F.lit("autre")).otherwise(F.col("search_keyword")),
+            "ingestion_timestamp": F.when(case != 11, F.col("ingestion_timestamp")),
+            "search_keywords": F.when(case != 16, F.col("search_keywords")),
+            "id": F.when(case != 12, F.col("id")),
         }
     )
-    return gates.bronze_equals_raw(raw, bad)
+    raw = raw.withColumn("id", F.when(F.col("id").cast("long") % 100 != 13, F.col("id")))
+    return gates.bronze_equals_raw(raw, bad.unionByName(bad.filter(case == 14)))
+
+
+def _silver_and_raw(spark, sf_dir):
+    raw, _ = _raw_and_bronze(spark, sf_dir)
+    return raw, _silver(spark, sf_dir)
+
+
+def _damaged_silver_records(spark, sf_dir):
+    raw, good = _silver_and_raw(spark, sf_dir)
+    case = F.col("id_offre").cast("long") % 100
+    return gates.silver_equals_raw(raw, good.filter(case != 7).withColumns({
+        "enregistrement_brut": F.when(case == 8, F.lit("{oops")).when(
+            case == 9, F.replace("enregistrement_brut", F.lit("CDI"), F.lit("CDD"))).otherwise(F.col("enregistrement_brut")),
+        "mots_cles_recherche": F.when(case != 16, F.col("mots_cles_recherche"))}))
 
 
 def _count_mod(k: int) -> str:
     return f"(select count(*) from events where event_id % 100 = {k})"
 
 
+_RECORD_RULES = ("ids_nuls_raw", "ids_nuls_bronze", "ids_absents_bronze", "ids_inattendus_bronze", "ids_dupliques",
+                 "enregistrement_illisible", "enregistrement_autre_id", "enregistrement_different")
+register("silver_gate_records", lambda spark, d: gates.silver_equals_raw(*_silver_and_raw(spark, d)),
+         check_rows({n: "0" for n in (*_RECORD_RULES, "search_keywords_different")}, "select 1"))
+register(
+    "silver_gate_record_defects", _damaged_silver_records,
+    check_rows(dict.fromkeys(_RECORD_RULES, "0") | {
+        "ids_absents_bronze": _count_mod(7), "enregistrement_illisible": _count_mod(8),
+        "enregistrement_different": _count_mod(9), "search_keywords_different": _count_mod(16)}, "select 1"),
+)
 register(
     "bronze_gate",
     lambda spark, d: gates.bronze_equals_raw(*_raw_and_bronze(spark, d)),
-    check_rows({n: "0" for n in (
-        "ids_absents_bronze", "ids_inattendus_bronze", "ids_dupliques", "enregistrement_illisible",
-        "enregistrement_autre_id", "enregistrement_different", "search_keyword_different",
-        "search_keywords_different", "ingestion_timestamp_different")}, "select 1"),
+    check_rows({n: "0" for n in (*_RECORD_RULES, "search_keyword_different", "search_keywords_different",
+                                 "ingestion_timestamp_different")}, "select 1"),
 )
 register(
     "bronze_gate_defects", _damaged_bronze,
     check_rows({
-        "ids_absents_bronze": _count_mod(7), "ids_inattendus_bronze": "0", "ids_dupliques": "0",
-        "enregistrement_illisible": _count_mod(8), "enregistrement_autre_id": "0",
-        "enregistrement_different": _count_mod(9), "search_keyword_different": _count_mod(10),
-        "search_keywords_different": "0", "ingestion_timestamp_different": _count_mod(11)}, "select 1"),
+        "ids_nuls_raw": _count_mod(13), "ids_nuls_bronze": _count_mod(12),
+        "ids_absents_bronze": f"{_count_mod(7)} + {_count_mod(12)}", "ids_inattendus_bronze": _count_mod(13),
+        "ids_dupliques": _count_mod(14), "enregistrement_illisible": _count_mod(8),
+        "enregistrement_autre_id": _count_mod(15), "enregistrement_different": f"{_count_mod(9)} + {_count_mod(15)}",
+        "search_keyword_different": _count_mod(10), "search_keywords_different": _count_mod(16),
+        "ingestion_timestamp_different": _count_mod(11)}, "select 1"),
 )
 register(
     "drift_gate",

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tamis.operators import bronze, checks, cleaning, dimension, enrichment, gates, identity, marts, salaries
-from tamis.presets import acquisition
+from tamis.presets import acquisition, silver
 from tamis.sources import lake, snapshot
 
 
@@ -26,23 +26,26 @@ class Run:
     source_file: str
     ingested_at: str
 
-    def contract(self, layer: str, version: str, parent: str) -> dict[str, str]:
+    def contract(self, layer: str, version: str, parent: str, parent_hash: str = "") -> dict[str, str]:
         return {"layer": layer, "batch_id": self.batch_id, "processing_run_id": self.run_id,
-                "schema_version": version, "parent": parent}
+                "schema_version": version, "parent": parent, "parent_hash": parent_hash}
 
 
 def to_bronze(records: DataFrame, run: Run, queries=acquisition.SEARCH_QUERIES) -> DataFrame:
-    """Raw gate, flattening, create-once write, bronze gate."""
+    """Raw gate, drift report, flattening with undeclared fields, create-once write, bronze gate."""
     parsed = bronze.parse(records)
     checks.assert_none(bronze.record_checks(parsed, queries))
     drift = bronze.schema_drift(parsed)
     blocked = drift.filter("bloquant").select(
         F.concat(F.lit("type_"), "champ").alias("controle"), F.col("enregistrements").alias("violations"))
     checks.assert_none(blocked)
+    report = f"{run.root}/drift/{run.batch_id}/{run.run_id}"
+    drift.coalesce(1).write.mode("overwrite").json(report)  # warnings stay on record
     flat = bronze.with_lineage(
-        bronze.flatten(parsed.select("record", bronze.VALUE)), run.batch_id, run.run_id, run.source_file, run.source_file)
-    _, stored = lake.write_once(
-        flat, run.root, run.contract("bronze", acquisition.BRONZE_VERSION, run.source_file), "id")
+        bronze.flatten(parsed.select("record", bronze.VALUE), extra=bronze.undeclared(parsed)),
+        run.batch_id, run.run_id, run.source_file, run.source_file)
+    contract = run.contract("bronze", acquisition.BRONZE_VERSION, run.source_file, lake.content_hash(records))
+    _, stored = lake.write_once(flat, run.root, contract, "id")
     raw = parsed.select(bronze.field("id").alias("id"), "record")
     checks.assert_none(gates.bronze_equals_raw(raw, stored))
     checks.assert_none(gates.lineage_checks(stored, {
@@ -55,11 +58,13 @@ def to_silver(bronze_table: DataFrame, run: Run, processed_at: Column) -> DataFr
     """Cleaning, create-once write, non-loss check, silver gate."""
     parent = lake.artefact_path(run.root, run.contract("bronze", "", ""))
     df = cleaning.to_silver(bronze_table, run.run_id, parent, processed_at)
-    _, stored = lake.write_once(
-        df, run.root, run.contract("silver", acquisition.SILVER_VERSION, parent), "id_offre")
-    checks.assert_none(identity.non_loss((bronze_table, "id"), (stored, "id_offre")))
-    for gate in (gates.silver_indicators, gates.keyword_checks, gates.technical_dates):
-        checks.assert_none(gate(stored))
+    contract = run.contract("silver", acquisition.SILVER_VERSION, parent, lake.content_hash(bronze_table))
+    _, stored = lake.write_once(df, run.root, contract, "id_offre")
+    raw = bronze_table.select("id", F.col("raw_record").alias("record"))
+    found = identity.non_loss((bronze_table, "id"), (stored, "id_offre"))
+    for gate in (gates.silver_indicators, gates.keyword_checks, gates.technical_dates, cleaning.coercion_rejects):
+        found = found.unionByName(gate(stored))
+    checks.assert_none(found.unionByName(gates.silver_equals_raw(raw, stored)))  # one job for all rules
     return stored
 
 
@@ -69,7 +74,7 @@ def to_serving(silver_table: DataFrame, run: Run, loaded_at: Column) -> DataFram
     served = snapshot.replace(
         cleaning.serving_types(silver_table, key, loaded_at), f"{run.root}/serving", "id_offre",
         {"batch_id": run.batch_id, "processing_run_id": run.run_id,
-         "silver_schema_version": acquisition.SILVER_VERSION})
+         "silver_schema_version": acquisition.SILVER_VERSION}, silver.REQUIRED_FOR_LOAD)
     compared = identity.compare_rows(silver_table, served, "id_offre", silver_table.columns)
     different = compared.filter("statut <> 'identique'").groupBy(F.col("statut").alias("controle")).agg(
         F.count(F.lit(1)).alias("violations"))

@@ -11,7 +11,7 @@ from tamis.plans import oracle_sql as sql
 from tamis.plans import tables
 from tamis.plans.layer_queries import check_rows
 from tamis.plans.registry import register
-from tamis.presets import acquisition, silver
+from tamis.presets import acquisition, rules, silver
 from tamis.sources import runs
 
 
@@ -212,7 +212,7 @@ def _matrix(spark, sf_dir):
         "fichier_source_silver": F.lit("silver/part.parquet"),
         "date_chargement": F.lit("2024-02-01 12:00:00").cast("timestamp")})
     target = source.filter(F.col("id_offre") != "17").withColumn(
-        "nombre_postes", F.when(F.col("id_offre") == "18", 99).otherwise(F.col("nombre_postes")))
+        "description_offre", F.when(F.col("id_offre") == "18", "autre").otherwise(F.col("description_offre")))
     expected = {
         "rows": source.count(), "batch_id": "batch_1", "processing_run_id": "run_2", "silver_schema_version": "2.0.0",
         "fichier_source_silver": "silver/part.parquet", "source_sha256": "abc"}
@@ -221,7 +221,8 @@ def _matrix(spark, sf_dir):
             ("status", "SUCCESS"), ("batch_id", "batch_1"), ("processing_run_id", "run_2"),
             ("source_object_key", "silver/part.parquet"), ("source_sha256", "abc"), ("silver_schema_version", "2.0.0"),
             ("git_commit_sha", "c0ffee"), ("git_branch", "main"), ("git_worktree_dirty", False))])
-    compared = identity.compare_rows(source, target, "id_offre", ["id_offre", "nombre_postes", "salaire_libelle"])
+    shared = [c for c in source.columns if c in target.columns]
+    compared = identity.compare_rows(source, target, "id_offre", shared)
     return gates.load_matrix(
         identity.target_metrics(target, "id_offre", _STORED, "date_chargement"),
         identity.comparison_summary(compared),
@@ -243,6 +244,17 @@ register("load_check_matrix", _matrix,
 register("load_status", lambda spark, d: gates.load_status(_matrix(spark, d)),
          f"select 'NON_VALIDE' as statut, {len(_MATRIX) - len(_BROKEN)} as controles_valides, {len(_MATRIX)} as controles")
 
+register(
+    "schema_reconciliation",
+    lambda spark, d: identity.schema_rows(
+        tables.table(spark, d, "customer"),
+        tables.table(spark, d, "customer").drop("c_nationkey").selectExpr("*", "1 as date_chargement", "2 as surplus"),
+        silver.SERVING_EXTRA),
+    """select column_name as colonne, case when column_name = 'c_nationkey' then 'absente' else 'commune' end as etat
+        from (describe customer) union all values ('date_chargement', 'technique'),
+        ('fichier_source_silver', 'technique_absente'), ('surplus', 'inattendue')""",
+)
+
 # Generic aggregates
 
 _LINES = r"""select l_returnflag, case when l_orderkey % 100 <> 1 then l_orderkey end as l_orderkey, l_suppkey, l_quantity,
@@ -365,8 +377,13 @@ _MARTS = {
 _FAMILIES = [f"nombre_offres_{p}" for p in marts.FAMILY_MEASURES]
 
 
+# Rounded shares of few groups add up to 100 closely; of a hundred areas less so.
+_TOLERANCE = {"famille": (99.9, 100.1), "contrat": (99.9, 100.1), "departement": (99.5, 100.5), "region": (99.5, 100.5)}
+
+
 def _mart_tests(name: str, build, mart_sql: str) -> None:
     has_families = name != "famille"
+    low, high = _TOLERANCE[name]
 
     def query(spark, sf_dir):
         mart = tables.stored(spark, sf_dir, f"mart_{name}", lambda: build(spark, sf_dir).drop("date_calcul_kpi"))
@@ -376,7 +393,7 @@ def _mart_tests(name: str, build, mart_sql: str) -> None:
             mart.agg(F.sum("nombre_offres").alias("somme_detail"), F.sum("part_offres_pct").alias("total_part_pct"))
             .crossJoin(total)
             .crossJoin(parts.agg(F.count(F.lit(1)).alias("parts_incoherentes")))
-            .crossJoin(checks.share_sum(mart, "part_offres_pct", 99.5, 100.5).agg(F.count(F.lit(1)).alias("parts_hors_tolerance")))
+            .crossJoin(checks.share_sum(mart, "part_offres_pct", low, high).agg(F.count(F.lit(1)).alias("parts_hors_tolerance")))
             .crossJoin(checks.compare_totals(mart, "nombre_offres", total, "total").agg(
                 F.count(F.lit(1)).alias("totaux_differents")))
         )
@@ -387,7 +404,7 @@ def _mart_tests(name: str, build, mart_sql: str) -> None:
         f"""with m as ({mart_sql}) select cast(sum(nombre_offres) as bigint) as somme_detail,
             round(sum(part_offres_pct), 2) as total_part_pct, (select count(distinct id_offre) from ({sql.SILVER})) as total,
             {wrong} as parts_incoherentes,
-            (round(sum(part_offres_pct), 2) not between 99.5 and 100.5)::int as parts_hors_tolerance,
+            (round(sum(part_offres_pct), 2) not between {low} and {high})::int as parts_hors_tolerance,
             (sum(nombre_offres) <> (select count(distinct id_offre) from ({sql.SILVER})))::int as totaux_differents from m""",
     )
 
@@ -415,11 +432,62 @@ def _salary_mart(spark, sf_dir):
         tables.salary_facts(spark, sf_dir), combined=tables.combined(spark, sf_dir)).drop("date_calcul_kpi"))
 
 
+def _both(good, damaged, test):
+    """The test on a mart and on a damaged copy of it."""
+    states = [test(df).select(F.lit(state).alias("etat"), "*") for state, df in (("mart", good), ("abime", damaged))]
+    return states[0].unionByName(states[1])
+
+
+def _axes(spark, sf_dir):
+    mart = _salary_mart(spark, sf_dir)
+    wrong = (F.col("axe_analyse") == "Type de contrat") & (F.col("rang_modalite") == 1)
+    damaged = mart.withColumn("nombre_offres", F.col("nombre_offres") + F.when(wrong, 1).otherwise(0))
+    return _both(mart, damaged, lambda df: checks.axis_violations(df, "axe_analyse", "Global", _FIVE))
+
+
+register(
+    "test_salary_axes", _axes,
+    f"""with m as ({sql.SALARY_ANALYSIS}),
+        e as (select 'mart' as etat, axe_analyse, {', '.join(_FIVE)} from m union all
+            select 'abime', axe_analyse, nombre_offres + (axe_analyse = 'Type de contrat' and rang_modalite = 1)::int,
+                {', '.join(_FIVE[1:])} from m),
+        l as ({' union all '.join(f"select etat, axe_analyse, '{c}' as mesure, {c} as v from e" for c in _FIVE)}),
+        s as (select etat, axe_analyse, mesure, sum(v)::bigint as somme from l group by all)
+        select s.etat, s.axe_analyse, s.mesure, s.somme, g.somme as attendu from s
+        join s g on g.etat = s.etat and g.mesure = s.mesure and g.axe_analyse = 'Global'
+        where s.axe_analyse <> 'Global' and s.somme <> g.somme""",
+)
+
+
+def _region_labels(spark, sf_dir):
+    mart = tables.stored(spark, sf_dir, "mart_region", lambda: _MARTS["region"][0](spark, sf_dir).drop("date_calcul_kpi"))
+    damaged = mart.withColumn("nom_region", F.when(F.col("rang_region") > 2, F.col("nom_region")))
+    return _both(mart, damaged, lambda df: checks.unlabelled(
+        df, "code_region", "nom_region", rules.NO_REGION, rules.UNKNOWN))
+
+
+register(
+    "test_region_labels", _region_labels,
+    f"""with m as ({sql.BY_REGION}), e as (select 'mart' as etat, code_region, nom_region from m union all
+        select 'abime', code_region, case when rang_region > 2 then nom_region end from m)
+        select etat, code_region from e where code_region <> '{rules.NO_REGION}'
+        and (nom_region is null or nom_region = '{rules.UNKNOWN}')""",
+)
+
+
+def _kpi_row(spark, sf_dir):
+    mart = tables.stored(spark, sf_dir, "mart_marche", lambda: marts.market_kpis(
+        tables.combined(spark, sf_dir)).drop("date_calcul_kpi"))
+    damaged = mart.unionByName(mart.withColumn("nombre_total_offres", F.lit(0).cast("long")))
+    return _both(mart, damaged, lambda df: checks.one_positive_row(df, "nombre_total_offres"))
+
+
 register(
-    "test_salary_axes",
-    lambda spark, d: _salary_mart(spark, d).groupBy("axe_analyse").agg(*[F.sum(c).alias(c) for c in _FIVE]),
-    f"""select axe_analyse, {', '.join(f'cast(sum({c}) as bigint) as {c}' for c in _FIVE)}
-        from ({sql.SALARY_ANALYSIS}) group by 1""",
+    "test_kpi_row", _kpi_row,
+    f"""with m as (select nombre_total_offres as n from ({sql.KPI})),
+        e as (select 'mart' as etat, n from m union all select 'abime', n from m union all select 'abime', 0 from m)
+        select etat, 'nombre_de_lignes' as controle, (count(*) <> 1)::int as violations from e group by etat
+        union all select etat, 'volume_non_positif', count(*) filter (where coalesce(n, 0) <= 0) from e group by etat""",
 )
 
 

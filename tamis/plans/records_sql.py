@@ -1,7 +1,7 @@
 """Acquired JSON records and acquisition hits derived from ``events`` (plain SQL for both engines).
 
-Keys are written in sorted order and numbers in shortest form, so the canonical JSON of a record
-is its own text.
+Records have keys out of order, numbers with trailing zeros, blanks and a field that nobody declared, so that their text
+and their canonical form differ.
 """
 
 # Search queries of the derived acquisition, in order; the last one finds nothing.
@@ -17,7 +17,7 @@ from {events}
 RECORDS = r"""
 select
     event_id,
-    '{"alternance":' || case event_id % 3 when 0 then 'true' when 1 then 'false' else 'null' end
+    '{"zeta": 1.50, "alternance":' || case event_id % 3 when 0 then 'true' when 1 then 'false' else 'null' end
     || ',"competences":' || case event_id % 4 when 0 then 'null'
         else '[{"code":"' || cast(user_id as string) || '"},{"code":2}]' end
     || ',"dateActualisation":"' || cast(cast(ts as date) as string)
@@ -55,7 +55,7 @@ from {events}
 CLEAN_RECORDS = r"""
 select
     event_id,
-    '{"alternance":' || case event_id % 3 when 0 then 'true' when 1 then 'false' else 'null' end
+    '{"zeta": 1.50, "alternance":' || case event_id % 3 when 0 then 'true' when 1 then 'false' else 'null' end
     || ',"dateActualisation":"' || cast(cast(ts as date) as string)
         || case when event_id % 6 = 0 then 'T09:00:00Z"' else 'T12:30:00Z"' end
     || ',"dateCreation":"' || cast(cast(ts as date) as string) || 'T10:00:00Z"'

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tamis.plans import tables
+from tamis.session import ensure_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,7 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, query: Query, sql: str | None = None) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_scratch(spark)
         tables.prepare(spark)
         return tables.plain(query(spark, sf_dir))
 

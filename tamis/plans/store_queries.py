@@ -13,35 +13,47 @@ from tamis.plans.registry import register
 from tamis.session import scratch_path
 from tamis.sources import files, lake, runs, snapshot
 
-BATCH = 50_000  # records per derived batch file
+BATCH = 5_000  # records per derived batch file
 
 
 def _json_batches(spark, sf_dir):
-    """Records written as JSON arrays, one file per batch, and scanned again."""
+    """Records written as JSON arrays, one file per batch, and scanned again; an array's parser rewrites its elements.
+
+    The lines of a file are written one by one in order, so no batch is ever one value on the writing side.
+    """
     path = scratch_path(spark, "json")
-    # One array per file; a group is a fixed number of records, whatever the size of the table.
-    grouped = layers.clean_records(spark, sf_dir).groupBy(F.floor(F.col("event_id") / BATCH).alias("lot"))
-    grouped.agg(F.collect_list("record").alias("r")).select(
-        "lot", F.concat(F.lit("[\n  "), F.array_join("r", ",\n  "), F.lit("\n]")).alias("value")
-    ).drop("lot").write.option("maxRecordsPerFile", 1).text(path)
-    parsed = bronze.parse(files.read_json_batch(spark, path))
-    return parsed.select(bronze.field("id").alias("id"), F.md5(F.to_json(bronze.VALUE)).alias("empreinte"))
+    lines = layers.clean_records(spark, sf_dir).select(
+        F.floor(F.col("event_id") / BATCH).alias("lot"), F.col("event_id").alias("n"), "record")
+    ends = lines.groupBy("lot").agg(F.min("n").alias("first"))
+    lines = lines.join(ends, "lot").select("lot", "n", F.concat(
+        F.when(F.col("n") == F.col("first"), F.lit("[")).otherwise(F.lit(",")), "record").alias("value"))
+    closing = ends.select("lot", F.lit((1 << 63) - 1).alias("n"), F.lit("]").alias("value"))
+    lines.unionByName(closing).repartition("lot").sortWithinPartitions("lot", "n").select(
+        "lot", "value").write.partitionBy("lot").text(path)
+    parsed = files.read_json_batch(spark, path)
+    return parsed.select(
+        F.get_json_object("record", "$.id").alias("id"), F.get_json_object("record", "$.zeta").cast("double").alias("zeta"),
+        F.size(F.json_object_keys("record")).alias("cles"))
 
 
 register("scan_json_batch", _json_batches,
-         f"select record ->> '$.id' as id, md5(record) as empreinte from ({layers.CLEAN})")
+         f"select record ->> '$.id' as id, (record ->> '$.zeta')::double as zeta, len(json_keys(record)) as cles from ({layers.CLEAN})")
 
 
 def _json_lines(spark, sf_dir):
     path = scratch_path(spark, "json_lines")
     layers.clean_records(spark, sf_dir).select(F.col("record").alias("value")).write.text(path)
     records = files.read_json_batch(spark, path, lines=True)
-    return files.batch_checks(records, 10000).filter("controle = 'lot_vide'").crossJoin(
+    # A manifest that declares three records more than there are.
+    manifest = scratch_path(spark, "json_manifest")
+    layers.clean_records(spark, sf_dir).agg((F.count(F.lit(1)) + 3).alias("nombre_declare")).write.json(manifest)
+    return files.batch_checks(records, spark.read.json(manifest)).crossJoin(
         records.agg(F.count(F.lit(1)).alias("lignes")))
 
 
 register("scan_json_lines", _json_lines,
-         "select 'lot_vide' as controle, 0 as violations, count(*) as lignes from events")
+         """select controle, case controle when 'lot_vide' then (n = 0)::int else 3 end as violations, n as lignes
+            from (select count(*) as n from events), (values ('lot_vide'), ('ecart_nombre_declare')) t(controle)""")
 
 
 def _parquet(spark, sf_dir):

@@ -32,14 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """More partitions for a scan that has fewer than the cluster has cores.
+# Set by callers whose input files are fewer than their cores; otherwise scans keep their own splits.
+INPUT_PARTITIONS = "spark.tamis.inputPartitions"
+
 
-    Large inputs already come in enough splits, so no shuffle is added there. What a small input
-    gains is that costly expressions behind the scan do not run in a single task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def spread(df: DataFrame) -> DataFrame:
+    """The scan in as many partitions as the caller's session asks for, or as it is."""
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def plain(df: DataFrame, drop: tuple[str, ...] = ("date_calcul_kpi",)) -> DataFrame:

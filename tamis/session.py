@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -22,20 +21,6 @@ SETTINGS = {
 }
 
 
-def shuffle_settings(input_bytes: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
-    """Shuffle partitions for an input size; AQE merges those that turn out small.
-
-    The big shuffles of this library carry ids, masks and hashes, less than the input, so one
-    partition per 128 MB of input keeps every task well inside executor memory.
-    """
-    count = max(200, -(-input_bytes // partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(count),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    }
-
-
 def build_session(app: str = "tamis", master: str | None = None, **extra: str) -> SparkSession:
     """Session with the settings the operators rely on; ``master`` only for local runs."""
     builder = SparkSession.builder.appName(app)
@@ -47,19 +32,19 @@ def build_session(app: str = "tamis", master: str | None = None, **extra: str) -
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder of the cluster (``spark.checkpoint.dir``).
-
-    Only a local session may fall back to a folder of this machine, since there the driver and the
-    executors are the same process.
-    """
+    """Shared folder of the cluster (``spark.checkpoint.dir``); it must be set."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if shared:
-        return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not shared:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    root = os.path.join(tempfile.gettempdir(), f"tamis-{os.getpid()}")
-    spark.sparkContext.setCheckpointDir(root)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return shared.rstrip("/")
+
+
+def ensure_scratch(spark: SparkSession) -> None:
+    """For entry points: a local session without a shared folder gets one of this machine, where all its tasks run."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tamis-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -19,6 +19,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 def read_json_batch(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Records of JSON batch files as (fichier, position, record), the record being its own text.
 
+    By lines there is no position, only the start of the block (``bloc``) that the line was read from.
+
     A batch file is one JSON array, written with or without line breaks; it is the unit of work,
     since an array cannot be split. ``lines`` reads one record per line instead, which splits
     files of any size. A file whose root is no list, or whose text is not JSON to its end, fails
@@ -31,10 +33,10 @@ def read_json_batch(spark: SparkSession, path: str, lines: bool = False) -> Data
 
     if lines:
         rows = spark.read.text(path).filter(F.trim("value") != "").select(
-            source, F.col("_metadata.file_block_start").alias("position"), "value")
+            source, F.col("_metadata.file_block_start").alias("bloc"), "value")
         checked = F.when(json.is_valid(F.col("value")), F.col("value")).otherwise(
             failure("line is not JSON: ", "string"))
-        return rows.select("fichier", "position", checked.alias("record"))
+        return rows.select("fichier", "bloc", checked.alias("record"))
     whole = spark.read.text(path, wholetext=True).select(source, "value")
     is_list = F.col("value").rlike(r"\A\s*\[") & F.col("value").rlike(r"\]\s*\z")
     # Inside an object, a second array or stray text behind the first is an error, not ignored.
@@ -47,13 +49,15 @@ def read_json_batch(spark: SparkSession, path: str, lines: bool = False) -> Data
     )
 
 
-def batch_checks(records: DataFrame, declared: int | None = None) -> DataFrame:
-    """Empty batch, and the difference to the declared number of records."""
-    n = F.count(F.lit(1))
-    rules = {"lot_vide": F.when(n == 0, 1).otherwise(0)}
-    if declared is not None:
-        rules["ecart_nombre_declare"] = F.abs(n - F.lit(declared))
-    return long_form(records, rules)
+def batch_checks(records: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
+    """Empty batch, and the difference to the number of records its manifest declares (``nombre_declare``, one row)."""
+    rules = {"lot_vide": F.when(F.count(F.lit(1)) == 0, 1).otherwise(0)}
+    if manifest is None:
+        return long_form(records, rules)
+    counted = records.agg(F.count(F.lit(1)).alias("_n")).crossJoin(manifest.select("nombre_declare"))
+    difference = counted.select(F.lit("ecart_nombre_declare").alias("controle"),
+                                F.abs(F.col("_n") - F.col("nombre_declare")).cast("long").alias("violations"))
+    return long_form(records, rules).unionByName(difference)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:

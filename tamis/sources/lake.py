@@ -43,12 +43,25 @@ def measure(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def content_hash(df: DataFrame) -> str:
+    """Action: a digest of all rows that does not depend on their order; repeated rows count."""
+    row = F.xxhash64(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).cast("decimal(38,0)")
+    found = df.agg(F.count(F.lit(1)), F.sum(row), F.sum(F.abs(row % 1000003) * 31)).first()
+    return "-".join(str(v or 0) for v in found)
+
+
+def _manifest(stored: DataFrame, contract: Mapping[str, str], key: str, manifests: str) -> None:
+    row = measure(stored, key).select(*[F.lit(v).alias(n) for n, v in contract.items()], "*")
+    row.write.mode("append").parquet(manifests)
+
+
 def write_once(df: DataFrame, root: str, contract: Mapping[str, str], key: str) -> tuple[str, DataFrame]:
     """Writes one artefact unless it is there, and returns (outcome, artefact).
 
-    ``contract`` names layer, batch_id, processing_run_id, schema_version and parent. An artefact
-    that is there must carry the same contract, and still hold the rows and ids its manifest says;
-    anything else is an error, never an overwrite.
+    ``contract`` names layer, batch_id, processing_run_id, schema_version and parent, and may hold the parent's content
+    hash. An artefact that is there must carry the same contract, and still hold the rows and ids its manifest says;
+    anything else is an error, never an overwrite. A run that died between artefact and manifest left complete data
+    (``_SUCCESS``) that no manifest speaks for: the manifest is then written from the stored rows.
     """
     spark = df.sparkSession
     path, manifests = artefact_path(root, contract), f"{root}/manifests"
@@ -56,15 +69,21 @@ def write_once(df: DataFrame, root: str, contract: Mapping[str, str], key: str)
     if not exists(spark, path):
         df.write.mode("errorifexists").parquet(path)
         stored = spark.read.parquet(path)
-        row = measure(stored, key).select(*[F.lit(v).alias(n) for n, v in contract.items()], "*")
-        row.write.mode("append").parquet(manifests)
+        _manifest(stored, contract, key, manifests)
         return CREATED, stored
-    if not exists(spark, f"{path}/_SUCCESS") or not exists(spark, manifests):
+    if not exists(spark, f"{path}/_SUCCESS"):
         raise ContractError(f"unfinished artefact: {path}")
-    known = spark.read.parquet(manifests)
-    for condition in same_run:
-        known = known.filter(condition)
     stored = spark.read.parquet(path)
+
+    def manifest() -> DataFrame:
+        known = spark.read.option("mergeSchema", True).parquet(manifests)
+        for condition in same_run:
+            known = known.filter(condition)
+        return known
+
+    if not exists(spark, manifests) or manifest().isEmpty():
+        _manifest(stored, contract, key, manifests)
+    known = manifest()
     found = measure(stored, key).select(F.col("row_count").alias("_rows"), F.col("unique_ids").alias("_ids"))
     # At most one manifest row per run: a one-row driver read.
     rows = known.crossJoin(found).limit(2).collect()

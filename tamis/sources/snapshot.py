@@ -31,7 +31,11 @@ def current_path(spark: SparkSession, root: str) -> str | None:
     log = _log(spark, root)
     if log is None:
         return None
-    return log.agg(F.max_by("path", "version").alias("path")).first()["path"]
+    order = F.struct("version", "published_at", "path")
+    last = log.agg(F.max_by("path", order).alias("path"), F.max("version").alias("version")).first()
+    if log.filter(F.col("version") == last["version"]).count() > 1:  # the log has a row per load
+        raise checks.ContractError(f"version {last['version']} was published twice")
+    return last["path"]
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
@@ -40,15 +44,19 @@ def current(spark: SparkSession, root: str) -> DataFrame | None:
 
 
 def replace(
-    df: DataFrame, root: str, key: str, single: Mapping[str, object | None] | None = None
+    df: DataFrame, root: str, key: str, single: Mapping[str, object | None] | None = None,
+    required: Sequence[str] = (),
 ) -> DataFrame:
-    """Stage, validate what was written, publish; returns the new snapshot."""
+    """Stage, validate what was written, publish; returns the new snapshot.
+
+    Two loads at a time would publish the same version number; the next reader then stops instead of taking either.
+    """
     spark = df.sparkSession
     before = current(spark, root)
     path = f"{root}/versions/{uuid.uuid4().hex}"
     (df if before is None else align(df, before)).write.mode("errorifexists").parquet(path)
     staged = spark.read.parquet(path)
-    checks.assert_none(cleaning.load_checks(staged, key, single))
+    checks.assert_none(cleaning.load_checks(staged, key, single, required))
     log = _log(spark, root)
     last = 0 if log is None else log.agg(F.max("version")).first()[0]
     published = spark.range(1).select(
@@ -72,11 +80,9 @@ def already_loaded(
     same = F.lit(True)
     for w in wanted:
         same = same & w
-    state = target.agg(
-        (F.count(F.lit(1)) == expected_rows).alias("_rows"),
-        (F.count_distinct(F.col(key)) == expected_rows).alias("_ids"),
-        same.alias("_lineage"),
-    )
+    state = target.agg((F.count(F.lit(1)) == expected_rows).alias("_rows"), same.alias("_lineage"))
+    ids = target.select(key).distinct().agg((F.count(key) == expected_rows).alias("_ids"))
+    state = state.crossJoin(ids)
     return logged.crossJoin(state).select(
         F.col("_logged").alias("execution_reussie"),
         (F.col("_rows") & F.col("_ids") & F.col("_lineage")).alias("cible_identique"),

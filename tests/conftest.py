@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -15,7 +16,8 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     session = build_session(
         "tamis-tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tamis-"),
+        "spark.tamis.inputPartitions": "8", "spark.driver.memory": "8g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     tables.prepare(session)

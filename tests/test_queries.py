@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry  # noqa: E402
 import compare  # noqa: E402
-from tamis.operators import marts  # noqa: E402
+from tamis.operators import dimension, marts  # noqa: E402
 from tamis.plans import catalogue, tables  # noqa: E402
 
 
@@ -58,6 +58,20 @@ def test_enrichment_does_not_shuffle(spark, small):
 
 
 def test_large_aggregation_stays_hash_based(spark, small):
-    plan = executed(marts.market_kpis(tables.enriched(spark, small)))
-    # Only the last step, over a handful of rows, sorts.
-    assert plan.count("HashAggregate") >= 4 and "SortAggregate" not in plan.split("HashAggregate", 1)[1]
+    plan = executed(marts.market_kpis(tables.combined(spark, small)))
+    # Only origins, a row per category combination, are aggregated by sorting.
+    assert plan.count("HashAggregate") >= 4
+    assert not [x for x in plan.splitlines() if "SortAggregate" in x and ("_mask" in x or "_id#" in x)]
+
+
+@pytest.mark.parametrize("name", ["raw_gate", "load_contract", "skip_if_loaded", "key_validity"])
+def test_gates_do_not_sort_rows(spark, small, name):
+    plan = executed(entry.queries()[name](spark, small))
+    assert "HashAggregate" in plan and " Sort [" not in plan
+
+
+def test_no_job_runs_while_a_join_is_built(spark, small):
+    offers = tables.enriched(spark, small)
+    seen = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    dimension.attach_area(offers, dimension.preset_reference(spark))
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == seen

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -32,7 +33,8 @@ def timed(name: str, make) -> None:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 1
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "16", "spark.ui.enabled": "false",
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "16", "spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tamis-"),
+        "spark.tamis.inputPartitions": "8",
                                                 "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     path = scratch_path(spark, "ablation")
