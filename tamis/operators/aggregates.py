@@ -131,21 +131,33 @@ def filtered_stats(df: DataFrame, keys: Sequence[str], value: str, where: Column
     )
 
 
+BUCKETS = 1024
+
+
+def _stretch() -> Column:
+    """Number of bounds up to the value, by binary search."""
+    steps = F.array(*[F.lit(BUCKETS >> i) for i in range(1, BUCKETS.bit_length())])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.element_at("_bounds", at + step) <= F.col("_v"), at + step).otherwise(at))
+    return F.coalesce(found, F.lit(0)).cast("long")
+
+
 def exact_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     value: str,
     quantiles: Mapping[str, float],
     where: Column | None = None,
-    bucket: float = 100.0,
+    bucket: float | None = None,
     regroup: Regroup | None = None,
 ) -> DataFrame:
     """Interpolated exact quantiles per key, without ever holding one group in one task.
 
     ``percentile`` keeps all distinct values of a group in the memory of one task. Here equal
-    values are counted first (combined before the shuffle), buckets of ``bucket`` units give the
-    rank offset of each stretch of values, and only the buckets that hold a wanted rank are
-    ranked value by value. A task sees the distinct values of one bucket, or one number per bucket.
+    values are counted first (combined before the shuffle), buckets of values give the rank offset of each stretch, and
+    only the buckets that hold a wanted rank are ranked value by value. A task sees the distinct values of one bucket, or
+    one number per bucket. Buckets come from the data: approximate quantiles of the distinct values cut them into
+    ``BUCKETS`` stretches of nearly equal size, however the values are spread. ``bucket`` sets a fixed width instead.
 
     Groups without a value give no row; ranks use SQL's ``(n - 1) * q``.
 
@@ -164,9 +176,14 @@ def exact_quantiles(
     )
     if regroup:
         counted = regroup[1](counted).groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
-    counted = counted.withColumn("_bucket", F.floor(F.col("_v") / F.lit(bucket)).cast("long"))
+    if bucket is not None:
+        counted = counted.withColumn("_bucket", F.floor(F.col("_v") / F.lit(bucket)).cast("long"))
+    else:
+        cuts = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+        bounds = counted.agg(F.percentile_approx("_v", cuts, 100 * BUCKETS).alias("_bounds"))  # one row
+        counted = counted.crossJoin(F.broadcast(bounds)).withColumn("_bucket", _stretch()).drop("_bounds")
 
-    # Offsets: a few thousand buckets per key at most, each one number.
+    # Offsets: one number per bucket.
     order = Window.partitionBy(*by_key, *([] if keys else [F.lit(0)]))
     sizes = counted.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_size"))
     offsets = sizes.withColumns(

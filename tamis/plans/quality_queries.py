@@ -304,7 +304,7 @@ register(
     lambda spark, d: aggregates.exact_quantiles(
         tables.table(spark, d, "lineitem").withColumn("centimes", F.expr(_CENTS)),
         ["l_returnflag", "l_linestatus"], "centimes", {"q25": 0.25, "mediane": 0.5, "q75": 0.75},
-        where=F.col("l_quantity") > 10, bucket=10000.0),
+        where=F.col("l_quantity") > 10),
     f"""select l_returnflag, l_linestatus, quantile_cont({_CENTS}::double, 0.25) as q25,
         quantile_cont({_CENTS}::double, 0.5) as mediane, quantile_cont({_CENTS}::double, 0.75) as q75
         from lineitem where l_quantity > 10 group by all""",

@@ -103,6 +103,23 @@ def test_counts_beyond_an_int(spark):
         assert not [c for c, kind in schema.items() if c.startswith("nombre_") and kind != "bigint"]
 
 
+def test_quantiles_need_no_bucket_width(spark):
+    """One key with nearly all rows, values over nine orders of magnitude and most of them close together."""
+    rnd = np.random.RandomState(1)
+    values = np.concatenate([rnd.randint(0, 3000, 6000), (10 ** rnd.uniform(0, 9, 3000)).astype(int)])
+    rows = [("hot" if i % 50 else f"k{i % 3}", int(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(7)
+    got = {r["k"]: r for r in aggregates.exact_quantiles(df, ["k"], "v", {"a": 0.25, "b": 0.5, "c": 0.999}).collect()}
+    for k, row in got.items():
+        mine = [v for key, v in rows if key == k]
+        assert [row[n] for n in "abc"] == pytest.approx([np.quantile(mine, q) for q in (0.25, 0.5, 0.999)], rel=1e-9)
+    counted = df.select(F.col("v").alias("_v")).distinct()
+    bounds = counted.agg(F.percentile_approx("_v", F.array(*[F.lit(i / aggregates.BUCKETS) for i in range(
+        1, aggregates.BUCKETS)]), 100 * aggregates.BUCKETS).alias("_bounds"))
+    sizes = counted.crossJoin(bounds).groupBy(aggregates._stretch()).count().agg(F.max("count")).first()[0]
+    assert sizes <= 2 + 2 * counted.count() / aggregates.BUCKETS
+
+
 def test_more_conditions_than_one_mask_holds(spark):
     df = spark.range(200).select(F.col("id"), (F.col("id") % 2).alias("k"))
     got = aggregates.distinct_counts(df, ["k"], "id", {f"c{i}": F.col("id") < i for i in range(150)}, total="n")
