@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tamis.llm.common import text_hash, written
 
-SENTENCE = 8
-MIN_WORDS = 20
+SENTENCE = 3
+MIN_WORDS = 30
 _END = re.compile(rb"[.!?]+(?=[ \t\x0b\x0c\r])|\n")
 REMOVED = "struct<text:string,units:int,removed_chars:long,spans:array<struct<start:long,length:long>>>"
 REMOVED_ARROW = pa.struct({

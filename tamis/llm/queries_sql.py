@@ -152,9 +152,9 @@ pieces as (
     from (select *, unnest(range(1, len(parts) + 1)) as k from marked) where parts[k] <> ''),
 -- A piece closes a unit if it is long or ends its line, unless the unit has no words yet.
 closing as (
-    select *, words >= 8 or (ends_with(raw, chr(10)) and (words > 0 or glued > 0)) as closes
+    select *, words >= 3 or (ends_with(raw, chr(10)) and (words > 0 or glued > 0)) as closes
     from (select *, case when k > 1 and not lag_closes then 1 else 0 end as glued
-        from (select *, lag(words >= 8 or ends_with(raw, chr(10))) over w as lag_closes from pieces
+        from (select *, lag(words >= 3 or ends_with(raw, chr(10))) over w as lag_closes from pieces
             window w as (partition by doc_id order by k)))),
 numbered as (
     select *, coalesce(sum(closes::int) over (partition by doc_id order by k
@@ -170,7 +170,7 @@ ranked as (
 runs as (
     select *, unit - row_number() over (partition by doc_id, later order by unit) as run from ranked),
 judged as (
-    select *, later and sum(words) over (partition by doc_id, later, run) >= 20 as gone from runs),
+    select *, later and sum(words) over (partition by doc_id, later, run) >= 30 as gone from runs),
 removed as (
     select doc_id, run, min(start) as start, sum(length(raw)) as size from judged where gone group by all),
 spans as (
