@@ -126,11 +126,11 @@ def remove_repeats(
     listed = written(keys.mapInArrow(unit_table, "o long, x long, unit int, d1 long, d2 long"), "units")
     # Document and place as one number, which an aggregation keeps in a buffer of fixed width.
     rank = F.col("o").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("unit")
-    alike = listed.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1").select("d1", "d2")
-    alike = listed.join(alike, ["d1", "d2"]).withColumn("rank", rank)
-    alike = written(alike, "repeated-units")
-    first = alike.groupBy("d1", "d2").agg(F.min("rank").alias("first"))
-    later = alike.join(first, ["d1", "d2"]).filter(F.col("rank") > F.col("first"))
+    ranked = listed.withColumn("rank", rank)
+    first = ranked.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.count("*").alias("n")).filter("n > 1")
+    # Written, so that the join reads two plain tables and Spark can split a frequent digest.
+    first = written(first.select("d1", "d2", "first"), "repeated-units")
+    later = ranked.join(first, ["d1", "d2"]).filter(F.col("rank") > F.col("first"))
     # As many numbers as the document has units.
     own = later.groupBy("o", "x").agg(F.collect_set("unit").alias("__units"))
     own = own.select(F.col("o").alias("__o"), F.col("x").alias("__x"), "__units")
