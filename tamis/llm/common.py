@@ -19,6 +19,8 @@ RUNTIME = {
     "spark.sql.ansi.enabled": "true",
     # Rows per Arrow batch: some MB of text, so that a Python worker never holds much more.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Shuffle files go when the job that wrote them ends, not when the driver happens to collect its garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
