@@ -131,15 +131,18 @@ def filtered_stats(df: DataFrame, keys: Sequence[str], value: str, where: Column
     )
 
 
-BUCKETS = 1024
+BUCKETS = 256
 
 
-def _stretch() -> Column:
-    """Number of bounds up to the value, by binary search."""
-    steps = F.array(*[F.lit(BUCKETS >> i) for i in range(1, BUCKETS.bit_length())])
-    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
-        F.element_at("_bounds", at + step) <= F.col("_v"), at + step).otherwise(at))
-    return F.coalesce(found, F.lit(0)).cast("long")
+def _stretches(counted: DataFrame) -> DataFrame:
+    """Adds ``_bucket``, the number of bounds (``_bounds``) up to the value, by binary search: a step per projection."""
+    df = counted.withColumn("_at", F.lit(0))
+    step = BUCKETS >> 1
+    while step:
+        above = F.coalesce((F.element_at("_bounds", F.col("_at") + step) <= F.col("_v")).cast("int"), F.lit(0))
+        df = df.withColumn("_at", F.col("_at") + above * step)
+        step >>= 1
+    return df.withColumn("_bucket", F.col("_at").cast("long")).drop("_at")
 
 
 def exact_quantiles(
@@ -179,9 +182,9 @@ def exact_quantiles(
     if bucket is not None:
         counted = counted.withColumn("_bucket", F.floor(F.col("_v") / F.lit(bucket)).cast("long"))
     else:
-        cuts = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+        cuts = F.expr(f"array({', '.join(f'{i / BUCKETS}D' for i in range(1, BUCKETS))})")
         bounds = counted.agg(F.percentile_approx("_v", cuts, 100 * BUCKETS).alias("_bounds"))  # one row
-        counted = counted.crossJoin(F.broadcast(bounds)).withColumn("_bucket", _stretch()).drop("_bounds")
+        counted = _stretches(counted.crossJoin(F.broadcast(bounds))).drop("_bounds")
 
     # Offsets: one number per bucket.
     order = Window.partitionBy(*by_key, *([] if keys else [F.lit(0)]))
