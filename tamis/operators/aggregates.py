@@ -183,7 +183,7 @@ def exact_quantiles(
         counted = counted.withColumn("_bucket", F.floor(F.col("_v") / F.lit(bucket)).cast("long"))
     else:
         cuts = F.expr(f"array({', '.join(f'{i / BUCKETS}D' for i in range(1, BUCKETS))})")
-        bounds = counted.agg(F.percentile_approx("_v", cuts, 100 * BUCKETS).alias("_bounds"))  # one row
+        bounds = counted.agg(F.percentile_approx("_v", cuts, 10 * BUCKETS).alias("_bounds"))  # one row
         counted = _stretches(counted.crossJoin(F.broadcast(bounds))).drop("_bounds")
 
     # Offsets: one number per bucket.

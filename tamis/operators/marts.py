@@ -391,7 +391,8 @@ def salary_analysis(facts: DataFrame, computed_at: datetime | None = None, combi
     keys, regroup = list(AXIS_KEYS), (AXIS_SOURCE, unpivot_axes)
     volumes = _counts(combined or combine(facts, salary_measures()), {k: F.col(k) for k in keys},
                       [m.name for m in salary_measures()], "nombre_offres", unpivot_axes)
-    quartiles = aggregates.exact_quantiles(facts, keys, central, QUARTILES, usable, regroup=regroup)
+    # Usable pay lies between 0 and the outlier threshold and has two decimals: 10,000 values per 100 units at most.
+    quartiles = aggregates.exact_quantiles(facts, keys, central, QUARTILES, usable, 100.0, regroup)
     # The global row among the few aggregated ones; a window, so that nothing is computed twice.
     everything = F.max(F.when(F.col("ordre_axe") == GLOBAL_AXIS[0], F.col("nombre_offres"))).over(
         Window.partitionBy()
