@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -19,8 +20,6 @@ RUNTIME = {
     "spark.sql.ansi.enabled": "true",
     # Rows per Arrow batch: some MB of text, so that a Python worker never holds much more.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    # Shuffle files go when the job that wrote them ends, not when the driver happens to collect its garbage.
-    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -49,6 +48,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of jobs whose tables nobody holds any more; it waits for garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_hash(text) -> F.Column:
     """Identity of a text inside its row key; null and empty texts are alike."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import Rolling, byte_view, mix, numbered, pieces
+from tamis.llm.common import Rolling, byte_view, mix, numbered, pieces, release
 from tamis.session import scratch_path
 
 LENGTH, GRAM, BATCHES, CROWD = 100, 16, 4, 1 << 15
@@ -341,6 +341,7 @@ def remove_repeats(
         if high is not None:
             batch = batch.filter(F.col("o") <= high)
         index.add(batch)
+        release(docs.sparkSession)  # a batch's entries are stored; its shuffle is not needed any more
 
     fine = index.found("f").select("g", "o", "at").distinct()
     many = fine.groupBy("g").count().filter(F.col("count") > crowd).select("g", F.lit(True).alias("many"))
