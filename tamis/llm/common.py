@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -48,12 +47,6 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of jobs whose tables nobody holds any more; it waits for garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def text_hash(text) -> F.Column:
     """Identity of a text inside its row key; null and empty texts are alike."""
     return F.xxhash64(F.coalesce(text, F.lit("")))
