@@ -32,7 +32,7 @@ def test_json_lines(spark, tmp_path):
     path = write(tmp_path, "b.jsonl", '{"id": "1"}\n\n{"id": "2"}\n')
     records = files.read_json_batch(spark, path, lines=True)
     assert records.count() == 2
-    checks = {r.controle: r.violations for r in files.batch_checks(records, 3).collect()}
+    checks = {r.controle: r.violations for r in files.batch_checks(records, spark.createDataFrame([(3,)], "nombre_declare long")).collect()}
     assert checks == {"lot_vide": 0, "ecart_nombre_declare": 1}
     bad = write(tmp_path, "bad.jsonl", '{"id": "1"} x\n')
     with pytest.raises(PySparkException):
@@ -124,3 +124,24 @@ def test_metrics_are_checked_and_replaced(spark):
     assert {r.controle: r.violations for r in runs.metric_checks(df).collect()} == {
         "count": 2, "layer": 1, "boolean": 1, "percent": 1, "metric_value": 1}
     assert [(r.layer, r.metric_value) for r in runs.metric_state(df).collect()] == [("RAW", 6.0)]
+
+
+def test_lost_manifest_is_written_again(spark, tmp_path):
+    contract = {"layer": "l", "batch_id": "b", "processing_run_id": "r", "schema_version": "1", "parent": "p",
+                "parent_hash": lake.content_hash(spark.range(3))}
+    path = lake.artefact_path(str(tmp_path), contract)
+    spark.range(3).write.parquet(path)  # a run that died before its manifest
+    outcome, stored = lake.write_once(spark.range(3), str(tmp_path), contract, "id")
+    assert outcome == lake.REUSED and stored.count() == 3
+    assert lake.write_once(spark.range(3), str(tmp_path), contract, "id")[0] == lake.REUSED
+    with pytest.raises(ContractError):
+        lake.write_once(spark.range(3), str(tmp_path), contract | {"parent_hash": "other"}, "id")
+    assert lake.content_hash(spark.range(3).repartition(3)) == contract["parent_hash"] != lake.content_hash(spark.range(4))
+
+
+def test_version_published_twice_stops_the_reader(spark, tmp_path):
+    rows = [(1, "a"), (1, "b")]
+    spark.createDataFrame(rows, "version long, path string").selectExpr(
+        "*", "current_timestamp() as published_at").write.parquet(f"{tmp_path}/versions_log")
+    with pytest.raises(ContractError):
+        snapshot.current_path(spark, str(tmp_path))
