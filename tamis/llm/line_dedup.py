@@ -4,7 +4,8 @@ A text is cut into units: at line ends, and in long lines after every sentence o
 passage put into the middle of a paragraph still falls into the same units as elsewhere. Units are normalised (A-Z in
 lower case, white space collapsed) and hashed. Digests are counted over all documents, and each one's earliest unit, by
 document id and then by place, is kept. The others are removed where they make up a run of at least ``min_words`` words;
-shorter runs are everyday phrases. Offsets of what was removed refer to the original text.
+shorter runs are everyday phrases. With ``whole_lines`` a line that occurred before goes whatever its length, and the
+minimum holds for sentences inside a line only. Offsets of what was removed refer to the original text.
 
 Only digests travel. They are combined before the shuffle, and a very frequent unit is met in a join that Spark may
 split. A document gets back the numbers of its own repeated units, never those of others.
@@ -52,15 +53,39 @@ def digest(words: list[bytes]) -> bytes:
     return hashlib.blake2b(b" ".join(words).lower(), digest_size=16).digest()
 
 
-def unit_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``o, x, unit, d1, d2`` for every unit with words."""
+def lines(text: bytes, found: list[tuple[int, int, list[bytes]]]) -> Iterator[tuple[int, int]]:
+    """First unit of every line and the first one after it.
+
+    Blanks and the line end after a sentence belong to the next unit, which then begins a line.
+    """
+    first = 0
+    for k, (_, end, _) in enumerate(found):
+        after = text[end:found[k + 1][1]] if k + 1 < len(found) else b"\n"
+        if text[end - 1] == 10 or b"\n" in after[:len(after) - len(after.lstrip())]:
+            yield first, k + 1
+            first = k + 1
+
+
+def digests(text: bytes, line_words: int) -> list[tuple[int, bytes]]:
+    """Number and digest of every unit with words; lines of several units and under ``line_words`` words have -1 - first."""
+    found = list(units(text))
+    own = [(k, digest(words)) for k, (_, _, words) in enumerate(found) if words]
+    for first, after in lines(text, found) if line_words else ():
+        words = [w for _, _, some in found[first:after] for w in some]
+        if after - first > 1 and words and len(words) < line_words:
+            own.append((-1 - first, digest(words)))
+    return own
+
+
+def unit_table(batches: Iterator[pa.RecordBatch], line_words: int = 0) -> Iterator[pa.RecordBatch]:
+    """``o, x, unit, d1, d2`` for every unit with words, and for whole lines as ``digests`` numbers them."""
     import numpy as np
 
     for batch in batches:
         rows, keys, sums = [], [], []
         texts = batch.column("t").cast(pa.large_binary())
         for i, text in enumerate(texts):
-            own = [(k, digest(words)) for k, (_, _, words) in enumerate(units(text.as_buffer().to_pybytes())) if words]
+            own = digests(text.as_buffer().to_pybytes(), line_words)
             rows.extend([i] * len(own))
             keys.extend(k for k, _ in own)
             sums.extend(d for _, d in own)
@@ -73,38 +98,43 @@ def unit_table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 rows, keys, sums = [], [], []
 
 
-def cut_out(text: bytes, repeated: set[int], min_words: int) -> dict:
+def cut_out(text: bytes, repeated: set[int], min_words: int, whole_lines: bool = False) -> dict:
     """The text without runs of repeated units, and where they were, in code points."""
-    kept, spans, run, run_words, count, at = [], [], [], 0, 0, 0
-
-    def close() -> None:
-        nonlocal run, run_words
-        if run:
-            size = sum(n for _, n, _ in run)
-            if run_words >= min_words:
-                spans.append({"start": run[0][0], "length": size})
-            else:
-                kept.extend(raw for _, _, raw in run)
+    found = list(units(text))
+    gone: set[int] = set()
+    if whole_lines:
+        for first, after in lines(text, found):
+            if -1 - first in repeated or after - first == 1 and first in repeated:
+                gone.update(range(first, after))
+    run, run_words = [], 0
+    for k in range(len(found) + 1):
+        if k in repeated:
+            run.append(k)
+            run_words += len(found[k][2])
+            continue
+        if run and run_words >= min_words:
+            gone.update(run)
         run, run_words = [], 0
 
-    for k, (start, end, words) in enumerate(units(text)):
+    kept, spans, count, at = [], [], 0, 0
+    for k, (start, end, words) in enumerate(found):
         raw = text[start:end]
         size = len(raw.decode("utf-8", "replace"))
         count += bool(words)
-        if k in repeated:
-            run.append((at, size, raw))
-            run_words += len(words)
-        else:
-            close()
+        if k not in gone:
             kept.append(raw)
+        elif k - 1 in gone:
+            spans[-1]["length"] += size
+        else:
+            spans.append({"start": at, "length": size})
         at += size
-    close()
     return {"text": b"".join(kept).decode("utf-8", "replace"), "units": count,
             "removed_chars": sum(s["length"] for s in spans), "spans": spans}
 
 
 def remove_repeats(
     docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", into: str = "repeats",
+    whole_lines: bool = False,
 ) -> DataFrame:
     """``docs`` with a column ``into``: the remaining text, the number of units, and what was removed.
 
@@ -117,15 +147,17 @@ def remove_repeats(
     def without(texts: pa.Array, repeated: pa.Array) -> pa.Array:
         out = []
         for text, own in zip(texts.cast(pa.large_binary()), repeated):
-            found = cut_out(text.as_buffer().to_pybytes() if text.is_valid else b"", set(own.as_py() or ()), min_words)
+            found = cut_out(text.as_buffer().to_pybytes() if text.is_valid else b"", set(own.as_py() or ()), min_words, whole_lines)
             out.append(found if text.is_valid else found | {"text": None})
         return pa.array(out, REMOVED_ARROW)
 
     order = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     keys = docs.select(order.alias("o"), text_hash(F.col(text_col)).alias("x"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    listed = written(keys.mapInArrow(unit_table, "o long, x long, unit int, d1 long, d2 long"), "units")
+    # A line of as many words whose units are all repeated goes anyway.
+    line_words = min_words if whole_lines else 0
+    listed = written(keys.mapInArrow(lambda batches: unit_table(batches, line_words), "o long, x long, unit int, d1 long, d2 long"), "units")
     # Document and place as one number, which an aggregation keeps in a buffer of fixed width.
-    rank = F.col("o").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.col("unit")
+    rank = F.col("o").cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + F.greatest("unit", -1 - F.col("unit"))
     ranked = listed.withColumn("rank", rank)
     first = ranked.groupBy("d1", "d2").agg(F.min("rank").alias("first"), F.count("*").alias("n")).filter("n > 1")
     # Written, so that the join reads two plain tables and Spark can split a frequent digest.

@@ -50,3 +50,29 @@ def test_odd_rows(odd, none):
     assert nulls.text is None
     same = line_dedup.remove_repeats(odd.filter("doc_id = 4"), min_words=1).filter("text like 'same%'")
     assert [r.n for r in same.select(F.size("repeats.spans").alias("n")).collect()] == [0, 0]
+
+
+def test_whole_lines_of_any_length(spark, make):
+    texts = {1: "Share this page\nA first text of its own. Yes it is.\nAll rights reserved. See the terms.\n",
+             2: "Something else here.\nshare  this page\nAll rights reserved. See the terms.\nAnd more. Yes it is. So we say.",
+             3: "See the terms.\nYes it is. No more than that."}
+    got = {r.doc_id: r.repeats for r in repeats(make(list(texts.items())), min_words=15, whole_lines=True)}
+    assert got[1].spans == [] and got[1].text == texts[1]
+    assert got[2].text == "Something else here.\nAnd more. Yes it is. So we say." and len(got[2].spans) == 1
+    assert got[3].text == "Yes it is. No more than that."
+    for i, r in got.items():
+        left = texts[i]
+        for s in reversed(r.spans):
+            left = left[:s.start] + left[s.start + s.length:]
+        assert left == r.text and r.removed_chars == len(texts[i]) - len(left)
+    import corpus_pipeline
+
+    kept = {r.doc_id: r.text for r in corpus_pipeline.cut_repeats(spark, make(list(texts.items())), "").collect()}
+    assert kept == {i: r.text for i, r in got.items()}
+
+
+def test_whole_lines_before_blanks_and_carriage_returns(make):
+    got = {r.doc_id: r.repeats.text for r in repeats(make([
+        (1, "All rights are reserved.\r\nOne text here.\r\n"), (2, "Two texts here. \nAll rights are reserved. \nThree more.")]),
+        min_words=15, whole_lines=True)}
+    assert got[1].startswith("All rights are reserved.") and got[2].split() == "Two texts here. Three more.".split()
