@@ -96,6 +96,19 @@ def within(queries: DataFrame, fps: DataFrame, radius: int = 3) -> DataFrame:
     return left.join(right.hint("merge"), met & close).select("query", "fp")
 
 
+def near_classes(asked: DataFrame, fps: DataFrame, radius: int = 3) -> DataFrame:
+    """``query, query_id, fp, near_id, distance, documents``: what ``within`` finds, by classes of equal fingerprints.
+
+    Both tables have ``doc_id`` and ``fp``. A class goes by its smallest id; ``documents`` counts the rows of the found one.
+    A class finds itself at distance 0, so copies are its own members and pairs of them are never listed.
+    """
+    classes = fps.groupBy("fp").agg(F.min("doc_id").alias("near_id"), F.count("*").alias("documents"))
+    own = classes.select(F.col("fp").alias("query"), F.col("near_id").alias("query_id"))
+    found = within(asked, fps, radius).join(classes, "fp").join(own, "query")
+    return found.select("query", "query_id", "fp", "near_id",
+                        F.bit_count(F.col("query").bitwiseXOR(F.col("fp"))).alias("distance"), "documents")
+
+
 def in_order(rows: DataFrame) -> DataFrame:
     """Each key (``o``, ``x``) with the next in ascending order (``next_o``, ``next_x``); the last one leads to the first.
 

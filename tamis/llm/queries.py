@@ -42,19 +42,23 @@ def op3_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``n_near`` searches for every document whose id is divisible by 20: distinct other fingerprints within 3 bits."""
+    """``n_near`` searches for every document whose id is divisible by 20: other documents within 3 bits, copies included.
+
+    The pairs found, by classes of equal fingerprints, are a table of their own (``op4-near``); a document's class is its
+    ``fingerprint``.
+    """
     prepare(spark)
     rows = written(fingerprints.edited_fingerprints(table(spark, sf_dir, "documents")), "op4")
     asked = rows.filter(F.col("doc_id") % 20 == 0)
-    near = fingerprints.within(asked, rows, 3).filter("query != fp").groupBy(F.col("query").alias("fp")).agg(
-        F.count("*").alias("found"))
+    pairs = written(fingerprints.near_classes(asked, rows, 3), "op4-near")
+    near = pairs.groupBy(F.col("query").alias("fp")).agg((F.sum("documents") - 1).alias("found"))
     near = rows.join(near, "fp", "left")
     return near.select(
         "doc_id", "n_chars", "edited_sha256", fingerprints.digits(F.col("fp")).alias("fingerprint"),
         fingerprints.digits(F.col("edited_fp")).alias("edited_fingerprint"),
         fingerprints.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
         fingerprints.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
-        F.when(F.col("doc_id") % 20 == 0, F.coalesce("found", F.lit(0))).alias("n_near"))
+        F.when(F.col("doc_id") % 20 == 0, F.col("found")).alias("n_near"))
 
 
 def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

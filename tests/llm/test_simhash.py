@@ -140,3 +140,25 @@ def test_search_finds_all_within_radius(spark):
     for radius in (1, 3):
         got = sorted((r["query"], r["fp"]) for r in fingerprints.within(fps, fps, radius).collect())
         assert got == sorted((a, b) for a in values for b in values if bin(a ^ b).count("1") <= radius)
+
+
+def test_search_counts_copies_and_names_them(spark, make, tmp_path):
+    from tamis.llm import queries
+
+    text = " ".join(f"word{i * i % 997} stays" for i in range(200))
+    texts = {k: text for k in (20, 21, 22)} | {40: text.upper().replace(" ", "  "), 60: "nothing like the others here", 61: "one more"}
+    texts |= {80: text + " end", 81: text + " end"}
+    make(list(texts.items())).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.op4_fingerprints(spark, str(tmp_path)).collect()}
+    bits = {i: int(r.fingerprint, 16) for i, r in got.items()}
+    assert bits[20] == bits[40]
+    apart = {i: {j: bin(a ^ b).count("1") for j, b in bits.items()} for i, a in bits.items()}
+    assert {i: r.n_near for i, r in got.items()} == {
+        i: sum(d <= 3 for d in apart[i].values()) - 1 if i % 20 == 0 else None for i in texts}
+    assert got[20].n_near >= 3 and got[60].n_near == 0
+
+    rows = fingerprints.fingerprints(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    pairs = {(r.query_id, r.near_id): (r.distance, r.documents) for r in fingerprints.near_classes(rows.filter("doc_id % 20 = 0"), rows).collect()}
+    first = {i: min(j for j in texts if bits[j] == bits[i]) for i in texts}
+    assert pairs == {(first[i], first[j]): (apart[i][j], sum(bits[k] == bits[j] for k in texts))
+                     for i in texts if any(bits[k] == bits[i] and k % 20 == 0 for k in texts) for j in texts if apart[i][j] <= 3}
