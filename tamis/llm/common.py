@@ -17,8 +17,9 @@ from tamis.session import ensure_scratch, scratch_path
 RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    # Rows per Arrow batch: some MB of text, so that a Python worker never holds much more.
+    # Rows and bytes per Arrow batch: some MB of text, so that a Python worker never holds much more.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20),
 }
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tamis.llm import decontaminate, fingerprints, licenses, line_dedup, mixing, quality, simhash_dedup, suffix_dedup, url_filter, warc
+from tamis.llm import (
+    conversations, decontaminate, fingerprints, jaccard_join, licenses, line_dedup, mixing, quality, simhash_dedup, suffix_dedup, url_filter,
+    warc, whitening)
 from tamis.llm.common import prepare, table, written
 from tamis.llm.queries_sql import LINE_SQL, MATCH_SQL, MIX_SQL, URL_SQL, WARC_SQL
 
@@ -104,9 +106,24 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_max("licenses.containment").alias("containment"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return conversations.report(conversations.repair(conversations.damage(table(spark, sf_dir, "conversations"))))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return jaccard_join.similar(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_host_reputation, op2_line_dedup, op3_weak_quality, op4_fingerprints, op5_pareto_mix, op6_simhash_dedup, op7_decontaminate,
-    op8_warc_roundtrip, op9_suffix_dedup, op10_license_scan)}
+    op8_warc_roundtrip, op9_suffix_dedup, op10_license_scan, op11_whitening, op12_conversation_repair, op13_jaccard_join)}
 ORACLE: dict[str, str] = {
     "op1_host_reputation": URL_SQL, "op2_line_dedup": LINE_SQL, "op5_pareto_mix": MIX_SQL,
     "op7_decontaminate": MATCH_SQL, "op8_warc_roundtrip": WARC_SQL}
