@@ -127,5 +127,5 @@ def test_odd_rows(spark):
 def test_pieces_hold_the_repaired_rows(spark):
     data = spark.createDataFrame([(1, 0, "user", "Hello.", "x", 1), (1, 1, "user", "Again?", "x", 1), (1, 2, "assistant", "Yes", "x", 1)], ROWS)
     piece = conversations.repair(conversations.listed(data)).first()
-    assert piece.edits == "DKK" and piece.cost == 7 and piece.single  # the second user row goes, the last lacks its end
-    assert [tuple(r) for r in piece.repaired] == [("user", "Again?"), ("assistant", "Yes")]
+    assert piece.edits == "KIKK" and piece.cost == 6 and piece.single  # an answer is put in, the last lacks its end
+    assert [tuple(r) for r in piece.repaired] == [("user", "Hello."), ("assistant", ""), ("user", "Again?"), ("assistant", "Yes")]

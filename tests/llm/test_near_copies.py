@@ -4,10 +4,11 @@ from fractions import Fraction
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_matches import plain as plain_matches
 
-from tamis.llm import near_copies
+from tamis.llm import near_copies, set_groups
 from tamis.llm.common import written
 
 
@@ -56,30 +57,46 @@ def test_stage_looks_at_shingles(spark, make, small):
     assert kept == plain_first(texts) == sorted(k * 100 + j for k in range(20) for j in (0, 2))
 
 
-def test_large_cells_and_chains(monkeypatch):
+def test_large_cells_and_chains():
     rng = np.random.RandomState(1)
     base = np.unique(rng.randint(0, 2**62, 200, dtype=np.int64).astype(np.uint64))
     sets = [np.unique(np.concatenate([base[4 * k:], rng.randint(0, 2**62, 4 * k, dtype=np.int64).astype(np.uint64)]))
             for k in range(30)]
     sets.append(np.unique(rng.randint(0, 2**62, 180, dtype=np.int64).astype(np.uint64)))
-    import pyarrow as pa
-
     rows = pa.record_batch({"cell": [1] * 31 + [2] * 2, "node": [*range(31), 40, 41],
                             "found": [s.tobytes() for s in [*sets, sets[30], sets[30]]]})
-    got = []
-    for held in (1 << 23, 500):
-        monkeypatch.setattr(near_copies, "HELD", held)
-        monkeypatch.setattr(near_copies, "STEP", 700)
-        got.append([p for b in near_copies.links(Fraction(4, 5))(iter([rows])) for p in zip(b["a"].to_pylist(), b["b"].to_pylist())])
+    got = [p for b in set_groups.links(Fraction(4, 5))(iter([rows.slice(0, 7), rows.slice(7)]))
+           for p in zip(b["a"].to_pylist(), b["b"].to_pylist())]
     share = lambda a, b: len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b]))
-    assert got[0] == got[1] and (40, 41) in got[0]
-    assert all(share(a, b) >= 0.8 for a, b in got[0] if b < 40) and all(30 not in p for p in got[0])
+    assert (40, 41) in got
+    assert all(share(a, b) >= 0.8 for a, b in got if b < 40) and all(30 not in p for p in got)
     linked = {0}
-    for a, b in sorted(got[0]):
+    for a, b in sorted(got):
         linked |= {a, b} if linked & {a, b} else set()
     assert {k for k in range(30) if any(share(k, j) >= 0.8 for j in range(30) if j != k)} <= linked | {40, 41}
 
 
+@pytest.mark.parametrize("members", [2, 3])
+def test_cells_of_several_groups(make, monkeypatch, members):
+    """Two clusters in the same cells: what is not linked along the chain of groups is found between groups."""
+    monkeypatch.setattr(near_copies, "grouped", lambda rows: set_groups.grouped(rows, members=members))
+    rng = np.random.RandomState(2)
+    words = [f"w{i}" for i in range(200)]
+    texts = [(k, " ".join(changed(words, set(rng.choice(200, 2, replace=False).tolist())).split() + [f"x{k}"] * (k % 3))) for k in range(24)]
+    assert sorted(r.id for r in near_copies.first_of_copies(make(texts)).collect()) == plain_first(texts)
+
+
+def test_traffic_follows_the_input(spark, make, monkeypatch):
+    """A group of near copies sends its sets about once, however many bands its members share."""
+    sent = []
+    monkeypatch.setattr(near_copies, "links_inside", lambda groups, sets, least: (
+        sent.append(groups.count()), set_groups.links_inside(groups, sets, least))[1])
+    words = [f"w{i * i % 9973}" for i in range(400)]
+    texts = [(k, " ".join(changed(words, {k, 399 - k}).split())) for k in range(40)]
+    assert sorted(r.id for r in near_copies.first_of_copies(make(texts)).collect()) == plain_first(texts) == [0]
+    assert sum(sent) <= 5 * len(texts)  # of 20 bands
+
+
 def test_odd_rows(odd, none):
     kept = near_copies.first_of_copies(odd.filter("doc_id is not null and doc_id <> 4"))
     assert sorted(r.id for r in kept.collect()) == [-3, 1, 5, 6, 7]
