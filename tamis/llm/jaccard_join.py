@@ -2,8 +2,8 @@
 
 Texts with equal sets are one class. Classes are dealt to groups of similar sets: neighbours by their smallest hashes, cut
 into bounded groups, and linked inside. The matrix says which token occurs in which group, as the union of its members. A
-group is opened for the sets of another one only if the bound on their overlap allows a link; then the sets are compared by
-all tokens.
+group is opened for the sets of another one only if the bounds on their overlap allow a link: by the matrix, then by bit maps
+of the unions. Then the sets are compared by all tokens.
 
 Of a set with n tokens only a prefix enters the matrix. All sets are ordered alike, frequent tokens last. A link needs
 ceil(share * n) tokens in common, so among the first n - ceil(share * n) + l tokens of both sets there must be l common
@@ -30,7 +30,7 @@ from tamis.llm.common import numbered, written
 from tamis.llm.components import components
 from tamis.llm.set_groups import batches_of_sets, digest, grouped, links_between, links_inside, minima, odd, sets_of
 
-CELLS_BITS, BLOCKS = 18, 16
+CELLS_BITS, BLOCKS = 20, 64
 ORDERS = 3
 SHARED = 10  # one in so many tokens must be met in both prefixes
 _FACTORS = odd(ORDERS, 20240913)
@@ -52,7 +52,7 @@ def described(words: int):
                     "d2": pa.array(np.ascontiguousarray(pair[:, 1])), **{f"m{k}": pa.array(low[k]) for k in range(ORDERS)},
                     "block": pa.nulls(len(ids), pa.int32()), "counts": pa.nulls(len(ids), pa.binary())})
         if counts.any():
-            own = [part.tobytes() for part in counts.reshape(BLOCKS, -1)]
+            own = [part.tobytes() for part in np.minimum(counts, 2**32 - 1).astype(np.uint32).reshape(BLOCKS, -1)]
             yield pa.record_batch({
                 **{k: pa.nulls(BLOCKS, pa.int32() if k == "n" else pa.int64()) for k in ("id", "n", "d1", "d2", "m0", "m1", "m2")},
                 "block": pa.array(range(BLOCKS), pa.int32()), "counts": pa.array(own, pa.binary())})
@@ -65,7 +65,7 @@ def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
-            total[block] = total.get(block, 0) + np.frombuffer(counts, np.int64)
+            total[block] = total.get(block, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
     if total:
         ranks = [np.floor(2 * np.log2(np.maximum(v, 1))).astype(np.uint8).tobytes() for v in total.values()]
         yield pa.record_batch({"block": pa.array(list(total), pa.int32()), "ranks": pa.array(ranks, pa.binary())})
@@ -165,30 +165,29 @@ def similar(
     inside = written(links_inside(several, sets_of(texts, several, words, unique), bound), "links")
     root = components(inside).select(F.col("node").alias("member"), "root")
 
-    group_of = groups[0].filter("own").select(F.col("first").alias("g"), F.col("node").alias("member_of"))
+    # What a group holds of one component: these are the groups that are met and opened.
+    dealt = groups[0].filter("own").select("key", "first", F.col("node").alias("member_of"))
     known = rows.select("id", "d1", "d2", "n").filter("n > 0").join(classes.select("d1", "d2", "node"), ["d1", "d2"])
-    known = known.join(root, known["node"] == root["member"], "left").join(group_of, known["node"] == group_of["member_of"])
-    known = written(known.select("id", "node", "n", F.coalesce("root", "node").alias("c"), "g"), "known")
+    known = known.join(root, known["node"] == root["member"], "left").join(dealt, known["node"] == dealt["member_of"])
+    known = known.withColumn("c", F.coalesce("root", "node"))
+    known = written(known.select("id", "node", "n", "c", F.xxhash64("key", "first", "c").alias("g")), "known")
 
     sent = texts.mapInArrow(prefixes(words, bound, ranks), "t long, id long")
     sent = written(sent.repartition("t").sortWithinPartitions("t").mapInArrow(repeated, "t long, id long"), "tokens")
-    matrix = sent.join(known, "id").groupBy("t", "g").agg(
-        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("c").alias("c0"), F.max("c").alias("c1"))
+    matrix = sent.join(known, "id").groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("c").alias("c"))
     matrix = written(matrix, "matrix")
-    open_tokens = matrix.groupBy("t").agg(F.min("c0").alias("x"), F.max("c1").alias("y"), F.count("*").alias("k")).filter(
-        "x < y and k > 1").select("t")
+    open_tokens = matrix.groupBy("t").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("t")
     matrix = written(matrix.join(open_tokens, "t", "left_semi"), "token-groups")
-    one, two = ([F.col(c).alias(f"{side}_{c}") for c in ("g", "lo", "hi", "c0", "c1")] for side in ("a", "b"))
+    one, two = ([F.col(k).alias(f"{side}_{k}") for k in ("g", "lo", "hi", "c")] for side in ("a", "b"))
     fits = (F.col("a_hi") * bound.denominator >= F.col("b_lo") * bound.numerator) & (
         F.col("b_hi") * bound.denominator >= F.col("a_lo") * bound.numerator)
-    apart = (F.col("a_c0") != F.col("b_c1")) | (F.col("a_c1") != F.col("b_c0")) | (F.col("a_c0") != F.col("a_c1"))
-    met = matrix.select("t", *one).join(matrix.select("t", *two), "t").filter((F.col("a_g") < F.col("b_g")) & fits & apart)
+    met = matrix.select("t", *one).join(matrix.select("t", *two), "t").filter((F.col("a_c") < F.col("b_c")) & fits)
     smallest = F.min(F.least("a_lo", "b_lo"))
     pairs = met.groupBy(F.col("a_g").alias("a"), F.col("b_g").alias("b")).agg(F.count("*").alias("met"), smallest.alias("lo"))
     pairs = written(pairs.filter(F.col("met") >= F.ceil(F.col("lo") / SHARED)).select("a", "b"), "group-pairs")
 
     asked = pairs.select(F.col("a").alias("cell")).unionByName(pairs.select(F.col("b").alias("cell"))).distinct()
-    members = groups[0].filter("own").select(F.col("first").alias("cell"), "node").join(asked, "cell", "left_semi")
+    members = known.filter(F.col("id") == F.col("node")).select(F.col("g").alias("cell"), "node").join(asked, "cell", "left_semi")
     members = written(members, "opened")
     found = links_between(pairs, members, sets_of(texts, members, words, unique), bound)
     roots = components(inside.unionByName(found))

@@ -104,9 +104,28 @@ def whole_sets(words: int):
     return run
 
 
+MAP_BITS = 26  # of the map of asked ids at most: 8 MB
+
+
+def marked_rows(rows: DataFrame, ids: DataFrame, most: int = MAP_BITS) -> DataFrame:
+    """The rows whose ``id`` may be among the distinct ``id`` of ``ids``: all that are, and few others.
+
+    A bit map by hash with sixteen bits an id, up to a fixed size, is broadcast; a larger one lets more others through.
+    """
+    bits = 1 << min(most, max(15, (16 * ids.count()).bit_length()))
+    h = F.pmod(F.xxhash64("id"), F.lit(bits).cast("long"))
+    page, place = F.shiftright(h, 15), h.bitwiseAND(F.lit(32767).cast("long"))
+    maps = ids.groupBy(page.alias("page")).agg(F.bitmap_construct_agg(place).alias("map"))
+    byte = F.conv(F.hex(F.expr("substring(map, cast(place div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    met = rows.withColumns({"page": page, "place": place}).join(F.broadcast(maps), "page")
+    hit = F.expr("shiftright(byte, cast(place % 8 as int)) & 1 = 1")
+    return met.withColumn("byte", byte).filter(hit).drop("page", "place", "map", "byte")
+
+
 def sets_of(texts: DataFrame, nodes: DataFrame, words: int, unique: bool) -> DataFrame:
     """``node, found`` of the rows ``id, text`` whose id is in ``nodes``, written; rows of one id have the same text."""
-    asked = texts.join(nodes.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
+    ids = written(nodes.select(F.col("node").alias("id")).distinct(), "asked")
+    asked = marked_rows(texts, ids).join(ids, "id", "left_semi")  # so that other texts are not shuffled
     asked = asked if unique else asked.dropDuplicates(["id"])
     return written(asked.mapInArrow(whole_sets(words), "node long, found binary"), "shingle-sets")
 
@@ -283,12 +302,81 @@ def opened(least: Fraction):
     return run
 
 
+def signature(found: np.ndarray) -> np.ndarray:
+    """A bit map of a set by the low bits of its hashes, about eight bits a hash, as 64-bit words."""
+    width = 1 << max(6, (8 * len(found) - 1).bit_length())
+    marks = np.zeros(width, bool)
+    marks[(found & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(marks, bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, words: int) -> np.ndarray:
+    while len(bits) > words:
+        bits = bits[:len(bits) // 2] | bits[len(bits) // 2:]
+    return bits
+
+
+def may_link(one: tuple, two: tuple, least: Fraction) -> bool:
+    """Whether sets of two groups may be similar, given their sizes and signatures.
+
+    Every bit of a set that another's union lacks stands for a hash that no member of the other group has, which bounds what
+    they can have in common.
+    """
+    words = min(len(b) for b in (*one[1], *two[1]))
+    (sizes, maps), (others, other_maps) = ((np.array(n, np.int64), np.array([folded(b, words) for b in m])) for n, m in (one, two))
+    union = np.bitwise_or.reduce(other_maps, axis=0)
+    most = sizes - np.bitwise_count(maps & ~union).sum(axis=1, dtype=np.int64)
+    for k in np.flatnonzero(most * least.denominator >= sizes * least.numerator):
+        both = np.minimum(sizes[k] - np.bitwise_count(maps[k] & ~other_maps).sum(axis=1, dtype=np.int64),
+                          others - np.bitwise_count(other_maps & ~maps[k]).sum(axis=1, dtype=np.int64))
+        if (both * least.denominator >= (sizes[k] + others - both) * least.numerator).any():
+            return True
+    return False
+
+
+def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``cell, sizes, bits`` of packed groups."""
+    for batch in batches:
+        bits = []
+        for sizes, tokens, places in zip(*(batch.column(k) for k in ("sizes", "tokens", "places"))):
+            union = np.frombuffer(tokens.as_buffer(), np.uint64)
+            own = np.split(np.frombuffer(places.as_buffer(), np.int32), np.cumsum(sizes.as_py())[:-1])
+            bits.append([signature(union[o]).tobytes() for o in own])
+        yield pa.record_batch({"cell": batch.column("cell"), "sizes": batch.column("sizes"), "bits": pa.array(bits, pa.list_(pa.binary()))})
+
+
+def likely(least: Fraction):
+    """The pairs whose groups may have a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for row in range(batch.num_rows):
+                sides = []
+                for side in ("a", "b"):
+                    bits = [np.frombuffer(m.as_buffer(), np.uint64) for m in batch.column(f"{side}_bits")[row].values]
+                    sides.append((batch.column(f"{side}_sizes")[row].as_py(), bits))
+                keep.append(may_link(*sides, least))
+            yield pa.record_batch({k: batch.column(k).filter(pa.array(keep, pa.bool_())) for k in ("a", "b")})
+
+    return run
+
+
+def with_groups(pairs: DataFrame, groups: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(groups.select(F.col("cell").alias(side), *(F.col(k).alias(f"{side}_{k}") for k in names)), side)
+    return pairs
+
+
 def links_between(pairs: DataFrame, groups: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
-    """Links between the groups of each pair (``a, b``); ``groups`` has ``cell, node`` of all of them."""
+    """Links between the groups of each pair (``a, b``); ``groups`` has ``cell, node`` of all of them.
+
+    Pairs are first bounded by signatures, a byte or two a hash; only groups that may have a link are sent whole.
+    """
     met = groups.join(sets, "node").select("cell", "node", "found")
     packs = written(met.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(
         packed, "cell long, nodes array<long>, sizes array<int>, tokens binary, places binary"), "packs")
-    for side in ("a", "b"):
-        own = packs.select(F.col("cell").alias(side), *(F.col(k).alias(f"{side}_{k}") for k in PACK))
-        pairs = pairs.join(own, side)
-    return pairs.mapInArrow(opened(least), "a long, b long")
+    signs = written(packs.select("cell", "sizes", "tokens", "places").mapInArrow(
+        signed, "cell long, sizes array<int>, bits array<binary>"), "signatures")
+    pairs = written(with_groups(pairs, signs, ("sizes", "bits")).mapInArrow(likely(least), "a long, b long"), "likely-pairs")
+    return with_groups(pairs, packs, PACK).mapInArrow(opened(least), "a long, b long")

@@ -116,3 +116,30 @@ def test_closed_groups_and_open_ones():
                                  np.searchsorted(np.unique(np.concatenate(sets)), np.concatenate(sets)))
     assert set_groups.between(group(1, own), group(50, own[1:], own[:3]), Fraction(4, 5)) == [(1, 50)]
     assert set_groups.between(group(1, own), group(50, own[:5], own[5:]), Fraction(4, 5)) == []
+
+
+@pytest.mark.parametrize("most", [15, 26])
+def test_map_of_ids_loses_none(spark, most):
+    rows = spark.range(0, 200000, 1, 4).selectExpr("id", "cast(id as string) as text")
+    ids = spark.range(0, 200000, 7)
+    left = {r.id for r in set_groups.marked_rows(rows, ids, most).collect()}
+    assert left >= {r.id for r in ids.collect()} and (len(left) < 45000 or most == 15)
+    assert set_groups.marked_rows(rows, ids.limit(0)).collect() == []
+
+
+def test_signatures_lose_no_link():
+    rng = random.Random(9)
+    share = Fraction(4, 5)
+    closed = 0
+    for _ in range(300):
+        base = np.array(rng.sample(range(1 << 62), 60), np.uint64)
+        groups = []
+        for _ in range(2):
+            sets = [np.unique(np.concatenate([base[:rng.randint(20, 60)], np.array(rng.sample(range(1 << 62), rng.randint(0, 20)), np.uint64)]))
+                    for _ in range(rng.randint(1, 3))]
+            groups.append(sets)
+        linked = any(len(np.intersect1d(a, b)) >= share * len(np.union1d(a, b)) for a in groups[0] for b in groups[1])
+        may = set_groups.may_link(*(([len(s) for s in sets], [set_groups.signature(s) for s in sets]) for sets in groups), share)
+        assert may or not linked
+        closed += not may
+    assert closed > 50
