@@ -12,6 +12,10 @@ Tokens that occur in only one set, or only in sets already linked to each other,
 matrix. Frequencies only order tokens; they come from counts in a fixed number of cells, which every size of corpus fills
 alike, and any order is exact.
 
+A token that leads to few groups pairs them by a join, whose rows are bounded by a multiple of the matrix. The members of
+groups with a more frequent one are dealt to cells of bounded size and held against each other by bit maps in place; only
+pairs that may be similar are sent. A pair that shares a frequent token is found there, any other by its rare ones.
+
 Groups come from three smallest hashes in turn. The second and third only add links, so that large groups of near copies are
 one component before groups are compared with each other, which then need not be.
 """
@@ -28,11 +32,14 @@ from pyspark.sql import functions as F
 
 from tamis.llm.common import numbered, written
 from tamis.llm.components import components
-from tamis.llm.set_groups import batches_of_sets, digest, grouped, links_between, links_inside, minima, odd, sets_of
+from tamis.llm.set_groups import (
+    batches_of_sets, digest, grouped, likely_in_cells, links_between, links_inside, minima, odd, set_signatures, sets_of)
 
 CELLS_BITS, BLOCKS = 20, 64
 ORDERS = 3
 SHARED = 10  # one in so many tokens must be met in both prefixes
+FREQUENT = 64  # groups of a token whose members are compared in place
+SIDE = 1024  # rows on a side of such a comparison, about
 _FACTORS = odd(ORDERS, 20240913)
 DESCRIBED = "id long, n int, d1 long, d2 long, m0 long, m1 long, m2 long, block int, counts binary"
 
@@ -127,7 +134,7 @@ def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def similar(
-    docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id``, one row per input row.
 
@@ -176,8 +183,9 @@ def similar(
     sent = written(sent.repartition("t").sortWithinPartitions("t").mapInArrow(repeated, "t long, id long"), "tokens")
     matrix = sent.join(known, "id").groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("c").alias("c"))
     matrix = written(matrix, "matrix")
-    open_tokens = matrix.groupBy("t").agg(F.min("c").alias("x"), F.max("c").alias("y")).filter("x < y").select("t")
-    matrix = written(matrix.join(open_tokens, "t", "left_semi"), "token-groups")
+    open_tokens = matrix.groupBy("t").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("f")).filter("x < y")
+    open_tokens = written(open_tokens.select("t", "f"), "open-tokens")
+    matrix = written(matrix.join(open_tokens.filter(F.col("f") <= frequent).select("t"), "t", "left_semi"), "token-groups")
     one, two = ([F.col(k).alias(f"{side}_{k}") for k in ("g", "lo", "hi", "c")] for side in ("a", "b"))
     fits = (F.col("a_hi") * bound.denominator >= F.col("b_lo") * bound.numerator) & (
         F.col("b_hi") * bound.denominator >= F.col("a_lo") * bound.numerator)
@@ -186,10 +194,25 @@ def similar(
     pairs = met.groupBy(F.col("a_g").alias("a"), F.col("b_g").alias("b")).agg(F.count("*").alias("met"), smallest.alias("lo"))
     pairs = written(pairs.filter(F.col("met") >= F.ceil(F.col("lo") / SHARED)).select("a", "b"), "group-pairs")
 
-    asked = pairs.select(F.col("a").alias("cell")).unionByName(pairs.select(F.col("b").alias("cell"))).distinct()
+    # Tokens of many groups: their members meet in cells of bounded size and are held against each other by bit maps.
+    often = open_tokens.filter(F.col("f") > frequent).select("t", F.ceil(F.col("f") / SIDE).cast("int").alias("k"))
+    often = sent.join(often, "t").join(known, "id").select("t", "k", "node", "n", "c", "g").dropDuplicates(["t", "node"])
+    often = written(often, "frequent")
+
+    asked = pairs.select(F.col("a").alias("cell")).unionByName(pairs.select(F.col("b").alias("cell")))
+    asked = asked.unionByName(often.select(F.col("g").alias("cell"))).distinct()
     members = known.filter(F.col("id") == F.col("node")).select(F.col("g").alias("cell"), "node").join(asked, "cell", "left_semi")
     members = written(members, "opened")
-    found = links_between(pairs, members, sets_of(texts, members, words, unique), bound)
+    sets = sets_of(texts, members, words, unique)
+    bits = sets.join(often.select("node").distinct(), "node", "left_semi").mapInArrow(set_signatures, "node long, bits binary")
+    half = F.pmod(F.xxhash64("node"), F.col("k"))
+    cells = often.withColumn("i", half).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    cells = cells.join(bits, "node").select(
+        "t", F.least("i", "j").cast("int").alias("low"), F.greatest("i", "j").cast("int").alias("high"),
+        F.col("i").cast("int").alias("half"), "n", "c", "g", "bits")
+    cells = cells.repartition("t", "low", "high").sortWithinPartitions("t", "low", "high")
+    pairs = pairs.unionByName(cells.mapInArrow(likely_in_cells(bound), "a long, b long")).distinct()
+    found = links_between(pairs, members, sets, bound)
     roots = components(inside.unionByName(found))
     label = known.select("id", "node").join(roots, "node", "left").select("id", F.coalesce("root", "node").alias("root"))
     label = written(label, "labels")

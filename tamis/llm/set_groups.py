@@ -125,7 +125,8 @@ def marked_rows(rows: DataFrame, ids: DataFrame, most: int = MAP_BITS) -> DataFr
 def sets_of(texts: DataFrame, nodes: DataFrame, words: int, unique: bool) -> DataFrame:
     """``node, found`` of the rows ``id, text`` whose id is in ``nodes``, written; rows of one id have the same text."""
     ids = written(nodes.select(F.col("node").alias("id")).distinct(), "asked")
-    asked = marked_rows(texts, ids).join(ids, "id", "left_semi")  # so that other texts are not shuffled
+    # Other texts are not shuffled; a semi join would be pushed below the filter.
+    asked = marked_rows(texts, ids).join(ids, "id")
     asked = asked if unique else asked.dropDuplicates(["id"])
     return written(asked.mapInArrow(whole_sets(words), "node long, found binary"), "shingle-sets")
 
@@ -334,6 +335,59 @@ def may_link(one: tuple, two: tuple, least: Fraction) -> bool:
     return False
 
 
+def set_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, bits`` of rows ``node, found``."""
+    for batch in batches:
+        bits = [signature(np.frombuffer(f.as_buffer(), np.uint64)).tobytes() for f in batch.column("found")]
+        yield pa.record_batch({"node": batch.column("node"), "bits": pa.array(bits, pa.binary())})
+
+
+def likely_members(rows: list[tuple], least: Fraction) -> list[tuple[int, int]]:
+    """Groups ``(g, g)`` of rows ``(n, c, g, half, bits)`` of different components and halves (or of one) that may be similar.
+
+    Rows are held against those of fitting size only, all at a time by their bit maps; nothing is sent for others.
+    """
+    rows = sorted(rows, key=lambda r: r[0])
+    n, c, g, half = (np.array([r[k] for r in rows], np.int64) for k in range(4))
+    maps = [np.frombuffer(r[4], np.uint64) for r in rows]
+    widths, alone, out = np.array([len(m) for m in maps]), len(set(half.tolist())) == 1, set()
+    for width in np.unique(widths):
+        wide = np.flatnonzero((widths >= width) & (widths <= 2 * width))
+        table = np.array([folded(maps[k], int(width)) for k in wide])
+        for at in np.flatnonzero(widths[wide] == width):
+            k = wide[at]
+            end = at + 1 + np.searchsorted(n[wide[at + 1:]] * least.numerator, n[k] * least.denominator, side="right")
+            other = np.arange(at + 1, end)
+            other = other[(c[wide[other]] != c[k]) & (alone | (half[wide[other]] != half[k]))]
+            both = np.minimum(n[k] - np.bitwise_count(table[at] & ~table[other]).sum(axis=1, dtype=np.int64),
+                              n[wide[other]] - np.bitwise_count(table[other] & ~table[at]).sum(axis=1, dtype=np.int64))
+            near = wide[other[both * least.denominator >= (n[k] + n[wide[other]] - both) * least.numerator]]
+            out.update((min(int(g[k]), int(x)), max(int(g[k]), int(x))) for x in g[near] if x != g[k])
+    return sorted(out)
+
+
+def likely_in_cells(least: Fraction):
+    """Pairs ``a, b`` of groups, from rows ``t, low, high, half, n, c, g, bits`` sorted by the first three."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cell, held = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            pairs = likely_members(held, least) if held else []
+            if pairs:
+                yield pa.record_batch({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+        for batch in batches:
+            for row in zip(*(batch.column(k).to_pylist() for k in ("t", "low", "high", "n", "c", "g", "half", "bits"))):
+                if row[:3] != cell:
+                    yield from close()
+                    cell, held = row[:3], []
+                held.append(row[3:])
+        yield from close()
+
+    return run
+
+
 def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``cell, sizes, bits`` of packed groups."""
     for batch in batches:

@@ -66,11 +66,12 @@ def copies(seed, many):
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("seed,members", [(1, 64), (2, 2)])
-def test_links_between_groups(make, monkeypatch, seed, members):
+@pytest.mark.parametrize("seed,members,frequent,side", [(1, 64, 64, 1024), (2, 2, 1, 1024), (4, 1, 2, 8)])
+def test_links_between_groups(make, monkeypatch, seed, members, frequent, side):
+    monkeypatch.setattr(jaccard_join, "SIDE", side)
     monkeypatch.setattr(jaccard_join, "grouped", lambda rows, *near: set_groups.grouped(rows, *near, members=members))
     rows = copies(seed, 60)
-    assert joined(jaccard_join.similar(make(rows))) == plain_join(rows)
+    assert joined(jaccard_join.similar(make(rows), frequent=frequent)) == plain_join(rows)
 
 
 def test_other_share_and_width(make):
