@@ -16,8 +16,8 @@ from tamis.sources import files, lake, runs, snapshot
 BATCH = 5_000  # records per derived batch file
 
 
-def _json_batches(spark, sf_dir):
-    """Records written as JSON arrays, one file per batch, and scanned again; an array's parser rewrites its elements.
+def _array_files(spark, sf_dir):
+    """Records written as JSON arrays, one file per batch, a line per record.
 
     The lines of a file are written one by one in order, so no batch is ever one value on the writing side.
     """
@@ -30,7 +30,12 @@ def _json_batches(spark, sf_dir):
     closing = ends.select("lot", F.lit((1 << 63) - 1).alias("n"), F.lit("]").alias("value"))
     lines.unionByName(closing).repartition("lot").sortWithinPartitions("lot", "n").select(
         "lot", "value").write.partitionBy("lot").text(path)
-    parsed = files.read_json_batch(spark, path)
+    return path
+
+
+def _json_batches(spark, sf_dir):
+    """An array's parser rewrites its elements."""
+    parsed = files.read_json_batch(spark, _array_files(spark, sf_dir))
     return parsed.select(
         F.get_json_object("record", "$.id").alias("id"), F.get_json_object("record", "$.zeta").cast("double").alias("zeta"),
         F.size(F.json_object_keys("record")).alias("cles"))
@@ -40,6 +45,17 @@ register("scan_json_batch", _json_batches,
          f"select record ->> '$.id' as id, (record ->> '$.zeta')::double as zeta, len(json_keys(record)) as cles from ({layers.CLEAN})")
 
 
+def _json_arrays(spark, sf_dir):
+    """The same files by byte ranges; every record keeps its own text."""
+    parsed = files.read_json_array(spark, _array_files(spark, sf_dir))
+    return parsed.select(F.get_json_object("record", "$.id").alias("id"), F.md5("record").alias("empreinte"),
+                         F.length("record").cast("long").alias("longueur"))
+
+
+register("scan_json_array_split", _json_arrays,
+         f"""select record ->> '$.id' as id, md5(record) as empreinte, length(record)::bigint as longueur from ({layers.CLEAN})""")
+
+
 def _json_lines(spark, sf_dir):
     path = scratch_path(spark, "json_lines")
     layers.clean_records(spark, sf_dir).select(F.col("record").alias("value")).write.text(path)
