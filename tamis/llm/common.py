@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 from collections.abc import Iterator
 from pathlib import Path
@@ -48,6 +50,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Gives freed memory of a Python worker back, which lives on for later tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_hash(text) -> F.Column:
     """Identity of a text inside its row key; null and empty texts are alike."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import numbered, written
+from tamis.llm.common import numbered, release, written
 from tamis.llm.components import components
 from tamis.llm.set_groups import (
     batches_of_sets, digest, grouped, likely_in_cells, links_between, links_inside, minima, odd, set_signatures, sets_of)
@@ -110,6 +110,7 @@ def prefixes(words: int, least: Fraction, ranks: np.ndarray):
                 place = np.arange(len(tokens)) - (np.cumsum(own) - own)[text]
                 keep = place < (own - common_least(own, least) + must_meet(own))[text]
                 yield pa.record_batch({"t": pa.array(tokens[keep].view(np.int64)), "id": ids.take(pa.array(text[keep]))})
+        release()
 
     return run
 

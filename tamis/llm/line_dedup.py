@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import text_hash, written
+from tamis.llm.common import release, text_hash, written
 
 SENTENCE = 3
 MIN_WORDS = 30
@@ -96,6 +96,7 @@ def unit_table(batches: Iterator[pa.RecordBatch], line_words: int = 0) -> Iterat
                     "o": batch.column("o").take(at), "x": batch.column("x").take(at), "unit": pa.array(keys, pa.int32()),
                     "d1": pa.array(np.ascontiguousarray(pair[:, 0])), "d2": pa.array(np.ascontiguousarray(pair[:, 1]))})
                 rows, keys, sums = [], [], []
+    release()
 
 
 def cut_out(text: bytes, repeated: set[int], min_words: int, whole_lines: bool = False) -> dict:

@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import Rolling, byte_view, mix, pieces, written
+from tamis.llm.common import Rolling, byte_view, mix, pieces, release, written
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 MEMBERS, TOKENS = 64, 1 << 17  # of a group; one larger set is a group of its own
 _SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -100,6 +100,7 @@ def whole_sets(words: int):
             for ids, found, offsets in batches_of_sets(batch, words):
                 raw = [found[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.record_batch({"node": ids, "found": pa.array(raw, pa.binary())})
+        release()
 
     return run
 
@@ -213,13 +214,21 @@ def links(least: Fraction):
                 nodes.append(node.as_py())
                 held.append(found.as_py())
         yield from close()
+        release()
 
     return run
 
 
+def with_sets(groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """``cell, node, found`` of the members of groups; sets of other nodes are not shuffled."""
+    ids = written(groups.select(F.col("node").alias("id")).distinct(), "asked")
+    own = marked_rows(sets.withColumnRenamed("node", "id"), ids).withColumnRenamed("id", "node")
+    return groups.join(own, "node").select("cell", "node", "found")
+
+
 def links_inside(groups: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
     """Links ``a, b`` within the groups ``cell, node`` that have several members."""
-    met = groups.join(sets, "node").select("cell", "node", "found")
+    met = with_sets(groups, sets)
     met = met.repartition("cell").sortWithinPartitions("cell", "node")
     return met.mapInArrow(links(least), "a long, b long")
 
@@ -427,7 +436,7 @@ def links_between(pairs: DataFrame, groups: DataFrame, sets: DataFrame, least: F
 
     Pairs are first bounded by signatures, a byte or two a hash; only groups that may have a link are sent whole.
     """
-    met = groups.join(sets, "node").select("cell", "node", "found")
+    met = with_sets(groups, sets)
     packs = written(met.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(
         packed, "cell long, nodes array<long>, sizes array<int>, tokens binary, places binary"), "packs")
     signs = written(packs.select("cell", "sizes", "tokens", "places").mapInArrow(
