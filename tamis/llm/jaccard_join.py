@@ -171,7 +171,7 @@ def similar(
         several = own if several is None else several.unionByName(own)
     several = written(several, "cells")
     inside = written(links_inside(several, sets_of(texts, several, words, unique), bound), "links")
-    root = components(inside).select(F.col("node").alias("member"), "root")
+    root = written(components(inside).select(F.col("node").alias("member"), "root"), "roots")
 
     # What a group holds of one component: these are the groups that are met and opened.
     dealt = groups[0].filter("own").select("key", "first", F.col("node").alias("member_of"))
@@ -214,7 +214,7 @@ def similar(
     cells = cells.repartition("t", "low", "high").sortWithinPartitions("t", "low", "high")
     pairs = pairs.unionByName(cells.mapInArrow(likely_in_cells(bound), "a long, b long")).distinct()
     found = links_between(pairs, members, sets, bound)
-    roots = components(inside.unionByName(found))
+    roots = components(root.select(F.col("member").alias("a"), F.col("root").alias("b")).unionByName(found))
     label = known.select("id", "node").join(roots, "node", "left").select("id", F.coalesce("root", "node").alias("root"))
     label = written(label, "labels")
 
