@@ -3,8 +3,8 @@
 A text is cut into units: at line ends, and in long lines after every sentence of at least ``SENTENCE`` words, so that a
 passage put into the middle of a paragraph still falls into the same units as elsewhere. Units are normalised (A-Z in
 lower case, white space collapsed) and hashed. Digests are counted over all documents, and each one's earliest unit, by
-document id and then by place, is kept. The others are removed where they make up a run of at least ``min_words`` words;
-shorter runs are everyday phrases. With ``whole_lines`` a line that occurred before goes whatever its length, and the
+document id and then by place, is kept. All others are removed. A caller may keep short ones: with ``min_words`` only runs
+of so many words go, and with ``whole_lines`` besides it a line that occurred before goes whatever its length, so that the
 minimum holds for sentences inside a line only. Offsets of what was removed refer to the original text.
 
 Only digests travel. They are combined before the shuffle, and a very frequent unit is met in a join that Spark may
@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from tamis.llm.common import release, text_hash, written
 
 SENTENCE = 3
-MIN_WORDS = 30
 _END = re.compile(rb"[.!?]+(?=[ \t\x0b\x0c\r])|\n")
 REMOVED = "struct<text:string,units:int,removed_chars:long,spans:array<struct<start:long,length:long>>>"
 REMOVED_ARROW = pa.struct({
@@ -134,7 +133,7 @@ def cut_out(text: bytes, repeated: set[int], min_words: int, whole_lines: bool =
 
 
 def remove_repeats(
-    docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text", into: str = "repeats",
+    docs: DataFrame, min_words: int = 1, id_col: str = "doc_id", text_col: str = "text", into: str = "repeats",
     whole_lines: bool = False,
 ) -> DataFrame:
     """``docs`` with a column ``into``: the remaining text, the number of units, and what was removed.

@@ -169,16 +169,14 @@ ranked as (
     select *, norm is not null and row_number() over (partition by norm order by doc_id, unit) > 1 as later from hashed),
 runs as (
     select *, unit - row_number() over (partition by doc_id, later order by unit) as run from ranked),
-judged as (
-    select *, later and sum(words) over (partition by doc_id, later, run) >= 30 as gone from runs),
 removed as (
-    select doc_id, run, min(start) as start, sum(length(raw)) as size from judged where gone group by all),
+    select doc_id, run, min(start) as start, sum(length(raw)) as size from runs where later group by all),
 spans as (
     select doc_id, string_agg(start::bigint || '+' || size::bigint, ',' order by start) as spans,
         sum(size)::bigint as removed_chars from removed group by doc_id),
 kept as (
-    select doc_id, string_agg(raw, '' order by unit) filter (where not gone) as kept_text,
-        count(*) filter (where words > 0) as n_units from judged group by doc_id)
+    select doc_id, string_agg(raw, '' order by unit) filter (where not later) as kept_text,
+        count(*) filter (where words > 0) as n_units from ranked group by doc_id)
 select d.doc_id, coalesce(n_units, 0)::bigint as n_units, coalesce(removed_chars, 0)::bigint as removed_chars,
     coalesce(spans, '') as spans, case when d.text is not null then coalesce(kept_text, '') end as kept_text
 from documents d left join kept using (doc_id) left join spans using (doc_id)

@@ -30,11 +30,29 @@ def test_passage_inside_a_paragraph(make):
     assert "w29" not in second.repeats.text and second.repeats.text.startswith("Some other")
 
 
-def test_short_phrases_stay(make):
+def test_every_later_unit_goes(make):
     got = repeats(make([(1, "The end.\nmore"), (2, "The end.\nless")]))
+    assert [r.repeats.text for r in sorted(got, key=lambda r: r.doc_id)] == ["The end.\nmore", "less"]
+    got = repeats(make([(1, "The end.\nmore"), (2, "The end.\nless")]), min_words=30)
     assert all(r.repeats.spans == [] for r in got)
-    got = repeats(make([(1, "The end.\nmore"), (2, "The end.\nless")]), min_words=2)
-    assert [len(r.repeats.spans) for r in sorted(got, key=lambda r: r.doc_id)] == [0, 1]
+
+
+def test_no_unit_is_left_twice(spark, small, rows):
+    left = line_dedup.remove_repeats(spark.read.parquet(f"{small}/documents.parquet")).select("doc_id", "repeats.spans", "text")
+    seen, spans = set(), {r.doc_id: {(s.start, s.length) for s in r.spans} for r in left.collect()}
+    for i, text in rows:
+        gone, expected = [], []
+        for start, end, words in line_dedup.units(text.encode()):
+            key = b" ".join(words).lower()
+            if words and key in seen:
+                gone.append((len(text.encode()[:start].decode()), len(text.encode()[:end].decode())))
+            seen.add(key)
+        for start, end in gone:
+            if expected and sum(expected[-1]) == start:
+                expected[-1] = (expected[-1][0], end - expected[-1][0])
+            else:
+                expected.append((start, end - start))
+        assert spans[i] == set(expected)
 
 
 def test_normalised_and_within_a_document(make):
