@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from tamis.llm.common import written
 from tamis.session import scratch_path
 
+TASKS = 20000
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 CHUNKS = ("page_id long, url string, record_type string, refers_to long, chunk_no long, data binary, "
           "bytes_so_far long, digest_so_far string, payload_bytes long, payload_digest string, last boolean")
@@ -238,7 +239,8 @@ def read_chunks(manifest: DataFrame, chunk_bytes: int = 1 << 20, with_data: bool
     """The chunk table of the archives of a manifest; ``data`` is null unless ``with_data``.
 
     ``bytes_so_far`` and ``digest_so_far`` cover a record's chunks up to the row. A response whose bytes do not give the
-    digest and length in its header stops the read. A revisit has one empty chunk.
+    digest and length in its header stops the read. A revisit has one empty chunk. Every archive is a unit of work: the rows
+    of the manifest are counted, and dealt to as many tasks, ``TASKS`` at most.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +264,9 @@ def read_chunks(manifest: DataFrame, chunk_bytes: int = 1 << 20, with_data: bool
             if rows:
                 yield batch_of(rows)
 
-    return manifest.select("path").repartition("path").mapInArrow(run, CHUNKS)
+    # By number: partitions dealt by column alone are tiny in bytes and would be merged to a single task.
+    tasks = max(1, min(manifest.count(), TASKS))
+    return manifest.select("path").repartitionByRange(tasks, "path").mapInArrow(run, CHUNKS)
 
 
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:

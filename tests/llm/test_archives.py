@@ -2,6 +2,8 @@ import base64
 import gzip
 import hashlib
 
+from pyspark.sql import functions as F
+
 from tamis.llm import warc
 
 
@@ -34,6 +36,12 @@ def test_round_trip_in_chunks(spark):
     assert last[0].url is None and last[1].url == "http://h/1%0A?q"
 
 
+def test_every_archive_is_a_task(spark):
+    manifest = written(spark, [(i, "u", f"{i} " * 400, "") for i in range(40)], archive_bytes=1)
+    tasks = warc.read_chunks(manifest).select(F.spark_partition_id().alias("task")).distinct().count()
+    assert manifest.count() == tasks == 40
+
+
 def test_small_payloads_do_not_refer(spark):
     rows = [(1, "u", "same", ""), (2, "u", "same", ""), (3, "u", "much longer same", ""), (4, "u", "much longer same", "")]
     last = warc.read_chunks(written(spark, rows, min_bytes=5)).filter("last").collect()
