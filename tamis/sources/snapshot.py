@@ -1,8 +1,10 @@
 """Serving snapshot: exactly one batch and run at a time, replaced atomically.
 
-Every load writes its own version folder. A one-row append to the version log publishes it, so a
-reader sees the old or the new snapshot and never a mix; a load that dies leaves a folder nobody
-refers to. Nothing is renamed or overwritten, which also holds on object stores.
+Every load writes its own version folder. A small file in the version log, made only if no file of its number exists,
+publishes it, so a reader sees the old or the new snapshot and never a mix, and of two loads that want the same number one
+wins; the other takes the next number, on top of the winner's columns. A load that dies leaves a folder nobody refers to,
+or an empty log file, which readers pass over. Nothing is renamed or overwritten. The file system must make files
+atomically if absent, as HDFS and object stores with conditional writes do.
 """
 
 from __future__ import annotations
@@ -10,32 +12,64 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.operators import checks, cleaning
 from tamis.sources.files import exists
 
+TRIES = 20
+
 
 def align(df: DataFrame, target: DataFrame) -> DataFrame:
     """Target columns first; missing ones as nulls, new ones added, none dropped."""
     return target.limit(0).unionByName(df, allowMissingColumns=True)
 
 
-def _log(spark: SparkSession, root: str) -> DataFrame | None:
-    path = f"{root}/versions_log"
-    return spark.read.parquet(path) if exists(spark, path) else None
+def _file(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
+    """Numbers in the version log, latest first, and whether each is published; the log has one file per load."""
+    if not exists(spark, f"{root}/versions_log"):
+        return []
+    system, target = _file(spark, f"{root}/versions_log")
+    found = [(s.getPath().getName(), s.getLen()) for s in system.listStatus(target)]
+    return sorted(((int(name), size > 0) for name, size in found if name.isdigit()), reverse=True)
+
+
+def _number_path(root: str, version: int) -> str:
+    return f"{root}/versions_log/{version:012d}"
+
+
+def _claim(spark: SparkSession, path: str, content: str) -> bool:
+    """Makes the file with this content; false if there is one already."""
+    system, target = _file(spark, path)
+    try:
+        out = system.create(target, False)
+        out.write(bytearray(content.encode()))
+        out.close()
+    except Py4JJavaError:
+        if system.exists(target):
+            return False
+        raise
+    return True
+
+
+def current_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """Number and folder of the published snapshot."""
+    for version, published in _versions(spark, root):
+        if published:
+            return version, spark.read.text(_number_path(root, version)).first()["value"]
+    return None
 
 
 def current_path(spark: SparkSession, root: str) -> str | None:
-    log = _log(spark, root)
-    if log is None:
-        return None
-    order = F.struct("version", "published_at", "path")
-    last = log.agg(F.max_by("path", order).alias("path"), F.max("version").alias("version")).first()
-    if log.filter(F.col("version") == last["version"]).count() > 1:  # the log has a row per load
-        raise checks.ContractError(f"version {last['version']} was published twice")
-    return last["path"]
+    last = current_version(spark, root)
+    return last[1] if last else None
 
 
 def current(spark: SparkSession, root: str) -> DataFrame | None:
@@ -49,22 +83,23 @@ def replace(
 ) -> DataFrame:
     """Stage, validate what was written, publish; returns the new snapshot.
 
-    Two loads at a time would publish the same version number; the next reader then stops instead of taking either.
+    If another load publishes first, this one reads the log again, writes its staged rows once more only if the winner
+    brought columns they lack, and takes the next number. It gives up after ``TRIES`` lost races.
     """
     spark = df.sparkSession
-    before = current(spark, root)
-    path = f"{root}/versions/{uuid.uuid4().hex}"
-    (df if before is None else align(df, before)).write.mode("errorifexists").parquet(path)
-    staged = spark.read.parquet(path)
-    checks.assert_none(cleaning.load_checks(staged, key, single, required))
-    log = _log(spark, root)
-    last = 0 if log is None else log.agg(F.max("version")).first()[0]
-    published = spark.range(1).select(
-        F.lit(last + 1).cast("long").alias("version"), F.lit(path).alias("path"),
-        F.current_timestamp().alias("published_at"),
-    )
-    published.coalesce(1).write.mode("append").parquet(f"{root}/versions_log")
-    return staged
+    staged, path = df, None
+    for _ in range(TRIES):
+        version = next((v for v, _ in _versions(spark, root)), 0)
+        base = current(spark, root)
+        aligned = staged if base is None else align(staged, base)
+        if path is None or aligned.columns != staged.columns:
+            path = f"{root}/versions/{uuid.uuid4().hex}"
+            aligned.write.mode("errorifexists").parquet(path)
+            staged = spark.read.parquet(path)
+            checks.assert_none(cleaning.load_checks(staged, key, single, required))
+        if _claim(spark, _number_path(root, version + 1), path):
+            return staged
+    raise checks.ContractError(f"{TRIES} other loads were published first")
 
 
 def already_loaded(

@@ -1,3 +1,6 @@
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
+
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -139,9 +142,45 @@ def test_lost_manifest_is_written_again(spark, tmp_path):
     assert lake.content_hash(spark.range(3).repartition(3)) == contract["parent_hash"] != lake.content_hash(spark.range(4))
 
 
-def test_version_published_twice_stops_the_reader(spark, tmp_path):
-    rows = [(1, "a"), (1, "b")]
-    spark.createDataFrame(rows, "version long, path string").selectExpr(
-        "*", "current_timestamp() as published_at").write.parquet(f"{tmp_path}/versions_log")
-    with pytest.raises(ContractError):
-        snapshot.current_path(spark, str(tmp_path))
+def test_a_load_that_loses_the_race_comes_after_the_winner(spark, tmp_path, monkeypatch):
+    root, real, raced = str(tmp_path), snapshot._claim, []
+    snapshot.replace(load(spark, 2, "r0"), root, "id")
+
+    def claim(session, path, content):
+        if not raced:  # between this load's reading of the log and its own publication
+            raced.append(path)
+            snapshot.replace(load(spark, 3, "r1").withColumn("x", F.lit(1)), root, "id")
+        return real(session, path, content)
+
+    monkeypatch.setattr(snapshot, "_claim", claim)
+    mine = snapshot.replace(load(spark, 4, "r2").withColumn("y", F.lit(2)), root, "id")
+    now = snapshot.current(spark, root)
+    assert snapshot.current_version(spark, root)[0] == 3 and [v for v, _ in snapshot._versions(spark, root)] == [3, 2, 1]
+    assert now.agg(F.count("*"), F.count("x"), F.count("y"), F.max("processing_run_id")).first()[:] == (4, 0, 4, "r2")
+    assert mine.inputFiles() == now.inputFiles()
+    won = spark.read.text(snapshot._number_path(root, 2)).first()["value"]
+    assert spark.read.parquet(won).agg(F.count("x"), F.max("processing_run_id")).first()[:] == (3, "r1")
+
+
+def test_loads_at_the_same_time_all_publish(spark, tmp_path, monkeypatch):
+    root, real, one = str(tmp_path), snapshot._claim, Lock()
+
+    def claim(*args):  # a local file system looks and makes in two steps
+        with one:
+            return real(*args)
+
+    monkeypatch.setattr(snapshot, "_claim", claim)
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: snapshot.replace(load(spark, i + 1, f"r{i}"), root, "id"), range(4)))
+    assert [v for v, _ in snapshot._versions(spark, root)] == [4, 3, 2, 1]
+    paths = {spark.read.text(snapshot._number_path(root, v)).first()["value"] for v in range(1, 5)}
+    assert sorted(spark.read.parquet(p).count() for p in paths) == [1, 2, 3, 4]
+
+
+def test_a_writer_that_died_while_publishing_is_passed_over(spark, tmp_path):
+    root = str(tmp_path)
+    snapshot.replace(load(spark, 2, "r1"), root, "id")
+    snapshot._claim(spark, snapshot._number_path(root, 2), "")
+    assert snapshot.current_version(spark, root)[0] == 1
+    snapshot.replace(load(spark, 3, "r2"), root, "id")
+    assert snapshot.current_version(spark, root)[0] == 3 and snapshot.current(spark, root).count() == 3
