@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tamis.functions import flags as flag_fn
+from tamis.session import scratch_path
 
 _ID, _CODE, _LINEAGE, _TAG, _MASK = "_id", "_code", "_lineage", "_tag", "_mask"
 _FACT_ROW, _CODE_ROW, _LINEAGE_ROW = 0, 1, 2
@@ -131,18 +132,75 @@ def filtered_stats(df: DataFrame, keys: Sequence[str], value: str, where: Column
     )
 
 
-BUCKETS = 256
+CUTS = 256
+LIMIT = 1_000_000
 
 
-def _stretches(counted: DataFrame) -> DataFrame:
-    """Adds ``_bucket``, the number of bounds (``_bounds``) up to the value, by binary search: a step per projection."""
-    df = counted.withColumn("_at", F.lit(0))
-    step = BUCKETS >> 1
+def _stretches(df: DataFrame) -> DataFrame:
+    """Adds ``_sub``, the number of bounds (``_bounds``, none if null) up to the value, by binary search: a step per projection."""
+    df = df.withColumn("_sub", F.lit(0))
+    step = CUTS >> 1
     while step:
-        above = F.coalesce((F.element_at("_bounds", F.col("_at") + step) <= F.col("_v")).cast("int"), F.lit(0))
-        df = df.withColumn("_at", F.col("_at") + above * step)
+        above = F.coalesce((F.element_at("_bounds", F.col("_sub") + step) <= F.col("_v")).cast("int"), F.lit(0))
+        df = df.withColumn("_sub", F.col("_sub") + above * step)
         step >>= 1
-    return df.withColumn("_bucket", F.col("_at").cast("long")).drop("_at")
+    return df.drop("_bounds")
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> tuple[Column, DataFrame]:
+    """Null-safe condition on ``keys`` and the right side with its keys renamed; no not-null filter is derived from it."""
+    right = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & left[k].eqNullSafe(right[f"_k_{k}"])
+    return same, right
+
+
+def _ends(keys: Sequence[str], by: str, parts: DataFrame) -> DataFrame:
+    """Running end of every part of a group in order of ``by``, and the size of the whole group."""
+    order = Window.partitionBy(*[F.col(k) for k in keys], *([] if keys else [F.lit(0)]))
+    running = order.orderBy(by).rowsBetween(Window.unboundedPreceding, 0)
+    return parts.withColumns({"_all": F.sum("_size").over(order), "_end": F.sum("_size").over(running)})
+
+
+def _refined(counted: DataFrame, keys: Sequence[str], holds: Callable[[], Column], limit: int) -> DataFrame:
+    """Rows of the stretches that hold a wanted rank, none with more than ``limit`` distinct values.
+
+    A stretch is known by its group and ``_start``, the number of smaller values in the group; first the group itself.
+    Round by round, longer ones are cut at approximate quantiles of their own values, and parts without a wanted rank
+    leave. Values that no ``double`` tells apart cannot be cut; such a stretch stays as it is.
+    """
+    spark = counted.sparkSession
+
+    def stored(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "quantiles")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    counted = stored(counted)
+    groups = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_d"), F.sum("_n").alias("_total"))
+    most = groups.agg(F.max("_d")).first()[0] or 0
+    same, totals = _same(counted, groups.drop("_d"), keys)
+    live = counted.join(totals, same).select(*keys, "_v", "_n", F.lit(0).cast("long").alias("_start"), "_total")
+    place = [*keys, "_start"]
+    cuts = F.expr(f"array({', '.join(f'{i / CUTS}D' for i in range(1, CUTS))})")
+    while most > limit:
+        sizes = live.groupBy(*place).agg(F.count(F.lit(1)).alias("_d")).filter(F.col("_d") > limit)
+        same, long = _same(live, sizes.drop("_d"), place)
+        bounds = live.join(long, same, "left_semi").groupBy(*place).agg(F.percentile_approx("_v", cuts, 10 * CUTS).alias("_bounds"))
+        same, bounds = _same(live, bounds, place)
+        parted = _stretches(live.join(bounds, same, "left").select(*place, "_v", "_n", "_total", "_bounds"))
+        parts = parted.groupBy(*place, "_total", "_sub").agg(F.sum("_n").alias("_size"), F.count(F.lit(1)).alias("_d"))
+        parts = _ends(place, "_sub", parts).withColumns(
+            {"_from": F.col("_start") + F.col("_end") - F.col("_size"), "_to": F.col("_start") + F.col("_end")})
+        # One row per part: at most CUTS for a stretch.
+        kept = stored(parts.filter(holds()).select(*place, "_sub", "_from", "_d"))
+        same, on = _same(parted, kept.drop("_d"), [*place, "_sub"])
+        live = stored(parted.join(on, same).select(*keys, "_v", "_n", F.col("_from").alias("_start"), "_total"))
+        before, most = most, kept.agg(F.max("_d")).first()[0]
+        if most >= before:
+            break
+    return live
 
 
 def exact_quantiles(
@@ -153,14 +211,15 @@ def exact_quantiles(
     where: Column | None = None,
     bucket: float | None = None,
     regroup: Regroup | None = None,
+    limit: int = LIMIT,
 ) -> DataFrame:
-    """Interpolated exact quantiles per key, without ever holding one group in one task.
+    """Interpolated exact quantiles per key, without ever holding one large group in one task.
 
-    ``percentile`` keeps all distinct values of a group in the memory of one task. Here equal
-    values are counted first (combined before the shuffle), buckets of values give the rank offset of each stretch, and
-    only the buckets that hold a wanted rank are ranked value by value. A task sees the distinct values of one bucket, or
-    one number per bucket. Buckets come from the data: approximate quantiles of the distinct values cut them into
-    ``BUCKETS`` stretches of nearly equal size, however the values are spread. ``bucket`` sets a fixed width instead.
+    ``percentile`` keeps all distinct values of a group in the memory of one task. Here equal values are counted first
+    (combined before the shuffle) and stored below ``spark.checkpoint.dir``. Groups of more than ``limit`` distinct
+    values are cut into stretches, longer stretches again, and only those that hold a wanted rank go on, so that no task
+    ranks more than ``limit`` values, however many a group has and however they are spread. ``bucket`` sets stretches of
+    a fixed width instead, in one plan and with nothing stored.
 
     Groups without a value give no row; ranks use SQL's ``(n - 1) * q``.
 
@@ -179,41 +238,27 @@ def exact_quantiles(
     )
     if regroup:
         counted = regroup[1](counted).groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
-    if bucket is not None:
-        counted = counted.withColumn("_bucket", F.floor(F.col("_v") / F.lit(bucket)).cast("long"))
-    else:
-        cuts = F.expr(f"array({', '.join(f'{i / BUCKETS}D' for i in range(1, BUCKETS))})")
-        bounds = counted.agg(F.percentile_approx("_v", cuts, 10 * BUCKETS).alias("_bounds"))  # one row
-        counted = _stretches(counted.crossJoin(F.broadcast(bounds))).drop("_bounds")
-
-    # Offsets: one number per bucket.
-    order = Window.partitionBy(*by_key, *([] if keys else [F.lit(0)]))
-    sizes = counted.groupBy(*keys, "_bucket").agg(F.sum("_n").alias("_size"))
-    offsets = sizes.withColumns(
-        {
-            "_total": F.sum("_size").over(order),
-            "_end": F.sum("_size").over(order.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)),
-        }
-    ).withColumn("_start", F.col("_end") - F.col("_size"))
 
     def position(q: float) -> Column:
         return (F.col("_total") - 1) * F.lit(q)
 
-    wanted = F.array(*[f(position(q)).cast("long") for q in quantiles.values() for f in (F.floor, F.ceil)])
-    needed = offsets.withColumn("_wanted", wanted).filter(
-        F.exists("_wanted", lambda r: (r >= F.col("_start")) & (r < F.col("_end")))
-    )
+    def holds() -> Column:
+        wanted = F.array(*[f(position(q)).cast("long") for q in quantiles.values() for f in (F.floor, F.ceil)])
+        return F.exists(wanted, lambda r: (r >= F.col("_from")) & (r < F.col("_to")))
 
-    renamed = needed.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_bucket").alias("_b"), "_start", "_total"
-    )
-    # Null-safe, so that no not-null filter is derived that would keep the two uses of ``counted``
-    # from sharing one shuffle.
-    same = counted["_bucket"].eqNullSafe(renamed["_b"])
-    for k in keys:
-        same = same & counted[k].eqNullSafe(renamed[f"_k_{k}"])
-    inside = Window.partitionBy(*by_key, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.join(renamed, same).withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
+    if bucket is None:
+        live = _refined(counted, keys, holds, limit)
+    else:
+        counted = counted.withColumn("_sub", F.floor(F.col("_v") / F.lit(bucket)).cast("long"))
+        # Offsets: one number per bucket.
+        parts = _ends(keys, "_sub", counted.groupBy(*keys, "_sub").agg(F.sum("_n").alias("_size")))
+        parts = parts.withColumns({"_total": F.col("_all"), "_from": F.col("_end") - F.col("_size"), "_to": F.col("_end")})
+        needed = parts.filter(holds()).select(*keys, "_sub", F.col("_from").alias("_start"), "_total")
+        # Null-safe, so that the two uses of ``counted`` share one shuffle.
+        same, needed = _same(counted, needed, [*keys, "_sub"])
+        live = counted.join(needed, same).select(*keys, "_v", "_n", "_start", "_total")
+    inside = Window.partitionBy(*by_key, "_start").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = live.withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
     ranked = ranked.withColumn("_from", F.col("_to") - F.col("_n"))
 
     def at(rank: Column) -> Column:

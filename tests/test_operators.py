@@ -113,11 +113,37 @@ def test_quantiles_need_no_bucket_width(spark):
     for k, row in got.items():
         mine = [v for key, v in rows if key == k]
         assert [row[n] for n in "abc"] == pytest.approx([np.quantile(mine, q) for q in (0.25, 0.5, 0.999)], rel=1e-9)
-    counted = df.select(F.col("v").alias("_v")).distinct()
-    bounds = counted.agg(F.percentile_approx("_v", F.array(*[F.lit(i / aggregates.BUCKETS) for i in range(
-        1, aggregates.BUCKETS)]), 10 * aggregates.BUCKETS).alias("_bounds"))
-    sizes = aggregates._stretches(counted.crossJoin(bounds)).groupBy("_bucket").count().agg(F.max("count")).first()[0]
-    assert sizes <= 2 + 2 * counted.count() / aggregates.BUCKETS
+
+
+@pytest.mark.parametrize("limit", [1, 30, 700])
+def test_quantiles_rank_no_more_than_the_limit(spark, monkeypatch, limit):
+    """Long stretches are cut again and again; equal values are one value, and ranks stay exact."""
+    rnd = np.random.RandomState(2)
+    values = np.concatenate([rnd.randint(0, 40, 4000), rnd.randint(0, 10 ** 12, 9000), [10 ** 12] * 3000])
+    rows = [(None if i % 7 == 0 else "hot" if i % 5 else f"k{i % 30}", int(v)) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "k string, v long").repartition(5)
+    seen, real = [], aggregates._refined
+
+    def refined(*args):
+        live = real(*args)
+        seen.append(live.groupBy("k", "_start").count().agg(F.max("count"), F.count("*")).first())
+        return live
+
+    monkeypatch.setattr(aggregates, "_refined", refined)
+    qs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.97, "e": 1.0}
+    got = {r["k"]: r for r in aggregates.exact_quantiles(df, ["k"], "v", qs, limit=limit).collect()}
+    assert set(got) == {k for k, _ in rows}
+    for k, row in got.items():
+        mine = [v for key, v in rows if key == k]
+        assert [row[n] for n in qs] == pytest.approx([np.quantile(mine, q) for q in qs.values()], rel=1e-9)
+    assert seen[0][0] <= limit and seen[0][1] <= 2 * len(qs) * len(got)
+
+
+def test_quantiles_of_values_no_double_tells_apart(spark):
+    df = spark.range(1000).select(F.lit("k").alias("k"), (F.lit(1 << 60) + F.col("id") % 100).alias("v"))
+    row = aggregates.exact_quantiles(df, ["k"], "v", {"low": 0.0, "high": 1.0}, limit=10).first()
+    assert (row["low"], row["high"]) == (float(1 << 60), float((1 << 60) + 99))
+    assert aggregates.exact_quantiles(df.limit(0), ["k"], "v", {"m": 0.5}).count() == 0
 
 
 def test_more_conditions_than_one_mask_holds(spark):
