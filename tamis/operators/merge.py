@@ -13,6 +13,10 @@ def no_id(col: Column) -> Column:
     return F.coalesce(col.cast("string") == "", F.lit(True))
 
 
+def unlisted(query: Column, queries: Sequence[str]) -> Column:
+    return F.coalesce(~query.isin(list(queries)), F.lit(True))
+
+
 def query_rank(query: Column, queries: Sequence[str]) -> Column:
     """Position of a query in the list; queries outside the list come last."""
     found = F.array_position(F.array(*[F.lit(q) for q in queries]), query)
@@ -57,14 +61,18 @@ def funnel(hits: DataFrame, queries: Sequence[str], id_column: str, query_column
     query), ``doublons_dans_requete``, ``sans_id``, ``nombre_couvertes`` and
     ``nombre_exclusives`` (found by this query alone).
 
+    Hits of queries outside the list, or of none, are one more row with a null ``requete``, ranked last as in
+    ``merge_hits``; without such hits it is left out.
+
     One counter per query and id replaces a shuffle per question; the hits without id are one
     group, which the map-side aggregate keeps small.
     """
     col = F.col(id_column)
-    counters = [f"_q{i}" for i in range(len(queries))]
+    counters = [f"_q{i}" for i in range(len(queries) + 1)]
+    by_query = [F.col(query_column) == q for q in queries] + [unlisted(F.col(query_column), queries)]
     per_id = (
         hits.groupBy(F.when(~no_id(col), col).alias("_id"))
-        .agg(*[F.count_if(F.col(query_column) == q).alias(c) for q, c in zip(queries, counters)])
+        .agg(*[F.count_if(found).alias(c) for found, c in zip(by_query, counters)])
         .withColumn("_has_id", F.col("_id").isNotNull())
         .withColumn(
             "_first",
@@ -88,24 +96,32 @@ def funnel(hits: DataFrame, queries: Sequence[str], id_column: str, query_column
     fields = ("resultats_api", "nouvelles", "deja_couvertes", "doublons_dans_requete", "sans_id",
               "nombre_couvertes", "nombre_exclusives")
     rows = [
-        F.struct(F.lit(i + 1).alias("ordre"), F.lit(q).alias("requete"),
+        F.struct(F.lit(i + 1).alias("ordre"), F.lit(q).cast("string").alias("requete"),
                  *[F.col(f"_q{i}_{f}").alias(f) for f in fields])
-        for i, q in enumerate(queries)
+        for i, q in enumerate([*queries, None])
     ]
-    return per_id.agg(*totals).select(F.inline(F.array(*rows)))
+    listed = per_id.agg(*totals).select(F.inline(F.array(*rows)))
+    return listed.filter(F.col("requete").isNotNull() | (F.col("resultats_api") > 0))
 
 
 def coverage(merged: DataFrame, queries: Sequence[str], keywords: str = "search_keywords") -> DataFrame:
-    """Covered and exclusive ids per query, from merged rows; one pass, no explode."""
-    counts = []
+    """Covered and exclusive ids per query, from merged rows; one pass, no explode.
+
+    Ids found by queries outside the list count in a last row with a null ``requete``, which is left out without such ids.
+    """
+    others = F.exists(keywords, lambda q: unlisted(q, queries))
+    only = F.forall(keywords, lambda q: unlisted(q, queries))
+    last = len(queries)
+    counts = [F.count_if(others).alias(f"_c{last}"), F.count_if(others & only).alias(f"_e{last}")]
     for i, q in enumerate(queries):
         counts += [
             F.count_if(F.array_contains(keywords, q)).alias(f"_c{i}"),
             F.count_if(F.col(keywords) == F.array(F.lit(q))).alias(f"_e{i}"),
         ]
     rows = [
-        F.struct(F.lit(q).alias("requete"), F.col(f"_c{i}").alias("nombre_couvertes"),
+        F.struct(F.lit(q).cast("string").alias("requete"), F.col(f"_c{i}").alias("nombre_couvertes"),
                  F.col(f"_e{i}").alias("nombre_exclusives"))
-        for i, q in enumerate(queries)
+        for i, q in enumerate([*queries, None])
     ]
-    return merged.agg(*counts).select(F.inline(F.array(*rows)))
+    listed = merged.agg(*counts).select(F.inline(F.array(*rows)))
+    return listed.filter(F.col("requete").isNotNull() | (F.col("nombre_couvertes") > 0))

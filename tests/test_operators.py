@@ -211,6 +211,19 @@ def test_funnel_lists_queries_without_hits(spark):
         ("q1", 1, 0), ("q2", 2, 0), ("q3", 2, 1), ("q4", 0, 0)]
 
 
+def test_hits_of_other_queries_are_counted_last(spark):
+    df = spark.createDataFrame(HITS, "query string, pos int, id string, payload string")
+    got = [tuple(r) for r in merge.funnel(df, ["q1", "q4"], "id", "query").orderBy("ordre").collect()]
+    # q2 and q3 return A once, B three times, C once and one row without id.
+    assert got == [(1, "q1", 3, 1, 0, 1, 1, 1, 0), (2, "q4", 0, 0, 0, 0, 0, 0, 0), (3, None, 6, 2, 1, 2, 1, 3, 2)]
+    merged = merge.merge_hits(df, ["q1", "q4"], "id", "query", ["pos"])
+    assert [tuple(r) for r in merge.coverage(merged, ["q1", "q4"]).collect()] == [("q1", 1, 0), ("q4", 0, 0), (None, 3, 2)]
+    none = df.withColumn("query", F.lit(None).cast("string"))
+    assert sum(r.resultats_api for r in merge.funnel(none, ["q1"], "id", "query").collect()) == len(HITS)
+    merged = merge.merge_hits(none, ["q1"], "id", "query", ["pos"])
+    assert [tuple(r) for r in merge.coverage(merged, ["q1"]).collect()] == [("q1", 0, 0), (None, 3, 3)]
+
+
 def test_ranks_break_ties_and_put_the_unknown_area_last(spark):
     rows = [(str(i), code) for i, code in enumerate(["NR"] * 5 + ["84"] * 2 + ["11"] * 2 + ["93"] * 3)]
     base = spark.createDataFrame(rows, "id_offre string, code_region_mart string")
