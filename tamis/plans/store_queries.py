@@ -9,7 +9,7 @@ from tamis.plans import layer_queries as layers
 from tamis.plans import medallion
 from tamis.plans import oracle_sql as sql
 from tamis.plans import tables
-from tamis.plans.registry import register
+from tamis.plans.registry import ORACLE, register
 from tamis.session import scratch_path
 from tamis.sources import files, lake, runs, snapshot
 
@@ -258,6 +258,33 @@ register("metric_state", lambda spark, d: runs.metric_state(_metrics(spark, d)),
              from ({_METRICS_SQL}) where ({_RULES}) is null group by 1, 2, 3""")
 
 
+def _stored_metrics(spark, sf_dir):
+    """Three loads: an upsert, rows that are only added, and an upsert of the rest; then the folders are merged."""
+    table = runs.metric_table(spark, scratch_path(spark, "metrics"), buckets=16)
+    valid = runs.normalise_metrics(_metrics(spark, sf_dir)).filter(runs.metric_problem().isNull())
+    load = F.pmod(F.xxhash64("sequence"), F.lit(3))
+    runs.store_metrics(table, valid.filter(load == 0))
+    table.append(valid.filter(load == 1))
+    runs.store_metrics(table, valid.filter(load == 2))
+    table.compact()
+    return table.read()
+
+
+register("metric_upsert", _stored_metrics, ORACLE["metric_state"])
+
+
+def _stored_audit(spark, sf_dir):
+    table = runs.audit_table(spark, scratch_path(spark, "audit-state"), buckets=16)
+    events = spark.sql(_AUDIT, events=tables.table(spark, sf_dir, "events"))
+    late = F.pmod(F.xxhash64("sequence"), F.lit(2)) == 1
+    table.append(events.filter(late))
+    table.append(events.filter(~late))  # earlier events may come after later ones
+    return table.read()
+
+
+register("audit_upsert", _stored_audit, ORACLE["audit_log"])
+
+
 def _report(spark, sf_dir):
     path = scratch_path(spark, "report")
     lake.write_report(profiles.completeness(tables.table(spark, sf_dir, "customer")), path)

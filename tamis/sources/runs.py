@@ -1,17 +1,20 @@
 """Audit log of loads, and state of pipeline runs and metrics from append-only events.
 
 Events are appended, never updated; the state of a key is an aggregate over its events. Two
-writers can append at the same time, and a replayed event changes nothing.
+writers can append at the same time, and a replayed event changes nothing. ``metric_table`` and
+``audit_table`` store that state itself, so that a read does not aggregate the whole history.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamis.functions.rates import report_rate
+from tamis.operators.checks import ContractError
+from tamis.sources.keyed import KeyedTable
 
 
 # Layers and units a metric may carry.
@@ -123,6 +126,25 @@ def metric_state(
     return latest(valid, list(keys), [order])
 
 
+def metric_table(spark: SparkSession, root: str, buckets: int = 64) -> KeyedTable:
+    """Stored metrics, unique by (run, layer, metric)."""
+    return KeyedTable(spark, root, ("pipeline_run_id", "layer", "metric_name"), ("sequence",), buckets=buckets)
+
+
+def store_metrics(table: KeyedTable, metrics: DataFrame) -> int:
+    """Merges normalised metrics into the stored ones; nothing is stored if any row breaks a rule."""
+    rows = normalise_metrics(metrics)
+    broken = rows.select(metric_problem().alias("p")).filter("p is not null").groupBy("p").count().collect()
+    if broken:  # a row per rule
+        raise ContractError(", ".join(f"{r['p']}: {r['count']}" for r in sorted(broken)))
+    return table.upsert(rows)
+
+
+def audit_table(spark: SparkSession, root: str, buckets: int = 64) -> KeyedTable:
+    """Stored runs, unique by run: the outcome of the last event, the earliest start of all."""
+    return KeyedTable(spark, root, ("run_id",), ("sequence",), ("started_at",), buckets)
+
+
 def run_metrics(layers: Mapping[str, DataFrame], key: str, drift: DataFrame, rates: Mapping[str, str],
                 build_ok: bool) -> DataFrame:
     """The 15 figures a finished run reports, as (layer, metric_name, metric_value, metric_unit).
@@ -182,5 +204,5 @@ RATE_METRICS = {
     "company_information_pct": "information_entreprise_disponible",
 }
 
-__all__ = ["RATE_METRICS", "append", "audit_state", "latest", "latest_matching", "metric_checks",
-           "metric_problem", "metric_state", "normalise_metrics", "run_metrics", "run_state"]
+__all__ = ["RATE_METRICS", "append", "audit_state", "audit_table", "latest", "latest_matching", "metric_checks",
+           "metric_problem", "metric_state", "metric_table", "normalise_metrics", "run_metrics", "run_state", "store_metrics"]
