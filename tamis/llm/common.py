@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -130,11 +130,19 @@ class Rolling:
         return mix(self.raw(start, end))
 
 
+def free(name: str, columns: Iterable[str]) -> str:
+    """``name`` with as many underscores in front as it takes to be none of the columns, upper and lower case alike."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def numbered(docs: DataFrame, id_col: str, text_col: str, into: str) -> tuple[DataFrame, bool]:
     """``docs`` with a long ``into`` that orders documents by id, null ids last, and whether no two rows share it for sure.
 
     Unique ids are that number themselves. Otherwise rows get their rank by (id, hash of the text), so rows that share an
-    id are told apart, and only rows that repeat id and text share a number.
+    id are told apart, and only rows that repeat id and text share a number. ``into`` must not be a column of ``docs``.
     """
     seen = docs.groupBy(F.col(id_col).alias("id")).count().filter("count > 1 or id is null")
     if seen.isEmpty():
@@ -147,8 +155,9 @@ def numbered(docs: DataFrame, id_col: str, text_col: str, into: str) -> tuple[Da
     before = F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     sizes = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
     place = F.row_number().over(Window.partitionBy("part").orderBy("o", "x"))
+    o, x, rank = (free(name, docs.columns) for name in ("__o", "__x", "__rank"))
     ranks = ranged.join(sizes, "part").select(
-        F.col("o").alias("__o"), F.col("x").alias("__x"), (F.col("before") + place).alias("__rank"))
-    met = (F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)) == F.col("__o")) & (
-        text_hash(F.col(text_col)) == F.col("__x"))
-    return docs.join(ranks, met).select(*(F.col(f"`{c}`") for c in docs.columns), F.col("__rank").alias(into)), False
+        F.col("o").alias(o), F.col("x").alias(x), (F.col("before") + place).alias(rank))
+    met = (F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)) == F.col(o)) & (
+        text_hash(F.col(text_col)) == F.col(x))
+    return docs.join(ranks, met).select(*(F.col(f"`{c}`") for c in docs.columns), F.col(rank).alias(into)), False

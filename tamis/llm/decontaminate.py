@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import Rolling, byte_view, pieces, written
+from tamis.llm.common import Rolling, byte_view, free, pieces, written
 
 MATCH = "struct<item_id:string,item_word:int,doc_word:int,n_words:int>"
 FOUND = f"struct<n_words:long,hits:array<struct<first:int,last:int>>,items:array<string>,longest:array<{MATCH}>>"
@@ -266,7 +266,7 @@ def find_matches(
 
     A null or empty text has no words and no hits; an item without words never matches; items that share an id count
     once; a null item id is the empty string. Repeated rows are judged one by one and ids of documents play no part. An
-    empty benchmark hits nothing, and empty ``docs`` give no rows.
+    empty benchmark hits nothing, and empty ``docs`` give no rows. A column named like ``into`` is replaced.
     """
     spark = docs.sparkSession
     items = benchmark.select(
@@ -286,8 +286,6 @@ def find_matches(
 
 def without_matches(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without any hit, with their columns as they were."""
-    name = "found"
-    while name in docs.columns:
-        name = "_" + name
+    name = free("found", docs.columns)
     found = find_matches(docs, benchmark, into=name, **options)
     return found.filter(F.size(F.col(name)["hits"]) == 0).drop(name)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import release, text_hash, written
+from tamis.llm.common import free, release, text_hash, written
 
 SENTENCE = 3
 _END = re.compile(rb"[.!?]+(?=[ \t\x0b\x0c\r])|\n")
@@ -140,7 +140,8 @@ def remove_repeats(
 
     A null text stays null and counts as empty. Null ids rank last. Rows that share an id rank alike, so none of them
     is earlier than the other at the same unit; rows that repeat id and text lose the same units. A document may become
-    empty if all of it is repeated. An empty table gives no rows.
+    empty if all of it is repeated. An empty table gives no rows. A column named like ``into`` is replaced, others stay
+    whatever their names.
     """
 
     @F.arrow_udf(REMOVED)
@@ -164,9 +165,9 @@ def remove_repeats(
     first = written(first.select("d1", "d2", "first"), "repeated-units")
     later = ranked.join(first, ["d1", "d2"]).filter(F.col("rank") > F.col("first"))
     # As many numbers as the document has units.
-    own = later.groupBy("o", "x").agg(F.collect_set("unit").alias("__units"))
-    own = own.select(F.col("o").alias("__o"), F.col("x").alias("__x"), "__units")
-    met = (order == F.col("__o")) & (text_hash(F.col(text_col)) == F.col("__x"))
+    o, x, units = (free(name, docs.columns) for name in ("__o", "__x", "__units"))
+    own = later.groupBy(F.col("o").alias(o), F.col("x").alias(x)).agg(F.collect_set("unit").alias(units))
+    met = (order == F.col(o)) & (text_hash(F.col(text_col)) == F.col(x))
     out = docs.join(own, met, "left")
     return out.select(*(F.col(f"`{c}`") for c in docs.columns if c != into),
-                      without(F.col(text_col), F.col("__units")).alias(into))
+                      without(F.col(text_col), F.col(units)).alias(into))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import text_hash
+from tamis.llm.common import free, text_hash
 
 SAMPLE, SLOTS, THRESHOLD = 4000, 4096, 0.35  # below one half: a doubtful document is kept
 # What a word looks like says more about quality than which word it is.
@@ -132,10 +132,13 @@ def label_model(counts: dict[int, int], rounds: int = 200) -> tuple[dict[int, fl
 _SHAPE = {**{c: "x" for c in map(chr, range(97, 123))}, **{c: "X" for c in map(chr, range(65, 91))}, **{c: "9" for c in "0123456789"}}
 
 
-@lru_cache(maxsize=1 << 17)
 def slots(token: str) -> tuple[int, int]:
     """Hashed places of a word and of its shape; slots 0 and 1 are for repetition and for texts without words."""
-    marks = (_SHAPE.get(c) or ("X" if c.isupper() else "x" if c.isalpha() else c) for c in token[:64])
+    return short_slots(token) if len(token) <= 64 else whole_slots(token)  # long ones are not held
+
+
+def whole_slots(token: str) -> tuple[int, int]:
+    marks = (_SHAPE.get(c) or ("X" if c.isupper() else "x" if c.isalpha() else c) for c in token)
     shape: list[str] = []
     for mark in marks:
         if not shape or shape[-1] != mark:
@@ -143,6 +146,9 @@ def slots(token: str) -> tuple[int, int]:
     return tuple(2 + xxhash.xxh32_intdigest(kind + value) % (SLOTS - 2) for kind, value in (("w", token.lower()), ("s", "".join(shape))))
 
 
+short_slots = lru_cache(maxsize=1 << 17)(whole_slots)
+
+
 def features(text: str) -> np.ndarray:
     """Root of each slot's share of the words; for repetition the share itself."""
     tokens = text.split()
@@ -228,7 +234,7 @@ def classify(
     """``docs`` with a column ``into``: the probability that the document is good.
 
     Null and empty texts share a feature of their own and get the same score. Repeated rows get the same score and count
-    as often as they occur; null ids are fine. An empty table gives no rows.
+    as often as they occur; null ids are fine. An empty table gives no rows. A column named like ``into`` is replaced.
     """
     weights = fit(docs, sample, id_col, text_col)[0]
     kept = [F.col(f"`{c}`") for c in docs.columns if c != into]
@@ -237,7 +243,5 @@ def classify(
 
 def keep_good(docs: DataFrame, threshold: float = THRESHOLD, **options) -> DataFrame:
     """The documents that are not rejected, with their columns as they were."""
-    name = "quality_score"
-    while name in docs.columns:
-        name = "_" + name
+    name = free("quality_score", docs.columns)
     return classify(docs, into=name, **options).filter(F.col(name) >= threshold).drop(name)

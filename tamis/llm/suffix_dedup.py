@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import Rolling, byte_view, mix, numbered, pieces
+from tamis.llm.common import Rolling, byte_view, free, mix, numbered, pieces
 from tamis.session import scratch_path
 
 LENGTH, GRAM, BATCHES, CROWD = 100, 16, 4, 1 << 15
@@ -187,12 +187,12 @@ class Index:
         return self.read(*self.results, kind=kind)
 
 
-def listed(batch: pa.RecordBatch, text: str) -> Iterator[tuple]:
+def listed(batch: pa.RecordBatch, text: str, number: str, places: str) -> Iterator[tuple]:
     """Per piece: the bytes, and for each listed anchor its gram, document, ``at``, and first and last start in them."""
     done = 0
     for piece in pieces(batch.column(text)):
-        ids = np.asarray(batch.column("__o").slice(done, len(piece)))
-        lists = batch.column("__at").slice(done, len(piece))
+        ids = np.asarray(batch.column(number).slice(done, len(piece)))
+        lists = batch.column(places).slice(done, len(piece))
         done += len(piece)
         data, bounds = byte_view(piece)
         rows = np.repeat(np.arange(len(piece)), np.asarray(lists.value_lengths()))
@@ -208,12 +208,12 @@ def ranges(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + start[which], which
 
 
-def contexts(length: int, text: str):
+def contexts(length: int, *columns: str):
     """Rows (g, o, at, bytes) of the contexts of listed anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, g, o, at, lo, hi in listed(batch, text):
+            for data, g, o, at, lo, hi in listed(batch, *columns):
                 size = hi - lo + length
                 places, _ = ranges(lo, size)
                 offsets = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
@@ -266,12 +266,12 @@ def compare_contexts(length: int):
     return run
 
 
-def strings(length: int, text: str):
+def strings(length: int, *columns: str):
     """Rows (w, g, o, s) of every string of listed anchors; what a piece itself repeats has the document for ``w``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for data, g, o, at, lo, hi in listed(batch, text):
+            for data, g, o, at, lo, hi in listed(batch, *columns):
                 begin, which = ranges(lo, hi - lo + 1)
                 w = Rolling(data).of(begin, begin + length).view(np.int64)
                 g, o, s = g[which], o[which], begin - lo[which] + unpack(at)[0][which]
@@ -322,20 +322,21 @@ def remove_repeats(
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a document of smaller id, or earlier
     in the same one. Null texts are empty; null ids come last. Rows that share an id are ordered by a hash of their
     texts, and rows that repeat id and text are one document. Strings may cut characters of several bytes, which is why
-    what remains is binary. An empty table gives no rows.
+    what remains is binary. An empty table gives no rows. A column named like ``into`` is replaced, others stay whatever
+    their names.
     """
     if length <= GRAM:
         raise ValueError(f"strings must be longer than {GRAM} bytes")
     own = [F.col(f"`{c}`") for c in docs.columns if c != into]
-    placed, unique = numbered(docs, id_col, text_col, "__o")
-    placed = placed.select("__o", *own)
-    work = placed if unique else placed.dropDuplicates(["__o"])
-    cuts = work.selectExpr(f"percentile_approx(__o, array({', '.join(str(k / batches) for k in range(1, batches))})) as at"
+    number, owner, places, spans = (free(name, docs.columns) for name in ("__o", "__p", "__at", "__gone"))
+    placed, unique = numbered(docs, id_col, text_col, number)
+    work = placed if unique else placed.dropDuplicates([number])
+    cuts = work.selectExpr(f"percentile_approx(`{number}`, array({', '.join(str(k / batches) for k in range(1, batches))})) as at"
                            ).first()["at"] if batches > 1 else []
     limits = [None, *sorted(set(cuts or [])), None]
     index = Index(docs.sparkSession, length)
     for low, high in zip(limits[:-1], limits[1:]):  # a fixed number of batches, whatever the input
-        batch = work.select(F.col("__o").alias("o"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+        batch = work.select(F.col(number).alias("o"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
         if low is not None:
             batch = batch.filter(F.col("o") > low)
         if high is not None:
@@ -348,20 +349,20 @@ def remove_repeats(
 
     def anchored(which) -> DataFrame:
         # Lists are no longer than a document. All joins shuffle the same columns of the texts, so Spark does it once.
-        lists = fine.filter(which).groupBy(F.col("o").alias("__p")).agg(F.collect_list(F.struct("g", "at")).alias("__at"))
-        return work.join(lists, F.col("__o") == F.col("__p"))
+        lists = fine.filter(which).groupBy(F.col("o").alias(owner)).agg(F.collect_list(F.struct("g", "at")).alias(places))
+        return work.join(lists, F.col(number) == F.col(owner))
 
-    cut_from = anchored("many is null").mapInArrow(contexts(length, text_col), "g long, o long, at long, bytes binary")
+    cut_from = anchored("many is null").mapInArrow(contexts(length, text_col, number, places), "g long, o long, at long, bytes binary")
     found = cut_from.repartition("g").sortWithinPartitions("g", "o", "at").mapInArrow(
         compare_contexts(length), "o long, lo long, hi long")
-    crowded = anchored("many").mapInArrow(strings(length, text_col), "w long, g long, o long, s long")
+    crowded = anchored("many").mapInArrow(strings(length, text_col, number, places), "w long, g long, o long, s long")
     found = found.unionByName(crowded.repartition("w").sortWithinPartitions("w", "g", "o", "s").mapInArrow(
         not_first, "o long, lo long, hi long"))
     first = F.shiftright("at", 20)
     gone = index.found("r").select(
         "o", first.alias("lo"), (first + F.shiftright("at", 2).bitwiseAND(F.lit(0x3FFFF).cast("long"))).alias("hi"))
-    gone = gone.unionByName(found).groupBy(F.col("o").alias("__p")).agg(
-        F.collect_list(F.struct("lo", "hi")).alias("__gone"))
+    gone = gone.unionByName(found).groupBy(F.col("o").alias(owner)).agg(
+        F.collect_list(F.struct("lo", "hi")).alias(spans))
 
     @F.arrow_udf(CUT)
     def without(batch: pa.Array, gone: pa.Array) -> pa.Array:
@@ -373,5 +374,5 @@ def remove_repeats(
             out.append(cut(raw, lo, hi + length))
         return pa.array(out, CUT_ARROW)
 
-    out = placed.join(gone, F.col("__o") == F.col("__p"), "left")
-    return out.select(*own, without(F.col(text_col), F.col("__gone")).alias(into))
+    out = placed.join(gone, F.col(number) == F.col(owner), "left")
+    return out.select(*own, without(F.col(text_col), F.col(spans)).alias(into))
