@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from tamis.operators.checks import long_form
 
+MOST_BUCKETS = 1 << 16  # of a comparison by buckets; their numbers are broadcast
+
 
 def layer_bits(layers: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """One row per id with a bit per layer that holds it, and the row count per layer."""
@@ -130,6 +132,66 @@ def compare_rows(
     return grouped.select("id", status.alias("statut"))
 
 
+def _keyed_rows(df: DataFrame, key: str, names: Sequence[str], side: int, buckets: int) -> DataFrame:
+    """Columns to compare, with ``_side`` (1 or -1) and the bucket of the id; rows without one are left out."""
+    text = F.col(f"`{key}`").cast("string")
+    row = F.struct(*[F.col(f"`{c}`") for c in names]).alias("_row")
+    rows = df.filter(text.isNotNull()).select(text.alias("id"), row, F.lit(side).alias("_side"))
+    return rows.withColumn("_bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int"))
+
+
+def _both_sides(source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None, buckets: int):
+    if not 0 < buckets <= MOST_BUCKETS:
+        raise ValueError(f"between 1 and {MOST_BUCKETS} buckets")
+    names = sorted(columns or source.columns)
+    return names, _keyed_rows(source, key, names, 1, buckets), _keyed_rows(target, key, names, -1, buckets)
+
+
+def _balance(names: Sequence[str], sides: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Per key the rows of each side, and whether both hold the same rows as often: the signed sums of digests are 0.
+
+    Sums do not depend on order and combine on the map side, so a task sends a row per key.
+    """
+    both = None
+    for rows in sides:
+        fields = rows.schema["_row"].dataType
+        flat = rows.select("_bucket", "id", "_side", *[F.col(f"_row.`{c}`").alias(f"c{i}") for i, c in enumerate(names)])
+        values = [canonical(T.StructField(f"c{i}", fields[c].dataType)).alias(f"c{i}") for i, c in enumerate(names)]
+        numbers = digest(F.to_json(F.struct("id", *values), {"ignoreNullFields": "false"}))
+        signed = [(c * F.col("_side")).cast("decimal(20,0)").alias(f"_{n}") for n, c in numbers.items()]
+        part = flat.select(*keys, "_side", *signed)
+        both = part if both is None else both.unionByName(part)
+    same = (F.sum("_side") == 0) & (F.sum("_h") == 0) & (F.sum("_l") == 0)
+    return both.groupBy(*keys).agg(
+        F.count_if(F.col("_side") > 0).alias("_ns"), F.count_if(F.col("_side") < 0).alias("_nt"), same.alias("_same"))
+
+
+def differing_buckets(
+    source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None = None, buckets: int = 4096,
+) -> DataFrame:
+    """``_bucket, lignes_source, lignes_cible`` of the buckets of ids in which two tables differ; at most ``buckets`` rows."""
+    names, *sides = _both_sides(source, target, key, columns, buckets)
+    found = _balance(names, sides, ["_bucket"]).filter(~F.col("_same"))
+    return found.select("_bucket", F.col("_ns").alias("lignes_source"), F.col("_nt").alias("lignes_cible"))
+
+
+def changed_rows(
+    source: DataFrame, target: DataFrame, key: str, columns: Sequence[str] | None = None, buckets: int = 4096,
+) -> DataFrame:
+    """One row per id that differs: ``statut`` different, absent or en_trop.
+
+    Two levels of digests: buckets of ids first, then ids of the buckets that differ. Of equal tables only a row per task
+    and bucket is shuffled, and the second level reads nothing; a changed row costs the shuffle of one bucket. Ids are
+    compared by their copies: the same rows as often on both sides are no difference, whatever their order. Null ids are
+    left out, as in ``compare_rows``. Empty tables are equal.
+    """
+    names, *sides = _both_sides(source, target, key, columns, buckets)
+    only = F.broadcast(differing_buckets(source, target, key, columns, buckets).select("_bucket"))
+    found = _balance(names, [s.join(only, "_bucket", "left_semi") for s in sides], ["id"]).filter(~F.col("_same"))
+    status = F.when(F.col("_nt") == 0, "absent").when(F.col("_ns") == 0, "en_trop").otherwise("different")
+    return found.select("id", status.alias("statut"))
+
+
 def comparison_summary(compared: DataFrame, limit: int = 10) -> DataFrame:
     """Counts per outcome, and the first ``limit`` different ids as a report."""
     status = F.col("statut")

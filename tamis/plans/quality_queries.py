@@ -156,6 +156,8 @@ _STATUS = f"""select coalesce(a.c_custkey, b.c_custkey)::varchar as id,
         when a.c_acctbal = b.c_acctbal and a.c_mktsegment is not distinct from b.c_mktsegment then 'identique'
         else 'different' end as statut
     from customer a full join ({_COPY.replace('{customer}', 'customer')}) b on a.c_custkey = b.c_custkey"""
+register("compare_rows_changed", lambda spark, d: identity.changed_rows(*_copy(spark, d), "c_custkey", buckets=256),
+         f"select * from ({_STATUS}) where statut <> 'identique'")
 register("compare_rows", lambda spark, d: identity.compare_rows(*_copy(spark, d), "c_custkey"), _STATUS)
 register(
     "compare_rows_summary",
