@@ -168,25 +168,31 @@ def salary_measures() -> list[Measure]:
     ]
 
 
+def _place(condition: int) -> tuple[str, int]:
+    """Mask and bit of the condition of that number."""
+    return f"_mask{condition // 62}", 1 << condition % 62
+
+
 def combine(offers: DataFrame, measures: Sequence[Measure] | None = None, pay: bool = True) -> Combined:
-    """Rows per (id, categories) with a bit per condition, sums for the means, and bounds of usable pay.
+    """Rows per (id, categories) with a bit per condition (62 to a mask), sums for the means, and bounds of usable pay.
 
     Every mart follows from these rows: an id counts under a condition if any of its rows fulfils it. Offers of one id and
     combination shrink before the shuffle, and origins hold no ids at all.
     """
     measures = all_measures() if measures is None else list(measures)
     keys = [c for c in CATEGORIES if c in offers.columns]
-    if len(measures) > 62:
-        raise ValueError("at most 62 conditions fit into one mask")
-    bits = [F.when(m.condition, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, m in enumerate(measures)]
+    masks = {f"_mask{i}": F.lit(0).cast("long") for i in range(max(1, -(-len(measures) // 62)))}
+    for i, m in enumerate(measures):
+        mask, bit = _place(i)
+        masks[mask] = masks[mask].bitwiseOR(F.when(m.condition, F.lit(bit)).otherwise(F.lit(0)).cast("long"))
     values = {name: F.col(c) for name, c in MEANS.items()}
     if pay:
         values[PAY] = F.when(flags.is_true(F.col("salaire_exploitable")), F.col("salaire_annuel_central"))
-    rows = offers.select("id_offre", *keys, reduce(Column.bitwiseOR, bits).alias("_mask"),
+    rows = offers.select("id_offre", *keys, *[c.alias(n) for n, c in masks.items()],
                          *[c.alias(n) for n, c in values.items()])
     carried = [f(n).alias(f"{n}{s}") for n in values for s, f in (("_somme", F.sum), ("_nombre", F.count))]
     carried += [F.min(PAY).alias("paie_min"), F.max(PAY).alias("paie_max")] if pay else []
-    states = rows.groupBy("id_offre", *keys).agg(F.bit_or("_mask").alias("_mask"), *carried)
+    states = rows.groupBy("id_offre", *keys).agg(*[F.bit_or(n).alias(n) for n in masks], *carried)
     origins = offers.select(*keys, *[F.col(c).alias(n) for n, c in LINEAGE.items()]).distinct()
     return Combined(states, origins, tuple(m.name for m in measures))
 
@@ -209,6 +215,7 @@ def _as_combined(offers: DataFrame | Combined, measures: Sequence[Measure]) -> C
 def _counts(combined: Combined, keys: Mapping[str, Column], names: Sequence[str], total: str,
             spread: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Distinct ids in total and per condition, the carried sums and bounds, covered areas and lineage per key."""
+    masks = [c for c in combined.states.columns if c.startswith("_mask")]
     sums = [c for c in combined.states.columns if c.endswith(("_somme", "_nombre", "_min", "_max"))]
 
     def merged(name: str) -> Column:
@@ -216,12 +223,17 @@ def _counts(combined: Combined, keys: Mapping[str, Column], names: Sequence[str]
         return how(name).alias(name)
 
     per_id = spread(combined.states).select(
-        *[c.alias(n) for n, c in keys.items()], F.col("id_offre").alias("_id"), "_mask", *sums
-    ).groupBy(*keys, "_id").agg(F.bit_or("_mask").alias("_mask"), *map(merged, sums))
-    is_id, bit = F.col("_id").isNotNull(), {n: 1 << i for i, n in enumerate(combined.conditions)}
+        *[c.alias(n) for n, c in keys.items()], F.col("id_offre").alias("_id"), *masks, *sums
+    ).groupBy(*keys, "_id").agg(*[F.bit_or(n).alias(n) for n in masks], *map(merged, sums))
+    is_id, place = F.col("_id").isNotNull(), {n: _place(i) for i, n in enumerate(combined.conditions)}
+
+    def fulfilled(name: str) -> Column:
+        mask, bit = place[name]
+        return F.col(mask).bitwiseAND(F.lit(bit).cast("long")) != 0
+
     counted = per_id.groupBy(*keys).agg(
         F.count_if(is_id).alias(total),
-        *[F.count_if(is_id & (F.col("_mask").bitwiseAND(F.lit(bit[n]).cast("long")) != 0)).alias(n) for n in names],
+        *[F.count_if(is_id & fulfilled(n)).alias(n) for n in names],
         *map(merged, sums))
     code = [F.count_distinct("_code").alias(COVERED)] if "code_departement" in combined.origins.columns else []
     origins = combined.origins.withColumn("_code", F.col("code_departement")) if code else combined.origins

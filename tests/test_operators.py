@@ -84,6 +84,19 @@ def test_all_marts_follow_from_the_combined_rows(spark, seed, tmp_path):
         assert (row["salaire_annuel_min_observe"], row["salaire_annuel_max_observe"]) == (min(pay), max(pay))
 
 
+def test_more_conditions_than_one_mask_holds(spark):
+    data, df = _offers(spark, 5)
+    measures = [marts.Measure(f"m{k}", F.col("salaire_annuel_central") + F.col("anciennete_offre_jours") == k % 20) for k in range(130)]
+    combined = marts.combine(df, measures)
+    assert [c for c in combined.states.columns if c.startswith("_mask")] == ["_mask0", "_mask1", "_mask2"]
+    got = marts._counts(combined, {"k": F.col("famille_metier_data")}, [m.name for m in measures], "n").collect()
+    assert got
+    for row in got:
+        for k in range(130):
+            want = {r[0] for r in data if r[1] == row["k"] and r[0] is not None and int(r[6]) + r[8] == k % 20}
+            assert row[f"m{k}"] == len(want)
+
+
 def test_stored_rows_need_no_further_id_shuffle(spark, tmp_path):
     combined = marts.store(marts.combine(_offers(spark, 3)[1]), str(tmp_path))
     for build in (marts.market_kpis, marts.by_family, marts.by_contract, marts.by_area, marts.by_region):
