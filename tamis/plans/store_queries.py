@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tamis.operators import bronze, dimension, profiles
@@ -19,17 +20,18 @@ BATCH = 5_000  # records per derived batch file
 def _array_files(spark, sf_dir):
     """Records written as JSON arrays, one file per batch, a line per record.
 
-    The lines of a file are written one by one in order, so no batch is ever one value on the writing side.
+    The lines of a file are written one by one in order, so no batch is ever one value on the writing side. The window's
+    shuffle puts a batch into one task; Spark may leave out a ``repartition`` behind a union of tables with that partitioning
+    and then joins their parts with different neighbours, which splits a batch over several files.
     """
     path = scratch_path(spark, "json")
-    lines = layers.clean_records(spark, sf_dir).select(
+    batch = Window.partitionBy("lot").orderBy("n")
+    lines = layers.clean_records(spark, sf_dir).filter("event_id is not null and record is not null").select(
         F.floor(F.col("event_id") / BATCH).alias("lot"), F.col("event_id").alias("n"), "record")
-    ends = lines.groupBy("lot").agg(F.min("n").alias("first"))
-    lines = lines.join(ends, "lot").select("lot", "n", F.concat(
-        F.when(F.col("n") == F.col("first"), F.lit("[")).otherwise(F.lit(",")), "record").alias("value"))
-    closing = ends.select("lot", F.lit((1 << 63) - 1).alias("n"), F.lit("]").alias("value"))
-    lines.unionByName(closing).repartition("lot").sortWithinPartitions("lot", "n").select(
-        "lot", "value").write.partitionBy("lot").text(path)
+    lines = lines.withColumns({"first": F.lag("n").over(batch).isNull(), "last": F.lead("n").over(batch).isNull()})
+    lines = lines.withColumn("value", F.concat(
+        F.when(F.col("first"), F.lit("[")).otherwise(F.lit(",")), "record", F.when(F.col("last"), F.lit("\n]")).otherwise(F.lit(""))))
+    lines.sortWithinPartitions("lot", "n").select("lot", "value").write.partitionBy("lot").text(path)
     return path
 
 

@@ -1,11 +1,13 @@
 """Array files read by byte ranges against the whole file."""
 
+import datetime as dt
 import json
 import random
 
 import pytest
 from pyspark.errors import PySparkException
 
+from tamis.plans import catalogue
 from tamis.sources import files
 
 
@@ -71,3 +73,27 @@ def test_bad_files_fail(spark, tmp_path, text):
         return
     with pytest.raises(PySparkException):
         read(spark, path)
+
+
+@pytest.fixture
+def sorted_joins(spark):
+    """As on large tables: no broadcast, and shuffles of several partitions that are merged by size."""
+    own = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+           "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
+           "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["scan_json_batch", "scan_json_array_split"])
+def test_derived_batches_are_one_file_each(spark, tmp_path, sorted_joins, name):
+    rows = [(i, dt.datetime(2024, 1, 1), i % 7, "view", 1.0, "{}") for i in range(0, 60_000, 20)]
+    rows += [rows[0], rows[250], rows[-1], (None, dt.datetime(2024, 1, 1), 1, "view", 1.0, "{}")]  # repeated ends of batches
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(
+        str(tmp_path / "events.parquet"))
+    found = catalogue.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted(int(r.id) for r in found) == sorted(r[0] for r in rows if r[0] is not None)
