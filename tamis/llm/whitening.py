@@ -129,7 +129,12 @@ def bidiagonalise(multiply: Callable[[np.ndarray], np.ndarray], size: int, total
         if (k >= wanted and settled.all() and outside <= sigma[at - 1] ** 2) or outside <= 1e-14 * total and settled.all():
             break
         betas.append(beta)
-    return sigma[:wanted], right[:wanted] @ v_all, len(alphas)
+    sigma, found = sigma[:wanted], right[:wanted] @ v_all
+    while len(sigma) < min(wanted, size):  # nothing is left outside: the other values are 0
+        rest = orthogonal(random.standard_normal(size))
+        rest /= np.linalg.norm(rest)
+        v_all, found, sigma = np.vstack([v_all, rest]), np.vstack([found, rest]), np.append(sigma, 0.0)
+    return sigma, found, len(alphas)
 
 
 def fit(rows: DataFrame, components: int = COMPONENTS) -> Fit | None:
