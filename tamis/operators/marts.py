@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -173,11 +173,12 @@ def _place(condition: int) -> tuple[str, int]:
     return f"_mask{condition // 62}", 1 << condition % 62
 
 
-def combine(offers: DataFrame, measures: Sequence[Measure] | None = None, pay: bool = True) -> Combined:
+def combine(offers: DataFrame, measures: Sequence[Measure] | None = None, pay: bool = True, buckets: int = 0) -> Combined:
     """Rows per (id, categories) with a bit per condition (62 to a mask), sums for the means, and bounds of usable pay.
 
     Every mart follows from these rows: an id counts under a condition if any of its rows fulfils it. Offers of one id and
-    combination shrink before the shuffle, and origins hold no ids at all.
+    combination shrink before the shuffle, and origins hold no ids at all. With ``buckets`` the narrow rows are dealt by id
+    into as many partitions first, which ``store`` keeps: one shuffle for both, and ids are unique as a rule.
     """
     measures = all_measures() if measures is None else list(measures)
     keys = [c for c in CATEGORIES if c in offers.columns]
@@ -190,6 +191,7 @@ def combine(offers: DataFrame, measures: Sequence[Measure] | None = None, pay: b
         values[PAY] = F.when(flags.is_true(F.col("salaire_exploitable")), F.col("salaire_annuel_central"))
     rows = offers.select("id_offre", *keys, *[c.alias(n) for n, c in masks.items()],
                          *[c.alias(n) for n, c in values.items()])
+    rows = rows.repartition(buckets, "id_offre") if buckets else rows
     carried = [f(n).alias(f"{n}{s}") for n in values for s, f in (("_somme", F.sum), ("_nombre", F.count))]
     carried += [F.min(PAY).alias("paie_min"), F.max(PAY).alias("paie_max")] if pay else []
     states = rows.groupBy("id_offre", *keys).agg(*[F.bit_or(n).alias(n) for n in masks], *carried)
@@ -197,10 +199,15 @@ def combine(offers: DataFrame, measures: Sequence[Measure] | None = None, pay: b
     return Combined(states, origins, tuple(m.name for m in measures))
 
 
+def buckets_of(spark: SparkSession) -> int:
+    """Buckets of the stored rows."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def store(combined: Combined, folder: str) -> Combined:
     """Both tables below ``folder``; states are bucketed by id, so that no mart shuffles ids again."""
     spark = combined.states.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets_of(spark)
     name = f"offer_states_{uuid.uuid4().hex}"
     combined.states.repartition(buckets, "id_offre").write.bucketBy(buckets, "id_offre").option(
         "path", f"{folder}/states").saveAsTable(name)

@@ -209,10 +209,13 @@ register(
 
 
 def _matrix(spark, sf_dir):
-    """A load of the derived silver layer: one batch, one lost row, one changed value."""
-    source = layers._silver(spark, sf_dir).withColumns({
+    """A load of the derived silver layer: one batch, one lost row, one changed value.
+
+    The layer is a table, as in a run: six reads of it parse no record again.
+    """
+    source = tables.stored(spark, sf_dir, "silver_load", lambda: layers._silver(spark, sf_dir).withColumns({
         "fichier_source_silver": F.lit("silver/part.parquet"),
-        "date_chargement": F.lit("2024-02-01 12:00:00").cast("timestamp")})
+        "date_chargement": F.lit("2024-02-01 12:00:00").cast("timestamp")}))
     target = source.filter(F.col("id_offre") != "17").withColumn(
         "description_offre", F.when(F.col("id_offre") == "18", "autre").otherwise(F.col("description_offre")))
     expected = {

@@ -32,14 +32,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Set by callers whose input files are fewer than their cores; otherwise scans keep their own splits.
+# Set by callers that want a certain number.
 INPUT_PARTITIONS = "spark.tamis.inputPartitions"
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The scan in as many partitions as the caller's session asks for, or as it is."""
+    """The scan in as many partitions as the caller's session asks for, or as there are cores.
+
+    A compact table of millions of rows is few splits, while a derived record has many times the bytes and the work of its row.
+    """
     wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
-    return df.repartition(int(wanted)) if wanted else df
+    if wanted:
+        return df.repartition(int(wanted))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def plain(df: DataFrame, drop: tuple[str, ...] = ("date_calcul_kpi",)) -> DataFrame:
@@ -114,7 +120,8 @@ def combined(spark: SparkSession, sf_dir: str) -> marts.Combined:
     """The rows all six marts read, stored with ids in buckets."""
     key = (spark.sparkContext.applicationId, sf_dir, "combined")
     if key not in _LAYERS:
-        _LAYERS[key] = marts.store(marts.combine(salary_facts(spark, sf_dir)), scratch_path(spark, "combined"))
+        rows = marts.combine(salary_facts(spark, sf_dir), buckets=marts.buckets_of(spark))
+        _LAYERS[key] = marts.store(rows, scratch_path(spark, "combined"))
     return _LAYERS[key]
 
 

@@ -6,7 +6,9 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from tamis.operators import marts
 from tamis.operators.checks import ContractError
+from tamis.plans import catalogue, tables
 from tamis.session import scratch_path
 from tamis.sources import files, lake, runs, snapshot
 
@@ -184,3 +186,36 @@ def test_a_writer_that_died_while_publishing_is_passed_over(spark, tmp_path):
     assert snapshot.current_version(spark, root)[0] == 1
     snapshot.replace(load(spark, 3, "r2"), root, "id")
     assert snapshot.current_version(spark, root)[0] == 3 and snapshot.current(spark, root).count() == 3
+
+
+def test_few_splits_are_dealt_over_the_cores(spark, tmp_path):
+    path = str(tmp_path / "events.parquet")
+    spark.range(100).coalesce(1).write.parquet(path)
+    before = spark.conf.get(tables.INPUT_PARTITIONS)
+    spark.conf.unset(tables.INPUT_PARTITIONS)
+    try:
+        dealt = tables.spread(spark.read.parquet(path))
+        assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and dealt.count() == 100
+        many = spark.range(100).repartition(100)
+        assert tables.spread(many) is many
+    finally:
+        spark.conf.set(tables.INPUT_PARTITIONS, before)
+
+
+def test_load_checks_parse_no_record_again(spark, small):
+    matrix = catalogue.QUERIES["load_check_matrix"](spark, small)
+    plan = matrix._jdf.queryExecution().optimizedPlan().toString()
+    assert "parse_json" not in plan.lower() and "parsejson" not in plan.lower() and matrix.count() == 31
+
+
+def test_stored_states_take_one_shuffle(spark, tmp_path):
+    rows = [(str(i % 50), "a" if i % 3 else "b", i % 2 == 0) for i in range(200)] + [(None, "a", True), (None, "a", False)]
+    offers = spark.createDataFrame(rows, "id_offre string, famille_metier_data string, f boolean").withColumns({
+        **{c: F.lit(1.0) for c in marts.MEANS.values()}, **{c: F.lit("x") for c in marts.LINEAGE.values()}})
+    wanted = [marts.Measure("f", F.col("f"))]
+    dealt = marts.combine(offers, wanted, pay=False, buckets=marts.buckets_of(spark))
+    plan = dealt.states.repartition(marts.buckets_of(spark), "id_offre")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    plain = marts.combine(offers, wanted, pay=False).states.collect()
+    kept = marts.store(dealt, str(tmp_path)).states.collect()
+    assert sorted(map(str, kept)) == sorted(map(str, plain)) and len(plain) == 101
