@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tamis.operators import bronze, checks, cleaning, dimension, enrichment, gates, identity, marts, salaries
 from tamis.presets import acquisition, silver
+from tamis.session import scratch_path
 from tamis.sources import lake, snapshot
 
 
@@ -31,11 +32,18 @@ class Run:
                 "schema_version": version, "parent": parent, "parent_hash": parent_hash}
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """A small result over all records that several steps read, as a table, so that it is computed once."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "drift")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def to_bronze(records: DataFrame, run: Run, queries=acquisition.SEARCH_QUERIES) -> DataFrame:
     """Raw gate, drift report, flattening with undeclared fields, create-once write, bronze gate."""
     parsed = bronze.parse(records)
     checks.assert_none(bronze.record_checks(parsed, queries))
-    drift = bronze.schema_drift(parsed)
+    drift = _once(bronze.schema_drift(parsed))
     blocked = drift.filter("bloquant").select(
         F.concat(F.lit("type_"), "champ").alias("controle"), F.col("enregistrements").alias("violations"))
     checks.assert_none(blocked)
@@ -93,7 +101,7 @@ def build_marts(served: DataFrame, reference: DataFrame, run: Run) -> dict[str,
     offers = stored(enrichment.enrich(enrichment.staging(served)), "offres_enrichies")
     priced = stored(salaries.attach_facts(offers.drop("description_offre")), "salaires")
     facts = dimension.attach_area(priced, reference)
-    combined = marts.store(marts.combine(facts), f"{folder}/combined")
+    combined = marts.store(marts.combine(facts, buckets=marts.buckets_of(spark)), f"{folder}/combined")
     return {
         "marche": stored(marts.market_kpis(combined), "marche"),
         "famille": marts.by_family(combined),
