@@ -27,10 +27,10 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tamis.llm.common import Rolling, byte_view, free, mix, numbered, pieces
+from tamis.llm.common import Rolling, byte_view, free, mix, numbered, pieces, written
 from tamis.session import scratch_path
 
 LENGTH, GRAM, BATCHES, CROWD = 100, 16, 4, 1 << 15
@@ -38,6 +38,7 @@ LENGTH, GRAM, BATCHES, CROWD = 100, 16, 4, 1 << 15
 ENTRY = "g long, c long, o long, at long"
 FOUND = "kind string, g long, c long, o long, at long"
 OLD, NEW, GONE = 0, 1, 2
+CODEC = "zstd"  # of the written entries, which are most of what stays on disk
 CUT = "struct<kept:binary,n_bytes:long,spans:array<struct<first:long,last:long>>>"
 CUT_ARROW = pa.struct({"kept": pa.binary(), "n_bytes": pa.int64(),
                        "spans": pa.list_(pa.struct({"first": pa.int64(), "last": pa.int64()}))})
@@ -157,9 +158,12 @@ class Index:
     def __init__(self, spark, length: int = LENGTH):
         self.spark, self.length, self.levels, self.results = spark, length, [], []
 
-    def add(self, batch: DataFrame) -> None:
-        """Scans a batch (``o``, ``t``) along with all levels and adds it to them; ids must exceed those before."""
-        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+    def add(self, batch: DataFrame, last: bool = False) -> None:
+        """Scans a batch (``o``, ``t``) along with all levels and adds it to them; ids must exceed those before.
+
+        The ``last`` batch is scanned alike but makes no level, since nothing is scanned along with it.
+        """
+        while not last and len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, one), (_, two) = self.levels.pop(), self.levels.pop()
             both = self.read(one, two).repartition("g").sortWithinPartitions("g", "c")
             self.levels.append((2 * size, self.write(both)))
@@ -169,13 +173,17 @@ class Index:
             rows = rows.unionByName(old)
         rows = rows.repartition("g").sortWithinPartitions("g", "c", "o", "at")
         path = scratch_path(self.spark, "suffix-scan")
-        rows.mapInArrow(merge_scan, FOUND).write.partitionBy("kind").parquet(path)
+        found = rows.mapInArrow(merge_scan, FOUND)
+        if last:
+            found = found.filter("kind != 'i'")
+        found.write.option("compression", CODEC).partitionBy("kind").parquet(path)
         self.results.append(path)
-        self.levels.append((1, path))
+        if not last:
+            self.levels.append((1, path))
 
     def write(self, df: DataFrame) -> str:
         path = scratch_path(self.spark, "suffix-level")
-        df.withColumn("kind", F.lit("i")).write.partitionBy("kind").parquet(path)
+        df.withColumn("kind", F.lit("i")).write.option("compression", CODEC).partitionBy("kind").parquet(path)
         return path
 
     def read(self, *paths: str, kind: str = "i") -> DataFrame:
@@ -330,6 +338,8 @@ def remove_repeats(
     own = [F.col(f"`{c}`") for c in docs.columns if c != into]
     number, owner, places, spans = (free(name, docs.columns) for name in ("__o", "__p", "__at", "__gone"))
     placed, unique = numbered(docs, id_col, text_col, number)
+    # No number is null, but inner joins filter them and left ones do not; Spark shuffles texts once if both read the same rows.
+    placed = placed.filter(F.col(number).isNotNull())
     work = placed if unique else placed.dropDuplicates([number])
     cuts = work.selectExpr(f"percentile_approx(`{number}`, array({', '.join(str(k / batches) for k in range(1, batches))})) as at"
                            ).first()["at"] if batches > 1 else []
@@ -341,18 +351,19 @@ def remove_repeats(
             batch = batch.filter(F.col("o") > low)
         if high is not None:
             batch = batch.filter(F.col("o") <= high)
-        index.add(batch)
+        index.add(batch, last=high is None)
 
-    fine = index.found("f").select("g", "o", "at").distinct()
-    many = fine.groupBy("g").count().filter(F.col("count") > crowd).select("g", F.lit(True).alias("many"))
-    fine = fine.join(many, "g", "left")
+    # One shuffle by gram for both steps; a window spills groups that do not fit.
+    fine = index.found("f").select("g", "o", "at").repartition("g").distinct()
+    fine = fine.withColumn("many", F.count("*").over(Window.partitionBy("g")) > crowd)
+    fine = written(fine, "suffix-fine")
 
     def anchored(which) -> DataFrame:
-        # Lists are no longer than a document. All joins shuffle the same columns of the texts, so Spark does it once.
+        # Lists are no longer than a document.
         lists = fine.filter(which).groupBy(F.col("o").alias(owner)).agg(F.collect_list(F.struct("g", "at")).alias(places))
         return work.join(lists, F.col(number) == F.col(owner))
 
-    cut_from = anchored("many is null").mapInArrow(contexts(length, text_col, number, places), "g long, o long, at long, bytes binary")
+    cut_from = anchored("not many").mapInArrow(contexts(length, text_col, number, places), "g long, o long, at long, bytes binary")
     found = cut_from.repartition("g").sortWithinPartitions("g", "o", "at").mapInArrow(
         compare_contexts(length), "o long, lo long, hi long")
     crowded = anchored("many").mapInArrow(strings(length, text_col, number, places), "w long, g long, o long, s long")

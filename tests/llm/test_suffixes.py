@@ -57,6 +57,31 @@ def test_index_merges_equal_levels(spark):
     assert sizes == [[1], [1, 1], [2, 1], [2, 1, 1], [4, 1], [4, 1, 1]]
 
 
+def test_last_batch_makes_no_level(spark):
+    index = suffix_dedup.Index(spark, 40)
+    for k in range(3):
+        index.add(spark.createDataFrame([(k, "the same text, all of it, again and again, " * 4)], "o long, t string"), last=k == 2)
+    assert [size for size, _ in index.levels] == [1, 1]  # not even merged
+    assert {r.o for r in index.found("r").select("o").collect()} >= {1, 2}
+    assert index.read(*index.results).filter("o = 2").isEmpty()
+
+
+def test_texts_are_shuffled_once(spark, tmp_path):
+    passage = " ".join(f"w{i}" for i in range(60))
+    texts = [(i, f"{'x' * (i % 9)} head {i * i} {passage[i % 50:]} tail {i ** 3}") for i in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+        found = suffix_dedup.remove_repeats(docs)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert plan.count("FileScan parquet [doc_id") == 1, plan
+        check(docs, texts)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_every_string_has_one_anchor():
     rng = random.Random(2)
     texts = ["".join(rng.choice("ab ") for _ in range(n)) for n in (0, 99, 100, 101, 700, 3, 150)]
