@@ -24,16 +24,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tamis.llm.common import numbered, release, written
 from tamis.llm.components import components
 from tamis.llm.set_groups import (
-    batches_of_sets, digest, grouped, likely_in_cells, links_between, links_inside, minima, odd, set_signatures, sets_of)
+    batches_of_sets, digest, grouped, likely_in_cells, links_between, links_of_texts, marked_rows, minima, odd, set_signatures, sets_of)
 
 CELLS_BITS, BLOCKS = 20, 64
 ORDERS = 3
@@ -134,6 +135,14 @@ def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"t": pa.array(t[keep]), "id": pa.array(ids[keep])})
 
 
+def distinct_cells(rows: DataFrame) -> DataFrame:
+    """The rows ``cell, node`` of cells of several members; of cells with the same members only one."""
+    cells = rows.groupBy("cell").agg(
+        F.count("*").alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit("again"))).alias("y"))
+    cells = cells.filter("k > 1").groupBy("k", "x", "y").agg(F.min("cell").alias("cell"))
+    return rows.join(cells.select("cell"), "cell", "left_semi")
+
+
 def similar(
     docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT,
 ) -> DataFrame:
@@ -163,14 +172,10 @@ def similar(
     for k in range(ORDERS):
         near = classes.select(F.col(f"m{k}").alias("key"), F.col(f"m{(k + 1) % ORDERS}").alias("near"), "node", "n")
         groups.append(written(grouped(near, "near"), "groups"))
-    several = None
-    for k, dealt in enumerate(groups):
-        cell = F.xxhash64(F.lit(k), "key", "first").alias("cell")
-        own = dealt.select(cell, "node")
-        own = own.join(own.groupBy("cell").count().filter("count > 1").select("cell"), "cell")
-        several = own if several is None else several.unionByName(own)
-    several = written(several, "cells")
-    inside = written(links_inside(several, sets_of(texts, several, words, unique), bound), "links")
+    several = reduce(DataFrame.unionByName, (
+        dealt.select(F.xxhash64(F.lit(k), "key", "first").alias("cell"), "node") for k, dealt in enumerate(groups)))
+    several = written(distinct_cells(several), "cells")
+    inside = written(links_of_texts(several, texts, words, unique, bound), "links")
     root = written(components(inside).select(F.col("node").alias("member"), "root"), "roots")
 
     # What a group holds of one component: these are the groups that are met and opened.
@@ -182,11 +187,14 @@ def similar(
 
     sent = texts.mapInArrow(prefixes(words, bound, ranks), "t long, id long")
     sent = written(sent.repartition("t").sortWithinPartitions("t").mapInArrow(repeated, "t long, id long"), "tokens")
-    matrix = sent.join(known, "id").groupBy("t", "g").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("c").alias("c"))
-    matrix = written(matrix, "matrix")
-    open_tokens = matrix.groupBy("t").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("f")).filter("x < y")
-    open_tokens = written(open_tokens.select("t", "f"), "open-tokens")
-    matrix = written(matrix.join(open_tokens.filter(F.col("f") <= frequent).select("t"), "t", "left_semi"), "token-groups")
+    # One shuffle by token serves the rows of the matrix and what is known of each token; a window spills what does not fit.
+    matrix = sent.join(known, "id").select("t", "g", "n", "c").repartition("t").groupBy("t", "g").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("c").alias("c"))
+    of_token = Window.partitionBy("t")
+    matrix = matrix.withColumns({
+        "x": F.min("c").over(of_token), "y": F.max("c").over(of_token), "f": F.count("*").over(of_token)}).filter("x < y")
+    open_tokens = written(matrix.drop("x", "y"), "matrix")
+    matrix = open_tokens.filter(F.col("f") <= frequent)
     one, two = ([F.col(k).alias(f"{side}_{k}") for k in ("g", "lo", "hi", "c")] for side in ("a", "b"))
     fits = (F.col("a_hi") * bound.denominator >= F.col("b_lo") * bound.numerator) & (
         F.col("b_hi") * bound.denominator >= F.col("a_lo") * bound.numerator)
@@ -196,8 +204,11 @@ def similar(
     pairs = written(pairs.filter(F.col("met") >= F.ceil(F.col("lo") / SHARED)).select("a", "b"), "group-pairs")
 
     # Tokens of many groups: their members meet in cells of bounded size and are held against each other by bit maps.
-    often = open_tokens.filter(F.col("f") > frequent).select("t", F.ceil(F.col("f") / SIDE).cast("int").alias("k"))
-    often = sent.join(often, "t").join(known, "id").select("t", "k", "node", "n", "c", "g").dropDuplicates(["t", "node"])
+    often = open_tokens.filter(F.col("f") > frequent).select("t", F.ceil(F.col("f") / SIDE).cast("int").alias("k")).distinct()
+    often = written(often, "frequent-tokens")
+    rows_of = marked_rows(sent.select(F.col("t").alias("id"), F.col("id").alias("row")), often.select(F.col("t").alias("id")))
+    often = rows_of.select(F.col("id").alias("t"), F.col("row").alias("id")).join(often, "t").join(known, "id").select(
+        "t", "k", "node", "n", "c", "g").dropDuplicates(["t", "node"])
     often = written(often, "frequent")
 
     asked = pairs.select(F.col("a").alias("cell")).unionByName(pairs.select(F.col("b").alias("cell")))

@@ -105,6 +105,23 @@ def whole_sets(words: int):
     return run
 
 
+def sets_by_cell(words: int):
+    """Of rows ``id, text, cells``: ``cell, node, found``, the set once for every cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for ids, found, offsets in batches_of_sets(batch, words):
+                cells = batch.column("cells").slice(done, len(ids))
+                done += len(ids)
+                raw = pa.array([found[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())
+                row = pa.array(np.repeat(np.arange(len(ids)), np.asarray(cells.value_lengths())))
+                yield pa.record_batch({"cell": cells.flatten(), "node": ids.take(row), "found": raw.take(row)})
+        release()
+
+    return run
+
+
 MAP_BITS = 26  # of the map of asked ids at most: 8 MB
 
 
@@ -124,11 +141,13 @@ def marked_rows(rows: DataFrame, ids: DataFrame, most: int = MAP_BITS) -> DataFr
 
 
 def sets_of(texts: DataFrame, nodes: DataFrame, words: int, unique: bool) -> DataFrame:
-    """``node, found`` of the rows ``id, text`` whose id is in ``nodes``, written; rows of one id have the same text."""
+    """``node, found`` of the rows ``id, text`` whose id is in ``nodes``, written; rows of one id have the same text.
+
+    Texts of ``unique`` ids are not shuffled at all, and a few others may come along, which the caller's join drops.
+    """
     ids = written(nodes.select(F.col("node").alias("id")).distinct(), "asked")
     # Other texts are not shuffled; a semi join would be pushed below the filter.
-    asked = marked_rows(texts, ids).join(ids, "id")
-    asked = asked if unique else asked.dropDuplicates(["id"])
+    asked = marked_rows(texts, ids) if unique else marked_rows(texts, ids).join(ids, "id").dropDuplicates(["id"])
     return written(asked.mapInArrow(whole_sets(words), "node long, found binary"), "shingle-sets")
 
 
@@ -233,6 +252,19 @@ def links_inside(groups: DataFrame, sets: DataFrame, least: Fraction) -> DataFra
     return met.mapInArrow(links(least), "a long, b long")
 
 
+def links_of_texts(groups: DataFrame, texts: DataFrame, words: int, unique: bool, least: Fraction) -> DataFrame:
+    """As ``links_inside``, with sets made from the rows ``id, text`` once and sent to their groups right away.
+
+    A node is in few groups, so its list of them is short.
+    """
+    ids = written(groups.groupBy(F.col("node").alias("id")).agg(F.collect_list("cell").alias("cells")), "asked")
+    asked = marked_rows(texts, ids).join(ids, "id")
+    asked = asked if unique else asked.dropDuplicates(["id"])
+    met = asked.select("id", "text", "cells").mapInArrow(sets_by_cell(words), "cell long, node long, found binary")
+    met = met.repartition("cell").sortWithinPartitions("cell", "node")
+    return met.mapInArrow(links(least), "a long, b long")
+
+
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per group from ``cell, node, found`` sorted by cell: the union of its sets, and each set as places in it."""
     cell, nodes, held = None, [], []

@@ -91,6 +91,26 @@ def test_odd_rows(odd, none):
     assert jaccard_join.similar(none).collect() == []
 
 
+def test_cells_of_the_same_members_are_taken_once(spark):
+    cells = [(1, 10), (1, 11), (2, 11), (2, 10), (3, 10), (3, 11), (3, 12), (4, 13), (5, 10), (5, 12)]
+    got = jaccard_join.distinct_cells(spark.createDataFrame(cells, "cell long, node long")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.cell, set()).add(r.node)
+    assert by == {1: {10, 11}, 3: {10, 11, 12}, 5: {10, 12}}
+
+
+def test_links_of_texts_are_those_of_sets(spark):
+    rows = copies(5, 20)
+    texts = spark.createDataFrame(rows, "id long, text string")
+    cells = spark.createDataFrame([(i % 7, i) for i, _ in rows] + [(10 + i % 3, i) for i, _ in rows], "cell long, node long")
+    sets = set_groups.sets_of(texts, cells, 5, True)
+    links = [sorted((r.a, r.b) for r in found.collect()) for found in (
+        set_groups.links_inside(cells, sets, Fraction(4, 5)), set_groups.links_of_texts(cells, texts, 5, True, Fraction(4, 5)),
+        set_groups.links_of_texts(cells, texts.unionByName(texts), 5, False, Fraction(4, 5)))]
+    assert links[0] and links[0] == links[1] == links[2]
+
+
 def test_sets_of_a_batch():
     rng = random.Random(6)
     texts = ["".join(rng.choice("aB \n\té\x0b") for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["", " ", "A a"]
