@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import free, release, text_hash, written
+from tamis.llm.common import free, pieces, release, text_hash, written
 
 SENTENCE = 3
 _END = re.compile(rb"[.!?]+(?=[ \t\x0b\x0c\r])|\n")
@@ -146,11 +146,19 @@ def remove_repeats(
 
     @F.arrow_udf(REMOVED)
     def without(texts: pa.Array, repeated: pa.Array) -> pa.Array:
-        out = []
-        for text, own in zip(texts.cast(pa.large_binary()), repeated):
-            found = cut_out(text.as_buffer().to_pybytes() if text.is_valid else b"", set(own.as_py() or ()), min_words, whole_lines)
-            out.append(found if text.is_valid else found | {"text": None})
-        return pa.array(out, REMOVED_ARROW)
+        parts, done = [pa.array([], REMOVED_ARROW)], 0
+        for piece in pieces(texts.cast(pa.large_binary())):
+            out = []
+            for text, own in zip(piece, repeated.slice(done, len(piece))):
+                found = cut_out(text.as_buffer().to_pybytes() if text.is_valid else b"", set(own.as_py() or ()), min_words, whole_lines)
+                out.append(found if text.is_valid else found | {"text": None})
+            done += len(piece)
+            parts.append(pa.array(out, REMOVED_ARROW))
+        release()
+        return pa.concat_arrays(parts)
+
+    # A filter on its result would be pushed below the projection and cut every text twice, in twice as many workers.
+    without = without.asNondeterministic()
 
     order = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
     keys = docs.select(order.alias("o"), text_hash(F.col(text_col)).alias("x"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import free, text_hash
+from tamis.llm.common import free, release, text_hash
 
 SAMPLE, SLOTS, THRESHOLD = 4000, 4096, 0.35  # below one half: a doubtful document is kept
 # What a word looks like says more about quality than which word it is.
@@ -176,6 +176,7 @@ def sparse_features(text: Column) -> Column:
             found = features(text)
             at = np.flatnonzero(found)
             out.append({"at": at.astype(np.int32), "value": found[at]})
+        release()
         return pa.array(out, kind)
 
     return of(F.coalesce(text, F.lit("")))
@@ -205,6 +206,7 @@ def score_column(text: Column, weights: np.ndarray) -> Column:
     @F.arrow_udf("double")
     def of(texts: pa.Array) -> pa.Array:
         raw = [float(features(t) @ weights[:SLOTS] + weights[SLOTS]) for t in texts.to_pylist()]
+        release()
         return pa.array(1 / (1 + np.exp(-np.clip(np.array(raw, float), -50, 50))))
 
     return of(F.coalesce(text, F.lit("")))

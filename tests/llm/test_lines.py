@@ -89,6 +89,14 @@ def test_whole_lines_of_any_length(spark, make):
     assert kept == {i: r.text for i, r in got.items()}
 
 
+def test_texts_are_cut_once(spark, small):
+    import corpus_pipeline
+
+    cut = corpus_pipeline.cut_repeats(spark, spark.read.parquet(f"{small}/documents.parquet"), small)
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1, plan
+
+
 def test_whole_lines_before_blanks_and_carriage_returns(make):
     got = {r.doc_id: r.repeats.text for r in repeats(make([
         (1, "All rights are reserved.\r\nOne text here.\r\n"), (2, "Two texts here. \nAll rights are reserved. \nThree more.")]),
