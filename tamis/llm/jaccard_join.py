@@ -213,7 +213,7 @@ def similar(
 
     asked = pairs.select(F.col("a").alias("cell")).unionByName(pairs.select(F.col("b").alias("cell")))
     asked = asked.unionByName(often.select(F.col("g").alias("cell"))).distinct()
-    members = known.filter(F.col("id") == F.col("node")).select(F.col("g").alias("cell"), "node").join(asked, "cell", "left_semi")
+    members = known.filter(F.col("id") == F.col("node")).select(F.col("g").alias("cell"), "node", F.col("c").alias("root")).join(asked, "cell", "left_semi")
     members = written(members, "opened")
     sets = sets_of(texts, members, words, unique)
     bits = sets.join(often.select("node").distinct(), "node", "left_semi").mapInArrow(set_signatures, "node long, bits binary")

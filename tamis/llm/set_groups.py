@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tamis.llm.common import Rolling, byte_view, mix, pieces, release, written
+from tamis.llm.common import Rolling, byte_view, free, mix, pieces, release, written
 
 PIECE = 1 << 18
 MEMBERS, TOKENS = 64, 1 << 17  # of a group; one larger set is a group of its own
@@ -140,6 +140,30 @@ def marked_rows(rows: DataFrame, ids: DataFrame, most: int = MAP_BITS) -> DataFr
     return met.withColumn("byte", byte).filter(hit).drop("page", "place", "map", "byte")
 
 
+def rows_without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """The rows whose long ``key`` is not among the distinct ``id`` of ``ids``.
+
+    Rows that a bit map as in ``marked_rows`` does not mark are not shuffled, whatever the size of ``ids``.
+    """
+    bits = 1 << min(MAP_BITS, max(15, (16 * ids.count()).bit_length()))
+    page, bitmap, gone = (free(name, rows.columns) for name in ("__page", "__map", "__gone"))
+
+    def at(column: str) -> tuple[F.Column, F.Column]:
+        h = F.pmod(F.xxhash64(F.col(f"`{column}`")), F.lit(bits).cast("long"))
+        return F.shiftright(h, 15), h.bitwiseAND(F.lit(32767).cast("long"))
+
+    here, place = at("id")
+    maps = ids.groupBy(here.alias(page)).agg(F.bitmap_construct_agg(place).alias(bitmap))
+    here, place = at(key)
+    byte = F.conv(F.hex(F.substring(F.col(bitmap), F.shiftright(place, 3).cast("int") + 1, 1)), 16, 10).cast("long")
+    marked = F.coalesce(byte.bitwiseAND(F.pow(F.lit(2), place.bitwiseAND(F.lit(7).cast("long"))).cast("long")) != 0, F.lit(False))
+    met = rows.join(F.broadcast(maps), here == F.col(page), "left")
+    # An anti join would be pushed below the filter.
+    asked = met.filter(marked).join(ids.select(F.col("id").alias(gone)), F.col(f"`{key}`") == F.col(gone), "left").filter(F.col(gone).isNull())
+    own = [F.col(f"`{c}`") for c in rows.columns]
+    return met.filter(~marked).select(*own).unionByName(asked.select(*own))
+
+
 def sets_of(texts: DataFrame, nodes: DataFrame, words: int, unique: bool) -> DataFrame:
     """``node, found`` of the rows ``id, text`` whose id is in ``nodes``, written; rows of one id have the same text."""
     ids = written(nodes.select(F.col("node").alias("id")).distinct(), "asked")
@@ -237,10 +261,10 @@ def links(least: Fraction):
 
 
 def with_sets(groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """``cell, node, found`` of the members of groups; sets of other nodes are not shuffled."""
+    """The columns of ``groups`` (``cell, node, ...``) and ``found`` of the members; sets of other nodes are not shuffled."""
     ids = written(groups.select(F.col("node").alias("id")).distinct(), "asked")
     own = marked_rows(sets.withColumnRenamed("node", "id"), ids).withColumnRenamed("id", "node")
-    return groups.join(own, "node").select("cell", "node", "found")
+    return groups.join(own, "node").select(*groups.columns, "found")
 
 
 def links_inside(groups: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
@@ -264,39 +288,41 @@ def links_of_texts(groups: DataFrame, texts: DataFrame, words: int, unique: bool
 
 
 def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per group from ``cell, node, found`` sorted by cell: the union of its sets, and each set as places in it."""
-    cell, nodes, held = None, [], []
+    """A row per group from ``cell, root, found`` sorted by cell: the union of its sets, and each set as places in it."""
+    cell, roots, held = None, [], []
 
     def close() -> Iterator[pa.RecordBatch]:
-        if nodes:
+        if roots:
             values = np.frombuffer(b"".join(held), np.uint64)
             union, places = np.unique(values, return_inverse=True)
             yield pa.record_batch({
-                "cell": pa.array([cell], pa.int64()), "nodes": pa.array([nodes], pa.list_(pa.int64())),
+                "cell": pa.array([cell], pa.int64()), "roots": pa.array([roots], pa.list_(pa.int64())),
                 "sizes": pa.array([[len(h) // 8 for h in held]], pa.list_(pa.int32())),
                 "tokens": pa.array([union.tobytes()], pa.binary()),
                 "places": pa.array([places.astype(np.int32).tobytes()], pa.binary())})
 
     for batch in batches:
-        for here, node, found in zip(*(batch.column(k) for k in ("cell", "node", "found"))):
+        for here, root, found in zip(*(batch.column(k) for k in ("cell", "root", "found"))):
             if here.as_py() != cell:
                 yield from close()
-                cell, nodes, held = here.as_py(), [], []
-            nodes.append(node.as_py())
+                cell, roots, held = here.as_py(), [], []
+            roots.append(root.as_py())
             held.append(found.as_py())
     yield from close()
 
 
-PACK = ("nodes", "sizes", "tokens", "places")
+PACK = ("roots", "sizes", "tokens", "places")
 
 
 def between(one: tuple, two: tuple, least: Fraction) -> list[tuple[int, int]]:
-    """A forest over the links between two groups, given as nodes, sizes, tokens and places.
+    """A forest over the links between two groups, given as names, sizes, tokens and places.
 
-    A set is first held against the other group's union: what it shares with no member cannot be shared with one.
+    Sets of one name are linked already, so only links between names are returned, and a set whose name is linked with all
+    names of the other group is passed over. It is first held against the other group's union: what it shares with no
+    member cannot be shared with one.
     """
-    (nodes, sizes, tokens, places), (others, other_sizes, other_tokens, other_places) = one, two
-    root = {("a", n): ("a", n) for n in nodes} | {("b", n): ("b", n) for n in others}
+    (names, sizes, tokens, places), (others, other_sizes, other_tokens, other_places) = one, two
+    root, kinds = {n: n for n in (*names, *others)}, set(others)
 
     def top(x):
         while root[x] != x:
@@ -308,9 +334,11 @@ def between(one: tuple, two: tuple, least: Fraction) -> list[tuple[int, int]]:
     where = np.where(known, at, -1)  # place in the other union of each token
     ends = np.cumsum(other_sizes)
     out, start = [], 0
-    for node, size in zip(nodes, sizes):
-        own = where[places[start:start + size]]
+    for name, size in zip(names, sizes):
         start += size
+        if all(top(k) == top(name) for k in kinds):
+            continue
+        own = where[places[start - size:start]]
         own = own[own >= 0]
         if len(own) * least.denominator < size * least.numerator:
             continue  # the bound: this group cannot hold a similar set
@@ -318,11 +346,10 @@ def between(one: tuple, two: tuple, least: Fraction) -> list[tuple[int, int]]:
         mask[own] = True
         both = np.add.reduceat(mask[other_places].astype(np.int64), ends - other_sizes)
         for k in np.flatnonzero(both * least.denominator >= (size + other_sizes - both) * least.numerator):
-            x, y = top(("a", node)), top(("b", others[k]))
+            x, y = top(name), top(others[k])
             if x != y:
                 root[x] = y
-                if node != others[k]:
-                    out.append((node, others[k]))
+                out.append((name, others[k]))
     return out
 
 
@@ -333,8 +360,8 @@ def opened(least: Fraction):
             for row in range(batch.num_rows):
                 groups = []
                 for side in ("a", "b"):
-                    nodes, sizes, tokens, places = (batch.column(f"{side}_{k}")[row] for k in PACK)
-                    groups.append((nodes.as_py(), np.array(sizes.as_py(), np.int64), np.frombuffer(tokens.as_buffer(), np.uint64),
+                    names, sizes, tokens, places = (batch.column(f"{side}_{k}")[row] for k in PACK)
+                    groups.append((names.as_py(), np.array(sizes.as_py(), np.int64), np.frombuffer(tokens.as_buffer(), np.uint64),
                                    np.frombuffer(places.as_buffer(), np.int32)))
                 out.extend(between(*groups, least))
             yield pa.record_batch({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
@@ -462,13 +489,14 @@ def with_groups(pairs: DataFrame, groups: DataFrame, names: tuple[str, ...]) ->
 
 
 def links_between(pairs: DataFrame, groups: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
-    """Links between the groups of each pair (``a, b``); ``groups`` has ``cell, node`` of all of them.
+    """Links between the groups of each pair (``a, b``); ``groups`` has ``cell, node, root`` of all of them.
 
+    Nodes of one root are linked already. A link is given as two roots, so a pair makes fewer links than it has roots.
     Pairs are first bounded by signatures, a byte or two a hash; only groups that may have a link are sent whole.
     """
     met = with_sets(groups, sets)
     packs = written(met.repartition("cell").sortWithinPartitions("cell", "node").mapInArrow(
-        packed, "cell long, nodes array<long>, sizes array<int>, tokens binary, places binary"), "packs")
+        packed, "cell long, roots array<long>, sizes array<int>, tokens binary, places binary"), "packs")
     signs = written(packs.select("cell", "sizes", "tokens", "places").mapInArrow(
         signed, "cell long, sizes array<int>, bits array<binary>"), "signatures")
     pairs = written(with_groups(pairs, signs, ("sizes", "bits")).mapInArrow(likely(least), "a long, b long"), "likely-pairs")

@@ -6,6 +6,7 @@ import corpus_pipeline
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from test_matches import plain as plain_matches
 
 from tamis.llm import near_copies, set_groups
@@ -97,6 +98,60 @@ def test_traffic_follows_the_input(spark, make, monkeypatch):
     assert sum(sent) <= 5 * len(texts)  # of 20 bands
 
 
+@pytest.mark.parametrize("members", [3, 64])
+def test_links_between_groups_follow_components(make, monkeypatch, members):
+    """Near copies and some less similar texts in the same cells: pairs of groups send no links of texts that are linked."""
+    plain, sent = set_groups.grouped, []
+    monkeypatch.setattr(near_copies, "grouped", lambda rows: plain(rows, members=3))
+    monkeypatch.setattr(set_groups, "grouped", lambda rows, *near: plain(rows, *near, members=members))
+    monkeypatch.setattr(near_copies, "links_between", lambda *given: (
+        links := written(set_groups.links_between(*given), "test-links"), sent.append((given[0].count(), links.count())))[0])
+    words = [f"w{i * i % 9973}" for i in range(300)]
+    texts = [(k, " ".join([*words, f"one{k}"])) for k in range(60)]
+    texts += [(100 + k, " ".join(f"more{k}of{i}" if i % 33 == 5 + 3 * k else w for i, w in enumerate(words))) for k in range(9)]
+    assert sorted(r.id for r in near_copies.first_of_copies(make(texts)).collect()) == plain_first(texts) == [0, *range(100, 109)]
+    (pairs, links), = sent
+    assert 0 < pairs and links <= 5
+
+
+def test_links_between_components():
+    """A link is a pair of components, found once in a pair of groups, also by a group and itself."""
+    own = np.arange(20, dtype=np.uint64)
+    sets = [own, own[1:], own[5:], own[6:]]
+    group = lambda names, sets: (names, np.array([len(s) for s in sets]), np.unique(np.concatenate(sets)),
+                                 np.searchsorted(np.unique(np.concatenate(sets)), np.concatenate(sets)))
+    least = Fraction(4, 5)
+    assert set_groups.between(group([1, 1], sets[:2]), group([1, 1], sets[:2]), least) == []
+    assert set_groups.between(group([1, 1], sets[:2]), group([2, 2], sets[:2]), least) == [(1, 2)]
+    assert set_groups.between(group([1, 2], sets[:2]), group([1, 2], sets[:2]), least) == [(1, 2)]
+    assert set_groups.between(group([1, 3], [sets[0], sets[2]]), group([1, 3], [sets[0], sets[2]]), least) == []
+    assert set_groups.between(group([1, 2], [sets[0], sets[3]]), group([2, 4], [sets[3], sets[2]]), least) == [(2, 4)]
+
+
+def test_texts_that_stay_are_not_shuffled(spark, make, small):
+    """Whatever the size of the list of copies: without broadcast joins most texts keep their partition."""
+    texts = [(k, " ".join(f"w{i}of{k if k % 10 else 0}" for i in range(30))) for k in range(2000)]
+    docs = written(make(texts).repartition(8), "test-texts")
+    at = lambda rows: {r.doc_id: r.p for r in rows.select("doc_id", F.spark_partition_id().alias("p")).collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        there, kept = at(docs), at(corpus_pipeline.drop_near_duplicates(spark, docs, small))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(kept) == sorted(k for k in range(2000) if k % 10 or not k)
+    assert sum(there[k] == p for k, p in kept.items()) > 0.8 * len(kept)
+
+
+def test_rows_without(spark):
+    rows = spark.range(0, 3000, 1, 4).selectExpr("id as __page", "id as id", "id % 700 as `a.key`", "'x' as map", "id as __GONE")
+    ids = spark.range(0, 700, 3)
+    got = sorted(tuple(r) for r in set_groups.rows_without(rows, ids, "a.key").collect())
+    assert got == sorted(tuple(r) for r in rows.collect() if r["a.key"] % 3)
+    assert set_groups.rows_without(rows, ids.limit(0), "a.key").count() == 3000
+    assert set_groups.rows_without(rows, spark.range(700), "a.key").collect() == []
+
+
 def test_odd_rows(odd, none):
     kept = near_copies.first_of_copies(odd.filter("doc_id is not null and doc_id <> 4"))
     assert sorted(r.id for r in kept.collect()) == [-3, 1, 5, 6, 7]
