@@ -143,20 +143,14 @@ def distinct_cells(rows: DataFrame) -> DataFrame:
     return rows.join(cells.select("cell"), "cell", "left_semi")
 
 
-def similar(
-    docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT,
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id``, one row per input row.
+def linked_classes(
+    texts: DataFrame, words: int, bound: Fraction, unique: bool, linked: DataFrame | None = None, frequent: int = FREQUENT,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of rows ``id, text``: each id with its size ``n``, each with its class ``node``, and ``node, root`` of all links.
 
-    Rows are linked if the sets of their shingles have a share of ``least`` or more of their union in common; ``component_id``
-    is the smallest id that links lead to, the row's own included. Null and empty texts and texts without words have no
-    shingles and are linked with nothing. Null ids come last and never name a component that has another id; rows that share
-    an id are told apart by their texts, and rows that repeat id and text are linked like others. An empty table gives no
-    rows. Other columns are not looked at.
+    A class is the texts of one set that is not empty, named by its smallest id. ``linked`` has ``node, root`` of classes that
+    are linked already, however found, instead of the groups' own links; what it lacks is found.
     """
-    bound = Fraction(least).limit_denominator(10**6)
-    placed, unique = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text", "id")
-    texts = placed.select("id", F.coalesce("text", F.lit("")).alias("text"))
     rows = written(texts.mapInArrow(described(words), DESCRIBED), "described")
     counts = rows.filter("block is not null").select("block", "counts").repartition(BLOCKS, "block")
     ranks = np.zeros((BLOCKS, (1 << CELLS_BITS) // BLOCKS), np.uint8)
@@ -169,14 +163,15 @@ def similar(
     classes = written(full.groupBy("d1", "d2").agg(F.min("id").alias("node"), *(
         F.min(c).alias(c) for c in ("n", "m0", "m1", "m2"))), "classes")
     groups = []
-    for k in range(ORDERS):
+    for k in range(ORDERS if linked is None else 1):
         near = classes.select(F.col(f"m{k}").alias("key"), F.col(f"m{(k + 1) % ORDERS}").alias("near"), "node", "n")
         groups.append(written(grouped(near, "near"), "groups"))
-    several = reduce(DataFrame.unionByName, (
-        dealt.select(F.xxhash64(F.lit(k), "key", "first").alias("cell"), "node") for k, dealt in enumerate(groups)))
-    several = written(distinct_cells(several), "cells")
-    inside = written(links_of_texts(several, texts, words, unique, bound), "links")
-    root = written(components(inside).select(F.col("node").alias("member"), "root"), "roots")
+    if linked is None:
+        several = reduce(DataFrame.unionByName, (
+            dealt.select(F.xxhash64(F.lit(k), "key", "first").alias("cell"), "node") for k, dealt in enumerate(groups)))
+        several = written(distinct_cells(several), "cells")
+        linked = components(written(links_of_texts(several, texts, words, unique, bound), "links"))
+    root = written(linked.select(F.col("node").alias("member"), "root"), "roots")
 
     # What a group holds of one component: these are the groups that are met and opened.
     dealt = groups[0].filter("own").select("key", "first", F.col("node").alias("member_of"))
@@ -194,6 +189,8 @@ def similar(
     matrix = matrix.withColumns({
         "x": F.min("c").over(of_token), "y": F.max("c").over(of_token), "f": F.count("*").over(of_token)}).filter("x < y")
     open_tokens = written(matrix.drop("x", "y"), "matrix")
+    if open_tokens.isEmpty():  # no token of two components
+        return rows, known, root.select(F.col("member").alias("node"), "root")
     matrix = open_tokens.filter(F.col("f") <= frequent)
     one, two = ([F.col(k).alias(f"{side}_{k}") for k in ("g", "lo", "hi", "c")] for side in ("a", "b"))
     fits = (F.col("a_hi") * bound.denominator >= F.col("b_lo") * bound.numerator) & (
@@ -225,7 +222,24 @@ def similar(
     cells = cells.repartition("t", "low", "high").sortWithinPartitions("t", "low", "high")
     pairs = pairs.unionByName(cells.mapInArrow(likely_in_cells(bound), "a long, b long")).distinct()
     found = links_between(pairs, members, sets, bound)
-    roots = components(root.select(F.col("member").alias("a"), F.col("root").alias("b")).unionByName(found))
+    return rows, known, components(root.select(F.col("member").alias("a"), F.col("root").alias("b")).unionByName(found))
+
+
+def similar(
+    docs: DataFrame, words: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT,
+) -> DataFrame:
+    """``doc_id, n_shingles, component_id``, one row per input row.
+
+    Rows are linked if the sets of their shingles have a share of ``least`` or more of their union in common; ``component_id``
+    is the smallest id that links lead to, the row's own included. Null and empty texts and texts without words have no
+    shingles and are linked with nothing. Null ids come last and never name a component that has another id; rows that share
+    an id are told apart by their texts, and rows that repeat id and text are linked like others. An empty table gives no
+    rows. Other columns are not looked at.
+    """
+    bound = Fraction(least).limit_denominator(10**6)
+    placed, unique = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text", "id")
+    texts = placed.select("id", F.coalesce("text", F.lit("")).alias("text"))
+    rows, known, roots = linked_classes(texts, words, bound, unique, frequent=frequent)
     label = known.select("id", "node").join(roots, "node", "left").select("id", F.coalesce("root", "node").alias("root"))
     label = written(label, "labels")
 

@@ -58,6 +58,18 @@ def test_stage_looks_at_shingles(spark, make, small):
     assert kept == plain_first(texts) == sorted(k * 100 + j for k in range(20) for j in (0, 2))
 
 
+def test_pairs_without_a_common_band(spark, make, small):
+    """Texts with 40 of 50 shingles in common whose MinHash bands all differ are linked like others."""
+    texts = []
+    for k in (2453, 4550, 1):  # the last one shares a band
+        words = [f"w{i}of{k}" for i in range(49)]
+        texts += [(2 * k, " ".join(words)), (2 * k + 1, " ".join([*words[:24], f"other{k}", *words[25:]]))]
+    keys = near_copies.band_keys(*set_groups.shingle_sets(pa.array([t for _, t in texts])))
+    assert [bool((keys[j] == keys[j + 1]).any()) for j in (0, 2, 4)] == [False, False, True]
+    kept = corpus_pipeline.drop_near_duplicates(spark, make(texts), small)
+    assert sorted(r.doc_id for r in kept.collect()) == plain_first(texts) == [2, 4906, 9100]
+
+
 def test_large_cells_and_chains():
     rng = np.random.RandomState(1)
     base = np.unique(rng.randint(0, 2**62, 200, dtype=np.int64).astype(np.uint64))
