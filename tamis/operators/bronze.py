@@ -16,6 +16,7 @@ from tamis.operators.checks import count_of, long_form
 from tamis.presets import acquisition as preset
 
 VALUE = "_value"
+_WHOLE = "_whole"
 
 
 def parse(records: DataFrame, record: str = "record") -> DataFrame:
@@ -29,6 +30,12 @@ def field(*keys: str, kind: str = "string") -> Column:
     return F.try_variant_get(F.col(VALUE), path, kind)
 
 
+def struct_type(tree: Mapping[str, str | Mapping[str, str]]) -> str:
+    """DDL of a struct of these fields."""
+    fields = (f"`{n.replace('`', '``')}`: {struct_type(t) if isinstance(t, Mapping) else t}" for n, t in tree.items())
+    return f"struct<{', '.join(fields)}>"
+
+
 def json_text(col: Column) -> Column:
     """Text stays as it is, other structures become JSON text (for struct, array and map columns)."""
     return F.to_json(col, {"ignoreNullFields": "false"})
@@ -48,16 +55,36 @@ def flatten(
     ``raw_record`` is the input text as it came. Comparisons bring it to a canonical form themselves.
     """
 
-    def typed(name: str, *keys: str) -> Column:
-        kind = types[name].simpleString() if name in types else "string"
-        return field(*keys, kind=kind).alias(name)
-
     children = {f"{parent}_{child}": (parent, child) for parent, kids in nested.items() for child in kids}
-    columns = [typed(name, *keys) for name, keys in children.items()]
     declared = dict.fromkeys([*scalars, *(n for n in types if n not in children), *json_fields])
-    columns += [typed(name, name) for name in declared]
-    columns += [typed(name, name) for name in extra if name not in declared and name not in nested]
-    kept = [c for c in parsed.columns if c not in (VALUE, record)]
+    paths = {name: (name,) for name in [*declared, *(n for n in extra if n not in declared and n not in nested)]}
+    paths = {**children, **paths}
+
+    def kind(name: str) -> str:
+        return types[name].simpleString() if name in types else "string"
+
+    tree: dict[str, str | dict[str, str]] = {}
+    for name, (top, *below) in paths.items():
+        if below:
+            tree.setdefault(top, {})[below[0]] = kind(name)
+        else:
+            tree[top] = kind(name)
+    # One walk over the fields of a record; a path of its own for each would search them again for every column.
+    whole = F.try_variant_get(F.col(VALUE), "$", struct_type(tree))
+    names = [n.lower() for n in tree] + [f"{n.lower()}.{k.lower()}" for n, kids in tree.items() if isinstance(kids, dict) for k in kids]
+    walked = len(set(names)) == len(names)  # names that differ by case alone are read by path
+
+    def typed(name: str, keys: tuple[str, ...]) -> Column:
+        if not walked:
+            return field(*keys, kind=kind(name)).alias(name)
+        value = F.col(_WHOLE)
+        for key in keys:
+            value = value.getField(key)
+        return value.alias(name)
+
+    columns = [typed(name, keys) for name, keys in paths.items()]
+    parsed = parsed.withColumn(_WHOLE, whole) if walked else parsed
+    kept = [c for c in parsed.columns if c not in (VALUE, _WHOLE, record)]
     return parsed.select(*kept, *columns, F.col(record).alias("raw_record"))
 
 
@@ -87,7 +114,8 @@ def with_lineage(
 
 def top_level_keys(parsed: DataFrame) -> DataFrame:
     """Keys of the batch with the number of records that carry them."""
-    keys = F.explode(F.json_object_keys(F.to_json(VALUE)))
+    # Keys come from the first level alone; the values need not become text.
+    keys = F.explode(F.map_keys(F.try_variant_get(F.col(VALUE), "$", "map<string, variant>")))
     return parsed.select(keys.alias("cle")).groupBy("cle").agg(F.count(F.lit(1)).alias("enregistrements"))
 
 
@@ -115,7 +143,7 @@ def schema_drift(
     for name, expected in nested.items():
         value = field(name, kind="variant")
         filled = value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(False))
-        keys = F.json_object_keys(F.to_json(value))
+        keys = F.map_keys(F.try_variant_get(value, "$", "map<string, variant>"))
         unexpected = F.array_except(keys, F.array(*[F.lit(e) for e in expected]))
         is_object = F.schema_of_variant(value).startswith("OBJECT")
         found.append(

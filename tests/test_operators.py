@@ -388,3 +388,28 @@ def test_missing_counts_blank_text_and_empty_lists(spark):
     df = spark.createDataFrame([(" ", [], float("nan")), (None, None, 1.0), ("x", [1], None)],
                                "s string, l array<int>, d double")
     assert {r["colonne"]: r["missing_count"] for r in profiles.completeness(df).collect()} == {"s": 2, "l": 2, "d": 2}
+
+
+def test_flatten_walks_a_record_once(spark):
+    """One read of the whole record gives what a path of its own gives for every column, odd values included."""
+    rows = [
+        '{"id":5,"alternance":"true","nombrePostes":"3","lieuTravail":{"libelle":{"a":[1]},"latitude":"1.5"},"x y":1,"a.b":[2]}',
+        '{"id":1.50,"alternance":1,"nombrePostes":2.7,"lieuTravail":"Paris","salaire":[1],"entreprise":null,"ID":"big"}',
+        '{"id":{"b":1,"a":"\\u00e9"},"nombrePostes":99999999999999999999,"lieuTravail":{"LIBELLE":"up"}}', "[1]", "null", "oops", None]
+    parsed = bronze.parse(spark.createDataFrame([(r,) for r in rows], "record string").repartition(1))
+    flat = bronze.flatten(parsed, extra=("x y", "a.b"))
+    assert flat._jdf.queryExecution().optimizedPlan().toString().count("variant_get(") == 1
+    names = {"lieuTravail_libelle": ("lieuTravail", "libelle"), "salaire_libelle": ("salaire", "libelle"), "id": ("id",), "a.b": ("a.b",),
+             "x y": ("x y",), "entreprise_nom": ("entreprise", "nom")}
+    kinds = {"alternance": "boolean", "nombrePostes": "bigint"}
+    by_path = parsed.select(*(bronze.field(*keys).alias(n) for n, keys in names.items()),
+                            *(bronze.field(n, kind=k).alias(n) for n, k in kinds.items()))
+    assert flat.select(*(f"`{n}`" for n in [*names, *kinds])).collect() == by_path.collect()
+    assert "Zeta" in bronze.flatten(parsed, extra=("zeta", "Zeta")).columns  # names that differ by case alone are read by path
+
+
+def test_keys_come_from_the_first_level(spark):
+    parsed = bronze.parse(spark.createDataFrame([('{"a":{"b":1},"c":null}',), ('{"a":2}',), ("[1]",), ("null",), (None,)], "record string"))
+    found = bronze.top_level_keys(parsed)
+    assert sorted(map(tuple, found.collect())) == [("a", 2), ("c", 1)]
+    assert "to_json" not in found._jdf.queryExecution().optimizedPlan().toString()
